@@ -1,0 +1,119 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from helpers import order, orders, pairs, plan
+from tidemark.operators import change_counts, latest_per_key, normalize_orders, row_count
+from tidemark.plans.feed import feed_from_events
+from tidemark.schema import KEY, ORDERS, TIEBREAK, TS
+
+ROWS = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", "c", None]),
+        st.one_of(st.none(), st.integers(0, 5)),
+        st.integers(0, 99),
+    ),
+    max_size=25,
+)
+
+
+def newest(df):
+    return latest_per_key(df, [KEY], TS, TIEBREAK)
+
+
+def model(rows):
+    """Greatest time per key, NULL time last; ties go to the greater amount."""
+    best = {}
+    for key, minute, amount in rows:
+        rank = (-1 if minute is None else minute, amount)
+        best[key] = max(best.get(key, rank), rank)
+    return sorted(((key, amount) for key, (_, amount) in best.items()), key=lambda p: (p[0] or "", p[1]))
+
+
+@settings(max_examples=12, deadline=None)
+@given(rows=ROWS)
+def test_newest_row_per_key(spark, rows):
+    df = orders(spark, [order(*row) for row in rows])
+    result = newest(df)
+    assert [(key, int(amount)) for key, amount in pairs(result)] == model(rows)
+    assert result.exceptAll(df).isEmpty()
+    assert pairs(newest(result)) == pairs(result)
+
+
+def test_ties_do_not_depend_on_row_order(spark):
+    rows = [order("a", 1, amount) for amount in range(20)]
+    assert pairs(newest(orders(spark, rows))) == pairs(newest(orders(spark, rows[::-1])))
+
+
+def test_composite_key(spark):
+    rows = [order("a", 1, 1), order("a", 2, 2), order("a", 1, 3, product_id="9")]
+    result = latest_per_key(orders(spark, rows), [KEY, "product_id"], TS)
+    assert [int(amount) for _, amount in pairs(result)] == [2, 3]
+
+
+def test_passes_through_without_key_or_time(spark):
+    df = orders(spark, [order("a", 1), order("a", 2)])
+    for missing in (KEY, TS):
+        assert newest(df.drop(missing)).count() == 2
+
+
+def test_each_map_task_keeps_one_row_per_key(spark):
+    text = plan(newest(orders(spark, [order("a", 1)])))
+    final, partial = text.split("Exchange hashpartitioning")
+    assert "row_number(), 1, Final" in final
+    assert "row_number(), 1, Partial" in partial
+
+
+def test_hot_key_reaches_the_reducer_as_one_row_per_task(spark):
+    # A third of all rows has one key and another third has none.
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+    values = {
+        KEY: key,
+        TS: F.timestamp_seconds("id"),
+        "amount": (F.col("id") % 1000).cast("decimal(12,2)"),
+    }
+    columns = [values.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in ORDERS]
+    rows = spark.range(0, 60_000, 1, 6).select(*columns)
+    result = newest(rows)
+    assert len(result.collect()) == change_counts(rows, [KEY]).first()["dedup_count"] == 20_002
+    assert shuffled_records(result) == [20_000 + 2 * 6]
+
+
+def shuffled_records(df):
+    """Records written by each shuffle of a frame that was collected."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            walk(node.plan())
+        elif name == "Exchange":
+            found.append(node.metrics().get("shuffleRecordsWritten").get().value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_change_counts(spark):
+    df = orders(spark, [order("a", 1), order("a", 2), order(None, 1), order(None, 2), order("b", 1)])
+    assert change_counts(df, [KEY]).first().asDict() == {"raw_count": 5, "dedup_count": 3, "removed_count": 2}
+    empty = df.limit(0)
+    assert change_counts(empty, [KEY]).first().asDict() == {"raw_count": 0, "dedup_count": 0, "removed_count": 0}
+    assert row_count(df).first()["cnt"] == 5
+
+
+def test_change_counts_reads_only_the_key(spark, folder):
+    orders(spark, [order("a", 1)]).write.parquet(folder)
+    assert "ReadSchema: struct<order_id:string>" in plan(change_counts(spark.read.parquet(folder), [KEY]))
+
+
+def test_normalising_is_one_projection_over_the_scan(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    text = plan(normalize_orders(feed_from_events(events), F.lit("events")))
+    assert "Exchange" not in text
+    assert text.count("Project") == 1
+    assert "props" not in text

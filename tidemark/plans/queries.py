@@ -33,13 +33,14 @@ from tidemark.sources import (
     infer_landing,
     overwrite_table,
     read_landing,
+    read_landing_with_corrupt,
+    read_quarantine,
     read_table,
     split_malformed,
     stream_table,
     write_landing,
     write_quarantine,
 )
-from tidemark.sources.landing import read_landing_with_corrupt
 from tidemark.streaming import quarantine_malformed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,11 +134,6 @@ def landed_with_malformed(spark: SparkSession, sf_dir: str, label: str) -> tuple
     return path, f"{root}/landing/errors/orders"
 
 
-def quarantined(spark: SparkSession, errors: str) -> DataFrame:
-    schema = "_corrupt_record string, event_date date"
-    return spark.read.schema(schema).option("columnNameOfCorruptRecord", "unused").json(f"{errors}/malformed")
-
-
 @query
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, errors = landed_with_malformed(spark, sf_dir, "quarantine")
@@ -146,8 +142,8 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     amounts = normalize_orders(good).groupBy("event_date").agg(
         F.count("*").alias("n_good"), F.sum("amount").alias("good_amount")
     )
-    lines = quarantined(spark, errors).groupBy("event_date").agg(
-        F.count("*").alias("n_bad"), F.sum(F.length("_corrupt_record")).alias("bad_chars")
+    lines = read_quarantine(spark, errors).groupBy("event_date").agg(
+        F.count("*").alias("n_bad"), F.sum(F.length("line")).alias("bad_chars")
     )
     return amounts.join(lines, "event_date", "full").fillna(0, ["n_good", "n_bad", "bad_chars"])
 
@@ -158,7 +154,7 @@ def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarantine_malformed(
         spark, path, errors, f"{errors}/_checkpoint", trigger=AVAILABLE_NOW
     ).awaitTermination()
-    return quarantined(spark, errors).select("event_date", F.col("_corrupt_record").alias("line"))
+    return read_quarantine(spark, errors).select("event_date", "line")
 
 
 # -- normalise ---------------------------------------------------------------------------------

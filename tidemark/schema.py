@@ -27,6 +27,10 @@ LANDING = T.StructType(
 # PERMISSIVE readers put the text of a malformed line in this extra field.
 LANDING_WITH_CORRUPT = T.StructType([*LANDING.fields, T.StructField(CORRUPT, T.StringType())])
 
+# Quarantined lines, with the fields that could be read before the error.
+LINE = "line"
+QUARANTINE = T.StructType([*LANDING.fields, T.StructField(LINE, T.StringType())])
+
 # The raw history and the current state share one schema.
 ORDERS = T.StructType(
     [

@@ -4,6 +4,9 @@ from tidemark.sources.current import CurrentTable
 from tidemark.sources.landing import (
     infer_landing,
     read_landing,
+    read_landing_with_corrupt,
+    read_quarantine,
+    select_malformed,
     split_malformed,
     stream_landing,
     write_landing,
@@ -28,7 +31,10 @@ __all__ = [
     "infer_landing",
     "overwrite_table",
     "read_landing",
+    "read_landing_with_corrupt",
+    "read_quarantine",
     "read_table",
+    "select_malformed",
     "split_malformed",
     "stream_landing",
     "stream_table",

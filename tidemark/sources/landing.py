@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schema import CORRUPT, LANDING, LANDING_WITH_CORRUPT, PARTITION
+from tidemark.schema import CORRUPT, LANDING, LANDING_WITH_CORRUPT, LINE, PARTITION, QUARANTINE
 
 # A GZIP file is read by one task, so its size bounds that task's work.
 RECORDS_PER_FILE = 1_000_000
@@ -61,10 +61,18 @@ def read_landing_with_corrupt(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_malformed(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Well-formed records in the landing schema, and the malformed lines as read."""
+    """Well-formed records in the landing schema, and malformed lines in the quarantine schema.
+
+    Spark does not run a query on JSON files that uses only the corrupt-record field, so to
+    count either side alone, write or normalise it first.
+    """
     good = landing.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = landing.where(F.col(CORRUPT).isNotNull())
-    return good, bad
+    return good, select_malformed(landing)
+
+
+def select_malformed(landing: DataFrame) -> DataFrame:
+    malformed = landing.where(F.col(CORRUPT).isNotNull())
+    return malformed.withColumnRenamed(CORRUPT, LINE).select(*QUARANTINE.fieldNames())
 
 
 def write_quarantine(malformed: DataFrame, errors_path: str) -> None:
@@ -75,3 +83,7 @@ def write_quarantine(malformed: DataFrame, errors_path: str) -> None:
         .option("compression", "gzip")
         .json(f"{errors_path}/malformed")
     )
+
+
+def read_quarantine(spark: SparkSession, errors_path: str) -> DataFrame:
+    return spark.read.schema(QUARANTINE).json(f"{errors_path}/malformed")

@@ -54,9 +54,16 @@ def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = (PARTI
     Not for a table that a stream appends to: a file sink's readers see only the files in
     that stream's log.
     """
-    df.write.format("parquet").mode("append").partitionBy(*partition_by).saveAsTable(table)
+    _write(df, table, partition_by, "append")
 
 
 def overwrite_table(df: DataFrame, table: str, partition_by: Sequence[str] = (PARTITION,)) -> None:
     """Replace the rows of a table that the rows are not read from."""
-    df.write.format("parquet").mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
+    _write(df, table, partition_by, "overwrite")
+
+
+def _write(df: DataFrame, table: str, partition_by: Sequence[str], mode: str) -> None:
+    # Gather the rows of a partition first, in tasks of even size, else every task leaves a
+    # file in every partition folder.
+    gathered = df.hint("rebalance", *partition_by) if partition_by else df
+    gathered.write.format("parquet").mode(mode).partitionBy(*partition_by).saveAsTable(table)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import normalize_orders
-from tidemark.schema import CORRUPT, LANDING, LANDING_WITH_CORRUPT, PARTITION
-from tidemark.sources import ensure_database, ensure_table, stream_landing
+from tidemark.schema import LANDING, LANDING_WITH_CORRUPT, PARTITION
+from tidemark.sources import ensure_database, ensure_table, select_malformed, stream_landing
 
 
 def ingest_raw(
@@ -66,7 +65,7 @@ def quarantine_malformed(
     """
     records = stream_landing(spark, landing, LANDING_WITH_CORRUPT)
     writer = (
-        records.where(F.col(CORRUPT).isNotNull())
+        select_malformed(records)
         .writeStream.queryName(f"quarantine {errors_path}")
         .format("json")
         .outputMode("append")
