@@ -7,7 +7,7 @@ from helpers import order, orders, pairs, plan
 from tidemark.operators import latest_per_key, upsert
 from tidemark.schema import KEY, TIEBREAK, TS
 from tidemark.session import sql_settings
-from tidemark.sources import CurrentTable, files
+from tidemark.sources import CurrentTable, current, files
 
 BATCHES = [
     [("a", 5, 1), ("b", 1, 2), ("a", 4, 3), (None, 1, 4)],
@@ -41,7 +41,6 @@ def test_applied_batches_equal_a_fold_of_upserts(spark, folder, layout):
     apply_all(spark, table, BATCHES)
     assert pairs(table.read()) == folded(spark, BATCHES)
     table.fold()
-    assert len(table.state().changes) <= 1
     assert pairs(table.read()) == folded(spark, BATCHES)
     table.compact()
     assert table.state().changes == ()
@@ -56,6 +55,29 @@ def test_changes_over_a_loaded_snapshot(spark, folder):
     assert pairs(table.read()) == folded(spark, BATCHES)
 
 
+def test_fold_leaves_large_older_folders(spark, folder):
+    table = CurrentTable(spark, folder, compact_ratio=None, fold_after=100)
+    table.apply(many(spark, 20_000, 1), "w", 0)
+    large = table.state().changes[0]
+    for number, rows in enumerate(BATCHES, 1):
+        table.apply(batch(spark, rows), "w", number)
+    before = pairs(table.read())
+    table.fold()
+    assert len(table.state().changes) == 2
+    assert table.state().changes[0] == large
+    assert pairs(table.read()) == before
+    # Each batch with NULL keys left one, before and after.
+    assert [key for key, _ in before].count(None) == 3
+
+
+def test_change_folders_stay_few(spark, folder):
+    table = CurrentTable(spark, folder, min_buckets=2, compact_ratio=None, fold_after=3)
+    for number in range(8):
+        table.apply(batch(spark, [("a", 1, number), (str(number), 1, number)]), "w", number)
+        assert len(table.state().changes) <= 3
+    assert len(pairs(table.read())) == 9
+
+
 def test_empty_table(spark, folder):
     table = CurrentTable(spark, folder)
     assert table.is_empty()
@@ -203,7 +225,7 @@ def test_reading_and_compacting_leave_the_snapshot_in_place(spark, folder, thres
     state = table.state()
     assert state.change_size < state.snapshot.size
 
-    for df in (table.read(), table._current(state, 16).repartition(16, KEY)):
+    for df in (table.read(), table._current(state).repartition(16, KEY)):
         text = plan(df)
         snapshot_side = text.split("Bucketed: true")[0].split("ShuffledHashJoin")[1]
         assert "LeftAnti, BuildRight" in snapshot_side
@@ -218,10 +240,11 @@ def test_reading_and_compacting_leave_the_snapshot_in_place(spark, folder, thres
     assert [int(amount) for _, amount in pairs(table.read())].count(4) == 5
 
 
-def test_large_changes_are_merge_joined(spark, folder):
+def test_large_changes_are_merge_joined(spark, folder, monkeypatch):
     table = CurrentTable(spark, folder, min_buckets=2, compact_ratio=None)
     table.load(many(spark, 3, 1), source_size=0)
-    table.apply(many(spark, 20_000, 2), "w", 0)
+    table.apply(many(spark, 3, 2), "w", 0)
+    monkeypatch.setattr(current, "HASHED_CHANGES", 1)
     text = plan(table.read())
     assert "SortMergeJoin" in text
     snapshot_side = text.split("Bucketed: true")[0].split("SortMergeJoin")[1]

@@ -12,7 +12,7 @@ def parse_amount(amount: Column) -> Column:
     Every comma counts as a decimal point, so ``1,234.56`` has two and becomes NULL, as do
     other text and values out of range.
     """
-    return F.regexp_replace(amount.cast("string"), ",", ".").try_cast("decimal(12,2)")
+    return F.replace(amount.cast("string"), F.lit(","), F.lit(".")).try_cast("decimal(12,2)")
 
 
 def normalize_op(operation: Column) -> Column:

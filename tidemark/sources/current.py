@@ -3,8 +3,9 @@
 On disk it is a snapshot, bucketed by key, plus the changes applied since. Applying a batch
 writes only that batch. Reading replaces snapshot rows by their newest change; the bucketing
 means that the snapshot side of that join is never shuffled. Once the changes reach a set
-share of the snapshot they are merged into a new one, so what a change costs to rewrite, and
-what a reader has to join, both stay bounded however large the table is.
+share of the snapshot they are merged into a new one, which is not shuffled either. So how
+often a row is rewritten, and how much a reader has to join, stay bounded however large the
+table is.
 
 A batch with random keys touches every file of a keyed table, so rewriting touched files would
 rewrite the whole table per micro-batch.
@@ -32,6 +33,14 @@ from tidemark.sources import files
 
 _COMMIT = "_commit"
 
+MB = 1024 * 1024
+# Spark allows 100,000 buckets by default.
+MAX_BUCKETS = 65_536
+# Change bytes per bucket up to which the changed keys of a bucket are held in a hash table.
+HASHED_CHANGES = 64 * MB
+# A task writes the files of its few buckets side by side, which spares sorting its rows.
+SNAPSHOT_WRITERS = 64
+
 
 @dataclass(frozen=True)
 class Folder:
@@ -81,7 +90,7 @@ class CurrentTable:
       is written, and doubles as the table grows.
     - ``compact_ratio``: changes beyond this share of the snapshot are merged into a new
       snapshot. None leaves that to calls of `compact`.
-    - ``fold_after``: this many change folders are merged into one.
+    - ``fold_after``: from this many change folders on, the newer ones are merged into one.
     """
 
     def __init__(
@@ -93,7 +102,7 @@ class CurrentTable:
         order_by: str = TS,
         tiebreak: Sequence[str] = TIEBREAK,
         database: str = "default",
-        bucket_size: int = 512 * 1024 * 1024,
+        bucket_size: int = 1024 * MB,
         min_buckets: int = 8,
         compact_ratio: float | None = 0.25,
         fold_after: int = 32,
@@ -117,7 +126,8 @@ class CurrentTable:
         return self._current(self.state())
 
     def is_empty(self) -> bool:
-        return self.read().isEmpty()
+        state = self.state()
+        return not state.folders() or self._current(state).isEmpty()
 
     def state(self) -> State:
         """The last commit; an empty state for a new table."""
@@ -177,16 +187,26 @@ class CurrentTable:
             return
         size = state.change_size + (state.snapshot.size if state.snapshot else 0)
         buckets = self._bucket_count(size, state.snapshot)
-        snapshot = self._write_snapshot(self._current(state, buckets), buckets)
+        snapshot = self._write_snapshot(self._current(state), buckets)
         self._publish(replace(state, commit=state.commit + 1, snapshot=snapshot, changes=()))
 
     def fold(self) -> None:
-        """Merge all change folders into one, leaving the snapshot as it is."""
+        """Merge the newer change folders into one, leaving older ones and the snapshot.
+
+        A folder over twice the size of all newer ones together stays as it is, so a row is
+        rewritten only as often as the changes around it grow by half.
+        """
         state = self.state()
-        if len(state.changes) < 2:
+        folded, size = 0, 0
+        for folder in reversed(state.changes):
+            if folded and folder.size > 2 * size:
+                break
+            folded, size = folded + 1, size + folder.size
+        if folded < 2:
             return
-        written = self._write_changes(self._newest_changes(state))
-        self._publish(replace(state, commit=state.commit + 1, changes=(written,)))
+        older, newer = state.changes[:-folded], state.changes[-folded:]
+        written = self._write_changes(self._newest_changes(newer, self._partitions(state)))
+        self._publish(replace(state, commit=state.commit + 1, changes=(*older, written)))
 
     def expire(self, keep: int = 2) -> list[str]:
         """Delete folders that none of the last ``keep`` commits uses; returns their names.
@@ -214,54 +234,52 @@ class CurrentTable:
 
     # -- inside ----------------------------------------------------------------------------
 
-    def _current(self, state: State, buckets: int | None = None) -> DataFrame:
+    def _current(self, state: State) -> DataFrame:
         """Snapshot rows without a newer change, and the newest changes.
 
-        With ``buckets``, rows come hash-partitioned by key into that many partitions.
+        With changes, the rows come hash-partitioned by key.
         """
         names = self.schema.fieldNames()
-        if state.snapshot is None and not state.changes:
-            return self.spark.createDataFrame([], self.schema)
+        if not state.folders():
+            nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema)
+            return self.spark.range(0).select(*nothing)
         if not state.changes:
             return self._snapshot(state.snapshot)
-        newest = self._newest_changes(state)
-        if buckets is not None:
-            newest = newest.repartition(state.snapshot.buckets if state.snapshot else buckets, *self.keys)
+        newest = self._newest_changes(state.changes, self._partitions(state))
         if state.snapshot is None:
             return newest.select(*names)
         # Both joins leave the bucketed snapshot in place and shuffle only the changed keys.
-        # While the changes are the smaller side, hashing a bucket's changed keys and streaming
-        # the snapshot past them also spares sorting the snapshot.
-        strategy = "shuffle_hash" if state.change_size <= state.snapshot.size else "merge"
-        changed_keys = newest.select(*self.keys).hint(strategy)
+        # As long as these fit, hashing them and streaming the snapshot past also spares
+        # sorting the snapshot.
+        hashed = state.change_size <= HASHED_CHANGES * state.snapshot.buckets
+        changed_keys = newest.select(*self.keys).hint("shuffle_hash" if hashed else "merge")
         kept = self._snapshot(state.snapshot).join(changed_keys, self.keys, "left_anti")
         return kept.select(*names).unionByName(newest.select(*names))
 
-    def _newest_changes(self, state: State) -> DataFrame:
-        """The last change of each key, and every change whose key is NULL."""
-        changes = self.spark.read.schema(
-            T.StructType([*self.schema.fields, T.StructField(_COMMIT, T.LongType())])
-        ).parquet(*(f"{self.root}/{folder.name}" for folder in state.changes))
-        if len(state.changes) == 1:
-            return changes
-        # A folder has a key at most once, so no key is hot here. Partitioning by key alone
-        # serves both this window and the join that follows.
-        partitions = (
-            state.snapshot.buckets
-            if state.snapshot
-            else int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+    def _newest_changes(self, folders: Sequence[Folder], partitions: int) -> DataFrame:
+        """The last change of each key, and every change whose key is NULL.
+
+        A folder has a key at most once, so no key is hot here. One shuffle by key serves the
+        window, the join with the snapshot and the snapshot written from it.
+        """
+        changes = (
+            self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(_COMMIT, T.LongType())]))
+            .parquet(*(f"{self.root}/{folder.name}" for folder in folders))
+            .repartition(partitions, *self.keys)
         )
+        if len(folders) == 1:
+            return changes
         any_null = F.lit(False)
         for key in self.keys:
             any_null = any_null | F.col(key).isNull()
         per_key = Window.partitionBy(*self.keys, F.when(any_null, F.col(_COMMIT)))
         ranked = F.row_number().over(per_key.orderBy(F.col(_COMMIT).desc()))
-        return (
-            changes.repartition(partitions, *self.keys)
-            .withColumn("_rank", ranked)
-            .where(F.col("_rank") == 1)
-            .drop("_rank")
-        )
+        return changes.withColumn("_rank", ranked).where(F.col("_rank") == 1).drop("_rank")
+
+    def _partitions(self, state: State) -> int:
+        if state.snapshot is not None:
+            return state.snapshot.buckets
+        return max(self._bucket_count(state.change_size), self.spark.sparkContext.defaultParallelism)
 
     def _snapshot(self, snapshot: Folder) -> DataFrame:
         table = self._table_name(snapshot.name)
@@ -269,23 +287,24 @@ class CurrentTable:
         # Sessions without a shared catalog do not know the table yet.
         self.spark.sql(
             f"CREATE EXTERNAL TABLE IF NOT EXISTS {table} ({self.schema.toDDL()}) USING parquet "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {snapshot.buckets} BUCKETS "
+            f"CLUSTERED BY ({keys}) INTO {snapshot.buckets} BUCKETS "
             f"LOCATION '{self.root}/{snapshot.name}'"
         )
         return self.spark.table(table).select(*self.schema.fieldNames())
 
     def _write_snapshot(self, rows: DataFrame, buckets: int) -> Folder:
         name = f"snapshot-{uuid4().hex}"
-        (
+        writer = (
             # No shuffle if the rows already are in this partitioning.
             rows.select(*self.schema.fieldNames())
             .repartition(buckets, *self.keys)
             .write.format("parquet")
             .bucketBy(buckets, *self.keys)
-            .sortBy(*self.keys)
             .option("path", f"{self.root}/{name}")
-            .saveAsTable(self._table_name(name))
         )
+        writers = {"spark.sql.maxConcurrentOutputFileWriters": str(SNAPSHOT_WRITERS)}
+        with sql_settings(rows.sparkSession, writers):
+            writer.saveAsTable(self._table_name(name))
         return Folder(name, files.size_of(self.spark, f"{self.root}/{name}"), buckets)
 
     def _write_changes(self, rows: DataFrame) -> Folder:
@@ -304,7 +323,7 @@ class CurrentTable:
         buckets = max(self.min_buckets, current.buckets if current else 0)
         while buckets * self.bucket_size < size:
             buckets *= 2
-        return buckets
+        return min(buckets, MAX_BUCKETS)
 
     def _table_name(self, folder: str) -> str:
         return f"`{self.database}`.`{folder.replace('-', '_')}`"

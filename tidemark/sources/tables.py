@@ -35,6 +35,8 @@ def drop_table(spark: SparkSession, table: str) -> None:
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """All rows up to now. A session would else keep the file list of its first read."""
+    spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
