@@ -69,7 +69,7 @@ def test_one_file_per_batch_equals_one_batch(space):
         space.current,
         f"{space.root}/checkpoints/processed",
         trigger=AVAILABLE_NOW,
-        max_files_per_trigger=1,
+        options={"maxFilesPerTrigger": "1"},
     ).awaitTermination()
     assert len(space.current.state().writers) == 1
     assert set(space.current.state().writers.values()) == {3}
@@ -167,7 +167,7 @@ def test_late_date_folders_and_rebalance(space):
         space.raw_location,
         f"{space.root}/checkpoints/raw",
         trigger=AVAILABLE_NOW,
-        max_files_per_trigger=7,
+        options={"maxFilesPerTrigger": "7"},
         rebalance=True,
     )
     query.awaitTermination()
@@ -175,6 +175,36 @@ def test_late_date_folders_and_rebalance(space):
     assert space.raw().select("event_date").distinct().count() == 30
 
 
+def test_a_session_sees_rows_that_arrive_after_its_first_read(space):
+    for number in range(3):
+        land(space, f"f{number}", (number, 1, 10))
+        space.ingest()
+        assert space.raw().count() == number + 1
+
+
+@pytest.mark.parametrize("trigger", [None, {"processingTime": "1 second"}])
+def test_continuous_run(space, trigger):
+    land(space, "a", (1, 1, 10))
+    checkpoints = f"{space.root}/checkpoints"
+    ingest = ingest_raw(
+        space.spark, space.landing, space.raw_table, space.raw_location, f"{checkpoints}/raw", trigger=trigger
+    )
+    ingest.processAllAvailable()
+    upserts = incremental_upsert(
+        space.spark, space.raw_table, space.current, f"{checkpoints}/processed", trigger=trigger
+    )
+    try:
+        upserts.processAllAvailable()
+        land(space, "b", (1, 2, 20), (2, 1, 30))
+        ingest.processAllAvailable()
+        upserts.processAllAvailable()
+        assert current(space) == [("1", 20), ("2", 30)]
+        assert ingest.isActive and upserts.isActive
+    finally:
+        ingest.stop()
+        upserts.stop()
+
+
 def test_quarantine_stream(space):
     path = f"{space.landing}/event_date=2025-01-01"
     errors = f"{space.root}/landing/errors/orders"
@@ -196,7 +226,7 @@ def test_command_line(spark, space):
     ingest = ["ingest-raw", "--landing", space.landing, "--checkpoint", f"{space.root}/c1", *raw]
     upserts = ["incremental-upsert", "--checkpoint", f"{space.root}/c2", *raw, *table]
 
-    run(spark, [*ingest, "--available-now"])
+    run(spark, [*ingest, "--available-now", "--option", "maxFilesPerTrigger=10"])
     run(spark, ["initial-load", *raw, *table])
     assert current(space) == [("1", 11)]
     land(space, "b", (2, 1, 20))

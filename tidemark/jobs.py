@@ -1,6 +1,7 @@
-"""Command line of the jobs, for spark-submit.
+"""Command line of the jobs.
 
-    spark-submit tidemark/jobs.py ingest-raw --landing /lake/landing/orders ...
+    zip -r tidemark.zip tidemark
+    spark-submit --py-files tidemark.zip tidemark/jobs.py ingest-raw --landing /lake/orders ...
 """
 
 from __future__ import annotations
@@ -32,6 +33,13 @@ def parser() -> argparse.ArgumentParser:
         when = sub.add_mutually_exclusive_group()
         when.add_argument("--available-now", action="store_true", help="stop at the end of the present input")
         when.add_argument("--interval", help="time between micro-batches, such as '60 seconds'")
+        sub.add_argument(
+            "--option",
+            action="append",
+            default=[],
+            metavar="NAME=VALUE",
+            help="option of the file source, such as maxFilesPerTrigger=1000; may be repeated",
+        )
 
     def raw(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--raw-table", default="raw.orders")
@@ -44,7 +52,6 @@ def parser() -> argparse.ArgumentParser:
     ingest = job("ingest-raw", "landing files to the raw table", "landing")
     raw(ingest)
     streaming(ingest)
-    ingest.add_argument("--max-bytes-per-trigger")
     ingest.add_argument("--rebalance", action="store_true", help="merge small output files")
 
     quarantine = job("quarantine", "copy malformed landing lines", "landing", "errors")
@@ -58,7 +65,6 @@ def parser() -> argparse.ArgumentParser:
     raw(upserts)
     current(upserts)
     streaming(upserts)
-    upserts.add_argument("--max-files-per-trigger", type=int)
 
     compact = job("compact", "merge all changes into a new snapshot")
     current(compact)
@@ -80,6 +86,8 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     elif getattr(args, "interval", None):
         trigger = {"processingTime": args.interval}
 
+    options = dict(option.split("=", 1) for option in getattr(args, "option", []))
+
     if args.job == "ingest-raw":
         ingest_raw(
             spark,
@@ -88,12 +96,12 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
             args.raw_location,
             args.checkpoint,
             trigger=trigger,
-            max_bytes_per_trigger=args.max_bytes_per_trigger,
+            options=options,
             rebalance=args.rebalance,
         ).awaitTermination()
     elif args.job == "quarantine":
         quarantine_malformed(
-            spark, args.landing, args.errors, args.checkpoint, trigger=trigger
+            spark, args.landing, args.errors, args.checkpoint, trigger=trigger, options=options
         ).awaitTermination()
     elif args.job == "initial-load":
         initial_load(spark, read_table(spark, args.raw_table), args.raw_location, target)
@@ -104,7 +112,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
             target,
             args.checkpoint,
             trigger=trigger,
-            max_files_per_trigger=args.max_files_per_trigger,
+            options=options,
         ).awaitTermination()
     elif args.job == "compact":
         target.compact()

@@ -29,7 +29,7 @@ class Workspace:
         self.feed = feed_from_events(read_events(spark, sf_dir))
         self.root = scratch_dir(spark, label)
         self.database = f"tidemark_{uuid4().hex[:12]}"
-        ensure_database(spark, self.database)
+        ensure_database(spark, self.database, f"{self.root}/database")
         self.landing = f"{self.root}/landing/orders"
         self.raw_table = f"{self.database}.orders"
         self.raw_location = f"{self.root}/raw/orders"

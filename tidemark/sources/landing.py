@@ -43,16 +43,15 @@ def stream_landing(
     spark: SparkSession,
     path: str,
     schema: T.StructType = LANDING,
-    max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Landing files as a stream; the two limits bound one micro-batch."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if max_bytes_per_trigger is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.json(path)
+    """Landing files as a stream.
+
+    ``options`` go to the file source. ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` bound a
+    micro-batch. Over years of small files, ``cleanSource`` and ``maxFileAge`` bound the
+    listing and the record of files already read.
+    """
+    return spark.readStream.schema(schema).options(**(options or {})).json(path)
 
 
 def read_landing_with_corrupt(spark: SparkSession, path: str) -> DataFrame:

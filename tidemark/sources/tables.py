@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 from tidemark.schema import ORDERS, PARTITION
 
 
-def ensure_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Make a database unless it exists; its own folder stays empty, as all tables are external."""
+    where = f"LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` {where}")
 
 
 def ensure_table(
@@ -40,14 +42,12 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def stream_table(
-    spark: SparkSession, table: str, max_files_per_trigger: int | None = None
-) -> DataFrame:
-    """Rows added to a table since the last micro-batch, from its first row on."""
-    reader = spark.readStream
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.table(table)
+def stream_table(spark: SparkSession, table: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Rows added to a table since the last micro-batch, from its first row on.
+
+    ``options`` go to the file source, such as ``maxFilesPerTrigger``.
+    """
+    return spark.readStream.options(**(options or {})).table(table)
 
 
 def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = (PARTITION,)) -> None:

@@ -20,12 +20,13 @@ def incremental_upsert(
     target: CurrentTable,
     checkpoint: str,
     trigger: dict | None = None,
-    max_files_per_trigger: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Start upserting the rows of ``raw_table`` into ``target``, one micro-batch at a time.
 
     A new checkpoint starts at the table's first row, also after an initial load; the rows
-    converge as long as batches come in time order. An error in a batch fails the query, and
+    converge as long as batches come in time order. ``options`` are those of `stream_table`;
+    ``maxFilesPerTrigger`` bounds a micro-batch over a long history. An error in a batch fails the query, and
     a restart repeats that batch, which `CurrentTable.apply` skips if it was committed.
     """
     writer_id = _writer_id(spark, checkpoint)
@@ -40,7 +41,7 @@ def incremental_upsert(
             log.info("batch %s was applied before", batch_id)
 
     writer = (
-        stream_table(spark, raw_table, max_files_per_trigger)
+        stream_table(spark, raw_table, options)
         .writeStream.queryName(f"upsert {target.root}")
         .outputMode("update")
         .option("checkpointLocation", checkpoint)

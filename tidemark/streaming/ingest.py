@@ -19,8 +19,7 @@ def ingest_raw(
     checkpoint: str,
     schema: T.StructType = LANDING,
     trigger: dict | None = None,
-    max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    options: dict[str, str] | None = None,
     rebalance: bool = False,
 ) -> StreamingQuery:
     """Start appending normalised landing records to the raw table, which is made if missing.
@@ -30,12 +29,12 @@ def ingest_raw(
     files, for a backfill over many dates.
 
     ``trigger`` takes the arguments of ``DataStreamWriter.trigger``; the default runs until
-    stopped, ``{"availableNow": True}`` until the files present now are read. A restart with
-    the same checkpoint reads only new files.
+    stopped, ``{"availableNow": True}`` until the files present now are read. ``options`` are
+    those of `stream_landing`. A restart with the same checkpoint reads only new files.
     """
     ensure_database(spark, table.split(".")[0])
     ensure_table(spark, table, location)
-    records = stream_landing(spark, landing, schema, max_files_per_trigger, max_bytes_per_trigger)
+    records = stream_landing(spark, landing, schema, options)
     orders = normalize_orders(records)
     if rebalance:
         orders = orders.hint("rebalance", PARTITION)
@@ -57,13 +56,14 @@ def quarantine_malformed(
     errors_path: str,
     checkpoint: str,
     trigger: dict | None = None,
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Start copying malformed landing lines to ``errors_path``, outside the landing folder.
 
     It runs next to `ingest_raw` on its own checkpoint and leaves the raw table as it is,
     where each malformed line is a row of NULL fields.
     """
-    records = stream_landing(spark, landing, LANDING_WITH_CORRUPT)
+    records = stream_landing(spark, landing, LANDING_WITH_CORRUPT, options)
     writer = (
         select_malformed(records)
         .writeStream.queryName(f"quarantine {errors_path}")
