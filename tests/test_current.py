@@ -1,9 +1,10 @@
 import dataclasses
+import datetime as dt
 from pathlib import Path
 
 import pytest
 
-from helpers import order, orders, pairs, plan
+from helpers import START, order, orders, pairs, plan
 from tidemark.operators import latest_per_key, upsert
 from tidemark.schema import KEY, TIEBREAK, TS
 from tidemark.session import sql_settings
@@ -117,6 +118,20 @@ def test_repeated_batches_are_skipped_per_writer(spark, folder):
     assert pairs(table.read()) == folded(spark, BATCHES[:3])
 
 
+def test_other_schema_and_composite_key(spark, folder):
+    rows = spark.createDataFrame(
+        [("a", 1, 10, "x"), ("a", 1, 20, "y"), ("a", 2, 10, "z"), ("a", None, 1, "n")],
+        "name string, line int, version int, text string",
+    )
+    table = CurrentTable(
+        spark, folder, rows.schema, ["name", "line"], "version", tiebreak=(), sort_by=(), min_buckets=2
+    )
+    table.apply(rows, "w", 0)
+    table.apply(rows.where("version = 10 OR line IS NULL"), "w", 1)
+    found = sorted(row["text"] for row in table.read().collect())
+    assert found == ["n", "n", "x", "z"]
+
+
 def test_crash_before_the_commit_leaves_the_table_as_it_was(spark, folder, monkeypatch):
     table = CurrentTable(spark, folder, min_buckets=2)
     apply_all(spark, table, BATCHES[:1])
@@ -251,6 +266,20 @@ def test_large_changes_are_merge_joined(spark, folder, monkeypatch):
     assert exchanges(snapshot_side) == []
 
 
+@pytest.mark.parametrize("sort_by", [("event_date",), ()])
+def test_date_filter_reaches_files_in_date_order(spark, folder, sort_by):
+    table = CurrentTable(spark, folder, min_buckets=4, sort_by=sort_by)
+    days = [START.date() + dt.timedelta(days=number * 7 % 30) for number in range(200)]
+    rows = [order(str(key), 1, event_date=day) for key, day in enumerate(days)]
+    table.load(orders(spark, rows), source_size=0)
+    for path in Path(folder).glob("snapshot-*/*.parquet"):
+        dates = [row[0] for row in spark.read.parquet(str(path)).coalesce(1).select("event_date").collect()]
+        assert (dates == sorted(dates)) == bool(sort_by)
+    some = table.read().where("event_date = DATE '2025-01-05'")
+    assert "EqualTo(event_date,2025-01-05)" in plan(some)
+    assert some.count() == days.count(dt.date(2025, 1, 5))
+
+
 def test_key_filter_reaches_the_scans(spark, folder):
     table = CurrentTable(spark, folder, min_buckets=16)
     table.load(many(spark, 100, 1), source_size=0)

@@ -9,7 +9,7 @@ from tidemark.jobs import run
 from tidemark.operators import latest_per_key
 from tidemark.plans.workspace import AVAILABLE_NOW, Workspace
 from tidemark.schema import KEY, TIEBREAK, TS
-from tidemark.sources import files, read_quarantine
+from tidemark.sources import files, infer_landing, read_quarantine, read_table
 from tidemark.streaming import incremental_upsert, ingest_raw, quarantine_malformed
 
 SF = "/root/testdata/sf0.001"
@@ -158,6 +158,22 @@ def test_initial_load_fails_when_the_target_cannot_be_read(space, monkeypatch):
         space.initial_load()
 
 
+def test_ingest_with_the_inferred_schema(space):
+    space.land()
+    checkpoint, location = f"{space.root}/checkpoints/inferred", f"{space.root}/inferred"
+    table = f"{space.database}.inferred"
+    schema = infer_landing(space.spark, space.landing)
+    ingest_raw(
+        space.spark, space.landing, table, location, checkpoint, schema=schema, trigger=AVAILABLE_NOW
+    ).awaitTermination()
+    space.ingest()
+    declared, inferred = (
+        df.drop("etl_timestamp") for df in (space.raw(), read_table(space.spark, table))
+    )
+    assert inferred.count() == 1000
+    assert inferred.exceptAll(declared).isEmpty()
+
+
 def test_late_date_folders_and_rebalance(space):
     space.land()
     query = ingest_raw(

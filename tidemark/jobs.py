@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -72,7 +73,7 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
+def run(spark: SparkSession, arguments: Sequence[str]) -> None:
     args = parser().parse_args(arguments)
     if "raw_table" in args:
         ensure_database(spark, args.raw_table.split(".")[0])
@@ -122,7 +123,8 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
 
 def main() -> None:
     logging.basicConfig(level=logging.INFO)
-    run(build_session())
+    parser().parse_args()  # complain before a session starts
+    run(build_session(), sys.argv[1:])
 
 
 if __name__ == "__main__":

@@ -25,7 +25,7 @@ def normalize_orders(landing: DataFrame, source_file: Column | None = None) -> D
         "database_operation": normalize_op(F.col("database_operation")),
         "amount": parse_amount(F.col("amount")),
         "payment_method": F.col("payment_method").cast("string"),
-        "event_date": F.to_date("event_date"),
+        "event_date": F.col("event_date").try_cast("date"),
         "event_timestamp": parse_event_ts(F.col("event_timestamp")),
         "etl_timestamp": F.current_timestamp(),
         "source_filename": source_file,

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.schema import KEY, ORDERS, TIEBREAK, TS
+from tidemark.schema import KEY, ORDERS, PARTITION, TIEBREAK, TS
 from tidemark.session import sql_settings
 from tidemark.sources import files
 
@@ -38,7 +38,7 @@ MB = 1024 * 1024
 MAX_BUCKETS = 65_536
 # Change bytes per bucket up to which the changed keys of a bucket are held in a hash table.
 HASHED_CHANGES = 64 * MB
-# A task writes the files of its few buckets side by side, which spares sorting its rows.
+# Without `sort_by`, a task writes its few buckets side by side, which spares any sort.
 SNAPSHOT_WRITERS = 64
 
 
@@ -88,6 +88,9 @@ class CurrentTable:
     - ``database`` holds the catalog entries of the bucketed snapshots.
     - ``bucket_size`` is the aimed bytes of a bucket. The bucket count is set when a snapshot
       is written, and doubles as the table grows.
+    - ``sort_by`` orders the rows of a bucket, so that a filter on these columns skips most
+      pages of a bucket's file, much as it would skip partitions. It sorts within the tasks
+      that write a snapshot; pass () where nobody filters by date.
     - ``compact_ratio``: changes beyond this share of the snapshot are merged into a new
       snapshot. None leaves that to calls of `compact`.
     - ``fold_after``: from this many change folders on, the newer ones are merged into one.
@@ -101,6 +104,7 @@ class CurrentTable:
         keys: Sequence[str] = (KEY,),
         order_by: str = TS,
         tiebreak: Sequence[str] = TIEBREAK,
+        sort_by: Sequence[str] = (PARTITION,),
         database: str = "default",
         bucket_size: int = 1024 * MB,
         min_buckets: int = 8,
@@ -113,6 +117,7 @@ class CurrentTable:
         self.keys = list(keys)
         self.order_by = order_by
         self.tiebreak = list(tiebreak)
+        self.sort_by = list(sort_by)
         self.database = database
         self.bucket_size = bucket_size
         self.min_buckets = min_buckets
@@ -302,6 +307,8 @@ class CurrentTable:
             .bucketBy(buckets, *self.keys)
             .option("path", f"{self.root}/{name}")
         )
+        if self.sort_by:
+            writer = writer.sortBy(*self.sort_by)
         writers = {"spark.sql.maxConcurrentOutputFileWriters": str(SNAPSHOT_WRITERS)}
         with sql_settings(rows.sparkSession, writers):
             writer.saveAsTable(self._table_name(name))
