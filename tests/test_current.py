@@ -3,11 +3,13 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from helpers import START, order, orders, pairs, plan
 from tidemark.operators import latest_per_key, upsert
 from tidemark.schema import KEY, TIEBREAK, TS
-from tidemark.session import sql_settings
+from tidemark.session import scratch_dir, sql_settings
 from tidemark.sources import CurrentTable, current, files
 
 BATCHES = [
@@ -48,6 +50,42 @@ def test_applied_batches_equal_a_fold_of_upserts(spark, folder, layout):
     assert pairs(table.read()) == folded(spark, BATCHES)
 
 
+STEPS = st.lists(
+    st.one_of(
+        st.sampled_from(["fold", "compact", "expire", "repeat"]),
+        st.lists(
+            st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 5), st.integers(0, 99)),
+            min_size=1,
+            max_size=5,
+        ),
+    ),
+    min_size=3,
+    max_size=7,
+)
+
+
+@settings(max_examples=6, deadline=None)
+@given(steps=STEPS)
+def test_maintenance_never_changes_the_rows(spark, steps):
+    table = CurrentTable(spark, scratch_dir(spark, "steps"), min_buckets=2, compact_ratio=None, fold_after=3)
+    current, keyless, number, last = {}, [], 0, None
+    for step in steps:
+        if step == "repeat":
+            assert last is None or not table.apply(batch(spark, last), "w", number - 1)
+        elif isinstance(step, str):
+            getattr(table, step)()
+        else:
+            table.apply(batch(spark, step), "w", number)
+            number, last = number + 1, step
+            best = {}
+            for key, minute, amount in step:
+                best[key] = max(best.get(key, (minute, amount)), (minute, amount))
+            keyless += [(None, best.pop(None)[1])] if None in best else []
+            current |= {key: amount for key, (_, amount) in best.items()}
+    expected = sorted([*keyless, *current.items()], key=lambda pair: (pair[0] or "", pair[1]))
+    assert [(key, int(amount)) for key, amount in pairs(table.read())] == expected
+
+
 def test_changes_over_a_loaded_snapshot(spark, folder):
     table = CurrentTable(spark, folder, min_buckets=2, compact_ratio=None, fold_after=100)
     table.load(latest_per_key(batch(spark, BATCHES[0]), [KEY], TS, TIEBREAK), source_size=0)

@@ -134,8 +134,14 @@ def test_table_definition(spark, folder):
     assert len(list(Path(folder, "orders").glob("event_date=*/*.parquet"))) == 30
     pruned = read_table(spark, table).where("event_date = DATE '2024-01-05' AND amount > 5")
     assert "PartitionFilters: [isnotnull(event_date" in plan(pruned)
-    overwrite_table(rows.limit(10), table)
-    assert read_table(spark, table).count() == 10
+    overwrite_table(rows.where("event_date = DATE '2024-01-05'").select(*reversed(rows.columns)), table)
+    day = rows.where("event_date = DATE '2024-01-05'")
+    assert read_table(spark, table).select(*day.columns).exceptAll(day).isEmpty()
+    assert read_table(spark, table).count() == day.count()
+    detail = {row[0]: row[1] for row in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    assert (detail["Type"], detail["Location"]) == ("EXTERNAL", f"file:{folder}/orders")
+    kept = list(Path(folder, "orders").glob("event_date=*/*.parquet"))
+    assert {path.parent.name for path in kept} == {"event_date=2024-01-05"}
     rows.unpersist()
 
     drop_table(spark, table)

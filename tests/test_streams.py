@@ -22,7 +22,8 @@ def space(spark):
 
 def land(space, name, *rows):
     lines = [
-        f'{{"order_id": {key}, "amount": {amount}, "event_timestamp": "2025-01-01T00:{minute:02d}:00"}}\n'
+        f'{{"order_id": {key}, "user_id": "1", "product_id": "2", "database_operation": "u", "amount": {amount},'
+        f' "payment_method": "pix", "event_timestamp": "2025-01-01T00:{minute:02d}:00"}}\n'
         for key, minute, amount in rows
     ]
     write_gzip(f"{space.landing}/event_date=2025-01-01/{name}.json.gz", "".join(lines))
@@ -242,12 +243,13 @@ def test_command_line(spark, space):
     ingest = ["ingest-raw", "--landing", space.landing, "--checkpoint", f"{space.root}/c1", *raw]
     upserts = ["incremental-upsert", "--checkpoint", f"{space.root}/c2", *raw, *table]
 
-    run(spark, [*ingest, "--available-now", "--option", "maxFilesPerTrigger=10"])
+    run(spark, [*ingest, "--available-now", "--infer-schema", "--option", "maxFilesPerTrigger=10"])
     run(spark, ["initial-load", *raw, *table])
     assert current(space) == [("1", 11)]
     land(space, "b", (2, 1, 20))
     run(spark, [*ingest, "--available-now"])
-    run(spark, [*upserts, "--available-now"])
+    run(spark, [*upserts, "--available-now", "--keep", "1"])
+    assert len(files.list_names(spark, f"{space.current.root}/_state")) == 1
     run(spark, ["quarantine", "--landing", space.landing, "--errors", f"{space.root}/errors",
                 "--checkpoint", f"{space.root}/c3", "--available-now"])
     run(spark, ["compact", "--keep", "1", *table])

@@ -14,8 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from tidemark.plans.initial_load import initial_load
+from tidemark.schema import LANDING
 from tidemark.session import build_session
-from tidemark.sources import CurrentTable, ensure_database, ensure_table, read_table
+from tidemark.sources import CurrentTable, ensure_database, ensure_table, infer_landing, read_table
 from tidemark.streaming import incremental_upsert, ingest_raw, quarantine_malformed
 
 
@@ -53,6 +54,7 @@ def parser() -> argparse.ArgumentParser:
     ingest = job("ingest-raw", "landing files to the raw table", "landing")
     raw(ingest)
     streaming(ingest)
+    ingest.add_argument("--infer-schema", action="store_true", help="read all landing files for it first")
     ingest.add_argument("--rebalance", action="store_true", help="merge small output files")
 
     quarantine = job("quarantine", "copy malformed landing lines", "landing", "errors")
@@ -69,7 +71,8 @@ def parser() -> argparse.ArgumentParser:
 
     compact = job("compact", "merge all changes into a new snapshot")
     current(compact)
-    compact.add_argument("--keep", type=int, help="then delete folders older than this many commits")
+    for sub in (upserts, compact):
+        sub.add_argument("--keep", type=int, help="delete what none of this many last commits uses")
     return top
 
 
@@ -96,6 +99,7 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
             args.raw_table,
             args.raw_location,
             args.checkpoint,
+            schema=infer_landing(spark, args.landing) if args.infer_schema else LANDING,
             trigger=trigger,
             options=options,
             rebalance=args.rebalance,
@@ -114,6 +118,7 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
             args.checkpoint,
             trigger=trigger,
             options=options,
+            keep=args.keep,
         ).awaitTermination()
     elif args.job == "compact":
         target.compact()

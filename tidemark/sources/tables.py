@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.schema import ORDERS, PARTITION
+from tidemark.session import sql_settings
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -50,22 +51,30 @@ def stream_table(spark: SparkSession, table: str, options: dict[str, str] | None
     return spark.readStream.options(**(options or {})).table(table)
 
 
-def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = (PARTITION,)) -> None:
-    """Add rows to a table, matching columns by name.
+def append_table(df: DataFrame, table: str) -> None:
+    """Add rows to an existing table, matching columns by name.
 
     Not for a table that a stream appends to: a file sink's readers see only the files in
     that stream's log.
     """
-    _write(df, table, partition_by, "append")
-
-
-def overwrite_table(df: DataFrame, table: str, partition_by: Sequence[str] = (PARTITION,)) -> None:
-    """Replace the rows of a table that the rows are not read from."""
-    _write(df, table, partition_by, "overwrite")
-
-
-def _write(df: DataFrame, table: str, partition_by: Sequence[str], mode: str) -> None:
-    # Gather the rows of a partition first, in tasks of even size, else every task leaves a
-    # file in every partition folder.
-    gathered = df.hint("rebalance", *partition_by) if partition_by else df
-    gathered.write.format("parquet").mode(mode).partitionBy(*partition_by).saveAsTable(table)
+    _insert(df, table, overwrite=False)
+
+
+def overwrite_table(df: DataFrame, table: str) -> None:
+    """Replace all rows of an existing table that the rows are not read from."""
+    _insert(df, table, overwrite=True)
+
+
+def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
+    spark = df.sparkSession
+    columns = spark.catalog.listColumns(table)
+    rows = df.select(*(column.name for column in columns))
+    partition_by = [column.name for column in columns if column.isPartition]
+    if partition_by:
+        # Gather the rows of a partition first, in tasks of even size, else every task leaves
+        # a file in every partition folder.
+        rows = rows.hint("rebalance", *partition_by)
+    # An insert keeps the table's definition and location, and in this mode replaces every
+    # partition, not only those that get rows.
+    with sql_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+        rows.write.insertInto(table, overwrite=overwrite)

@@ -21,12 +21,14 @@ def incremental_upsert(
     checkpoint: str,
     trigger: dict | None = None,
     options: dict[str, str] | None = None,
+    keep: int | None = None,
 ) -> StreamingQuery:
     """Start upserting the rows of ``raw_table`` into ``target``, one micro-batch at a time.
 
     A new checkpoint starts at the table's first row, also after an initial load; the rows
     converge as long as batches come in time order. ``options`` are those of `stream_table`;
-    ``maxFilesPerTrigger`` bounds a micro-batch over a long history. An error in a batch fails the query, and
+    ``maxFilesPerTrigger`` bounds a micro-batch over a long history. With ``keep``, what none
+    of that many last commits uses is deleted after each batch. An error in a batch fails the query, and
     a restart repeats that batch, which `CurrentTable.apply` skips if it was committed.
     """
     writer_id = _writer_id(spark, checkpoint)
@@ -37,6 +39,8 @@ def incremental_upsert(
         counted = batch.observe(seen, F.count("*").alias("records"))
         if target.apply(counted, writer_id, batch_id):
             log.info("batch %s: %s records", batch_id, seen.get["records"])
+            if keep is not None:
+                target.expire(keep)
         else:
             log.info("batch %s was applied before", batch_id)
 
