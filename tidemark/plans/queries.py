@@ -168,11 +168,13 @@ def normalize_orders_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def parse_amount_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.col("value").cast("decimal(12,2)").cast("string")
+    with_comma = F.replace(cents, F.lit("."), F.lit(","))
+    kind = F.col("event_type")
     text = (
-        F.when(F.col("event_type") == "signup", cents)
-        .when(F.col("event_type") == "purchase", F.concat(F.lit(" -"), F.replace(cents, F.lit("."), F.lit(",")), F.lit(" ")))
-        .when(F.col("event_type") == "click", F.concat(F.lit("1,"), cents))
-        .when(F.col("event_type") == "view", F.concat(cents, F.lit("5E3")))
+        F.when(kind == "signup", cents)
+        .when(kind == "purchase", F.concat(F.lit(" -"), with_comma, F.lit(" ")))
+        .when(kind == "click", F.concat(F.lit("1,"), cents))
+        .when(kind == "view", F.concat(cents, F.lit("5E3")))
         .otherwise(F.concat(F.lit("99999999999"), cents))
     )
     return read_events(spark, sf_dir).select(
