@@ -104,6 +104,8 @@ def test_fold_leaves_large_older_folders(spark, folder):
     table.fold()
     assert len(table.state().changes) == 2
     assert table.state().changes[0] == large
+    # Many small folders become one file, however many buckets there are.
+    assert len(list(Path(folder, table.state().changes[1].name).glob("*.parquet"))) == 1
     assert pairs(table.read()) == before
     # Each batch with NULL keys left one, before and after.
     assert [key for key, _ in before].count(None) == 3

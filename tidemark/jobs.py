@@ -82,7 +82,6 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
         ensure_database(spark, args.raw_table.split(".")[0])
         ensure_table(spark, args.raw_table, args.raw_location)
     if "current" in args:
-        ensure_database(spark, args.database)
         target = CurrentTable(spark, args.current, database=args.database)
     trigger = None
     if getattr(args, "available_now", False):

@@ -30,6 +30,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.schema import KEY, ORDERS, PARTITION, TIEBREAK, TS
 from tidemark.session import sql_settings
 from tidemark.sources import files
+from tidemark.sources.tables import ensure_database
 
 _COMMIT = "_commit"
 
@@ -38,6 +39,8 @@ MB = 1024 * 1024
 MAX_BUCKETS = 65_536
 # Change bytes per bucket up to which the changed keys of a bucket are held in a hash table.
 HASHED_CHANGES = 64 * MB
+# A folded folder has a file per this many bytes of the folders it replaces.
+FOLDED_FILE = 128 * MB
 # Without `sort_by`, a task writes its few buckets side by side, which spares any sort.
 SNAPSHOT_WRITERS = 64
 
@@ -123,6 +126,7 @@ class CurrentTable:
         self.min_buckets = min_buckets
         self.compact_ratio = compact_ratio
         self.fold_after = fold_after
+        ensure_database(spark, database)
 
     # -- reading ---------------------------------------------------------------------------
 
@@ -210,7 +214,7 @@ class CurrentTable:
         if folded < 2:
             return
         older, newer = state.changes[:-folded], state.changes[-folded:]
-        written = self._write_changes(self._newest_changes(newer, self._partitions(state)))
+        written = self._write_changes(self._newest_changes(newer, size // FOLDED_FILE + 1))
         self._publish(replace(state, commit=state.commit + 1, changes=(*older, written)))
 
     def expire(self, keep: int = 2) -> list[str]:
@@ -250,9 +254,10 @@ class CurrentTable:
             return self.spark.range(0).select(*nothing)
         if not state.changes:
             return self._snapshot(state.snapshot)
-        newest = self._newest_changes(state.changes, self._partitions(state))
         if state.snapshot is None:
-            return newest.select(*names)
+            partitions = self._bucket_count(state.change_size)
+            return self._newest_changes(state.changes, partitions).select(*names)
+        newest = self._newest_changes(state.changes, state.snapshot.buckets)
         # Both joins leave the bucketed snapshot in place and shuffle only the changed keys.
         # As long as these fit, hashing them and streaming the snapshot past also spares
         # sorting the snapshot.
@@ -264,8 +269,9 @@ class CurrentTable:
     def _newest_changes(self, folders: Sequence[Folder], partitions: int) -> DataFrame:
         """The last change of each key, and every change whose key is NULL.
 
-        A folder has a key at most once, so no key is hot here. One shuffle by key serves the
-        window, the join with the snapshot and the snapshot written from it.
+        A folder has a key at most once, so no key is hot here. With as many partitions as
+        buckets, one shuffle by key serves the window, the join with the snapshot and the
+        snapshot written from it.
         """
         changes = (
             self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(_COMMIT, T.LongType())]))
@@ -281,11 +287,6 @@ class CurrentTable:
         ranked = F.row_number().over(per_key.orderBy(F.col(_COMMIT).desc()))
         return changes.withColumn("_rank", ranked).where(F.col("_rank") == 1).drop("_rank")
 
-    def _partitions(self, state: State) -> int:
-        if state.snapshot is not None:
-            return state.snapshot.buckets
-        return max(self._bucket_count(state.change_size), self.spark.sparkContext.defaultParallelism)
-
     def _snapshot(self, snapshot: Folder) -> DataFrame:
         table = self._table_name(snapshot.name)
         keys = ", ".join(self.keys)
