@@ -1,9 +1,11 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from helpers import order, orders, pairs, plan
 from tidemark.operators import latest_per_key, matched_updates, unmatched_updates, upsert
 from tidemark.schema import KEY, TIEBREAK, TS
+from tidemark.session import sql_settings
 
 BATCHES = st.lists(
     st.lists(
@@ -93,3 +95,24 @@ def test_filters_reach_the_target_scan(spark, folder):
     assert text.count("GreaterThan(amount,5.00)") == 2
     assert text.count("ReadSchema: struct<order_id:string,amount:decimal(12,2)>") == 2
     assert text.count("ReadSchema: struct<order_id:string>") == 1
+
+
+def test_a_target_full_of_null_keys_is_split_over_tasks(spark):
+    """NULL keys all hash to one partition; the adaptive skew join divides it."""
+    key = F.when(F.col("id") % 3 != 0, F.col("id").cast("string"))
+    rows = spark.range(0, 300_000, 1, 8).select(key.alias(KEY), F.col("id").alias("value"))
+    updates = rows.where(F.col(KEY).isNotNull()).withColumn("value", -F.col("value"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    with sql_settings(spark, settings):
+        result = upsert(rows, updates, [KEY]).groupBy(F.col(KEY).isNull().alias("keyless"))
+        counts = result.agg(F.count("*").alias("n"), F.sum(F.sign("value")).alias("signs"))
+        found = {row["keyless"]: (row["n"], row["signs"]) for row in counts.collect()}
+        assert "SortMergeJoin(skew=true)" in plan(counts)
+    assert found == {True: (100_000, 99_999), False: (200_000, -200_000)}

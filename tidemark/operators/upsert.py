@@ -15,7 +15,8 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     rows stay and such updates are inserted.
 
     The anti-join carries only the update keys on its right side. Filters and column pruning
-    pass through the union and the join to the target's scan.
+    pass through the union and the join to the target's scan. NULL keys of the target meet in
+    one shuffle partition, which the adaptive skew join divides.
     """
     names = target.columns
     kept = target.join(updates.select(*keys), list(keys), "left_anti")

@@ -40,7 +40,7 @@ MAX_BUCKETS = 65_536
 # Change bytes per bucket up to which the changed keys of a bucket are held in a hash table.
 HASHED_CHANGES = 64 * MB
 # A folded folder has a file per this many bytes of the folders it replaces.
-FOLDED_FILE = 128 * MB
+FOLDED_FILE = 64 * MB
 # Without `sort_by`, a task writes its few buckets side by side, which spares any sort.
 SNAPSHOT_WRITERS = 64
 
