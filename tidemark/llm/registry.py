@@ -7,14 +7,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_bpe import decode, encode
+from tidemark.llm.near_vectors import near_vectors
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.repeats import remove_repeats
+from tidemark.llm.set_join import alike
 from tidemark.llm.token_counts import count_tokens
+from tidemark.llm.vector_tree import search
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op3_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.withColumn("kept_sha256", F.sha2("remaining", 256)).drop("remaining")
+
+
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alike(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = encode(table(spark, sf_dir, "documents"), path, pattern)
@@ -46,6 +68,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_vectors": op1_near_vectors,
+    "op3_remove_repeats": op3_remove_repeats,
+    "op4_nearest_vectors": op4_nearest_vectors,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
