@@ -12,6 +12,7 @@ from tidemark.llm.packing import pack_documents
 from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.set_join import alike
 from tidemark.llm.token_counts import count_tokens
+from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.vector_tree import search
 
 
@@ -33,6 +34,10 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alike(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op3_remove_repeats": op3_remove_repeats,
     "op4_nearest_vectors": op4_nearest_vectors,
+    "op6_toxicity": op6_toxicity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
