@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_bpe import decode, encode
+from tidemark.llm.licenses import notices, scan
 from tidemark.llm.near_vectors import near_vectors
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.repeats import remove_repeats
@@ -14,6 +15,7 @@ from tidemark.llm.set_join import alike
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.vector_tree import search
+from tidemark.llm.warc import round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,10 @@ def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).drop("payload")
+
+
 def op3_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"))
     return cut.withColumn("kept_sha256", F.sha2("remaining", 256)).drop("remaining")
@@ -34,6 +40,10 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"), notices(spark))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -74,8 +84,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
+    "op2_warc_index": op2_warc_index,
     "op3_remove_repeats": op3_remove_repeats,
     "op4_nearest_vectors": op4_nearest_vectors,
+    "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_byte_bpe": op8_byte_bpe,
@@ -83,4 +95,19 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+#: The contract of an operator where SQL can state it; the others are held against brute force in tests.
+ORACLES: dict[str, str] = {
+    "op2_warc_index": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n FROM pages
+        ), d AS (
+            SELECT page_id, n, sha256(payload) AS digest,
+                   CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY sha256(payload)) END AS first
+            FROM p
+        )
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first < page_id THEN first END AS refers_to
+        FROM d
+    """,
+}

@@ -18,9 +18,9 @@ from tidemark.llm.pieces import Memo
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 9_000  # labelled rows that training reads at most, of each label
 TOXIC_WORDS, CLEAN_WORDS = 1_500, 4_000  # strings of the sample that the machine is fitted on at most
-HARD_WORDS, ROUNDS = 1_000, 4  # and strings of clean texts added in each round of mistakes
+HARD_WORDS, ROUNDS = 2_000, 2  # and strings of clean texts added in each round of mistakes
 LANDMARKS = 250  # of each label
-ORDER, SPAN, DECAY = 3, 6, 0.6  # characters of a subsequence, the text it may stretch over, weight of each step
+ORDER, SPAN, DECAY = 4, 6, 0.5  # characters of a subsequence, the text it may stretch over, weight of each step
 LONG = 32  # longer words are read in windows of this many characters
 EDGE = "^"
 
