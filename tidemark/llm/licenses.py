@@ -91,9 +91,11 @@ def scan(
         raise ValueError(f"templates have more than {KEYS} band keys; scan with parts of them")
 
     rows = docs.select(F.col(f"`{id}`").alias("id"), shingled(F.col(f"`{text}`")).alias("w"))
-    rows = rows.select("id", shingles("w").alias("s")).where(F.size("s") > 0)
+    # One-row generators keep the optimizer from computing an array anew wherever it is used.
+    rows = rows.select("id", F.explode(F.array("w")).alias("w")).where(F.size("w") >= WIDTH)
+    rows = rows.select("id", F.explode(F.array(shingles("w"))).alias("s"))
     masked = [F.transform("s", lambda h, mask=mask: h.bitwiseXOR(F.lit(mask))).alias(f"m{i}") for i, mask in enumerate(MASKS)]
-    rows = rows.select("id", "s", *masked)
+    rows = rows.select("id", "s", F.explode(F.array(F.struct(*masked))).alias("m")).select("id", "s", "m.*")
     windows = []
     for size in sizes:
         step = max(1, size // 4)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import map_rows, materialise
 from tidemark.llm.pieces import Memo
+from tidemark.llm.set_join import Shingles
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 9_000  # labelled rows that training reads at most, of each label
 TOXIC_WORDS, CLEAN_WORDS = 1_500, 4_000  # strings of the sample that the machine is fitted on at most
@@ -23,6 +24,7 @@ LANDMARKS = 250  # of each label
 ORDER, SPAN, DECAY = 4, 6, 0.5  # characters of a subsequence, the text it may stretch over, weight of each step
 LONG = 32  # longer words are read in windows of this many characters
 EDGE = "^"
+MASK = 0x2545F4914F6CDD1D  # any value that deals fingerprints anew
 
 
 def subsequences(word: str) -> dict[str, float]:
@@ -137,10 +139,11 @@ class Machine:
         return max(map(self.judge, strings_of(word)))
 
     def decision(self, text: str) -> float:
-        """The strongest decision over the words of a text; texts without words are as clean as can be."""
+        """The strongest decision over the words of a text, no further than the margin; texts without words
+        are as clean as can be."""
         if self.memo is None:
             self.memo = Memo(self._judge, 1 << 19)
-        return max(-3.0, min(3.0, max(map(self.memo.__getitem__, words_of(text)), default=-3.0)))
+        return max(-2.0, min(1.0, max(map(self.memo.__getitem__, words_of(text)), default=-2.0)))
 
     def score(self, text: str) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * self.decision(text) + self.offset))))
@@ -157,6 +160,16 @@ def string_judge(shared):
     return judge
 
 
+def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shingles = Shingles(5)
+    for batch in batches:
+        sets = [shingles(text).view(np.int64) for text in batch.column("_0").to_pylist()]
+        ends = [[x[0], x[-1], x[np.argmin(x ^ np.int64(MASK))]] if len(x) else [0, 0, 0] for x in sets]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], pa.array(ends, pa.list_(pa.int64()))], names=[*batch.schema.names[:-1], "marks"]
+        )
+
+
 def train(labelled: DataFrame) -> Machine | float:
     """Fit on rows of (``id``, ``text``, ``toxic``); without both labels, the share of toxic rows.
 
@@ -181,9 +194,13 @@ def train(labelled: DataFrame) -> Machine | float:
                 found = sorted({s for word in words_of(text) for s in strings_of(word)})
                 yield pa.RecordBatch.from_pydict({"s": pa.array(found, pa.string()), "toxic": [int(toxic)] * len(found)})
 
-    # Texts of one word set count once, so that a large group of copies does not decide.
+    # Near copies of a text count once, so that a group of them does not decide: they tend to
+    # share the least, the greatest and the middle of their n-grams' fingerprints.
+    marked = map_rows(sample, ["text", "toxic"], [F.col("text")], [T.StructField("marks", T.ArrayType(T.LongType()))], marks)
+    for i in range(3):
+        marked = marked.withColumn("mark", F.col("marks")[i]).dropDuplicates(["mark"])
     counted = (
-        sample.dropDuplicates(["text"]).select("text", F.col("toxic").cast("int"))
+        marked.select("text", F.col("toxic").cast("int"))
         .repartition(32)
         .mapInArrow(explode, "s string, toxic long")
         .groupBy("s")
