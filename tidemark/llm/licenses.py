@@ -36,8 +36,12 @@ def shingles(words: str) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(WIDTH)]))
 
 
+def masked_by(values: Column, mask: int) -> Column:
+    return F.transform(values, lambda h: h.bitwiseXOR(F.lit(mask)))
+
+
 def least(values: Column, mask: int) -> Column:
-    return F.array_min(F.transform(values, lambda h: h.bitwiseXOR(F.lit(mask))))
+    return F.array_min(masked_by(values, mask))
 
 
 def band_keys(values: Column, size: int) -> Column:
@@ -94,7 +98,7 @@ def scan(
     # One-row generators keep the optimizer from computing an array anew wherever it is used.
     rows = rows.select("id", F.explode(F.array("w")).alias("w")).where(F.size("w") >= WIDTH)
     rows = rows.select("id", F.explode(F.array(shingles("w"))).alias("s"))
-    masked = [F.transform("s", lambda h, mask=mask: h.bitwiseXOR(F.lit(mask))).alias(f"m{i}") for i, mask in enumerate(MASKS)]
+    masked = [masked_by(F.col("s"), mask).alias(f"m{i}") for i, mask in enumerate(MASKS)]
     rows = rows.select("id", "s", F.explode(F.array(F.struct(*masked))).alias("m")).select("id", "s", "m.*")
     windows = []
     for size in sizes:
