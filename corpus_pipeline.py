@@ -6,6 +6,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import materialise
 from tidemark.llm.packing import pack_documents
@@ -30,7 +31,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(others, "doc_id", "left_anti").select(*COLUMNS)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def whole_characters(remaining: pd.Series) -> pd.Series:
     return remaining.map(lambda data: bytes(data).decode("utf-8", "ignore"))
 
