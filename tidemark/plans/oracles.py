@@ -60,7 +60,7 @@ LINEITEM_LATEST = """l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppk
 
 PAIR = "order_id, product_id"
 OLD_PAIRS = newest(f"SELECT * FROM ({ORDERS}) WHERE event_date < DATE '2024-01-15'", PAIR)
-NEW_PAIRS = newest(f"SELECT * FROM ({ORDERS}) WHERE event_date >= DATE '2024-01-15'", PAIR)
+NEW_PAIRS = newest(f"SELECT * FROM ({ORDERS}) WHERE event_date >= DATE '2024-01-15' OR event_date IS NULL", PAIR)
 
 KEYLESS = f"""
 SELECT * REPLACE (CASE WHEN payment_method <> 'pix' THEN order_id END AS order_id)

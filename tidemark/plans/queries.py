@@ -269,7 +269,7 @@ PAIR = ["order_id", "product_id"]
 
 def target_and_updates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = orders(spark, sf_dir)
-    is_old = F.col("event_date") < F.lit("2024-01-15").cast("date")
+    is_old = F.coalesce(F.col("event_date") < F.lit("2024-01-15").cast("date"), F.lit(False))
     target, updates = (latest_per_key(rows.where(side), PAIR, TS, TIEBREAK) for side in (is_old, ~is_old))
     return target, updates
 
@@ -296,7 +296,7 @@ def upsert_not_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     keys = ["l_orderkey", "l_linenumber"]
-    returned = F.col("l_returnflag") == "R"
+    returned = F.col("l_returnflag").eqNullSafe("R")
     target, updates = (
         latest_per_key(rows, keys, "l_shipdate", LINEITEM_ORDER[1:])
         for rows in (lineitem.where(~returned), lineitem.where(returned))
@@ -319,7 +319,7 @@ def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = orders(spark, sf_dir)
     # Changes paid by pix lose their key.
     keyless = rows.withColumn(KEY, F.when(F.col("payment_method") != "pix", F.col(KEY)))
-    first, second = (newest(keyless.where(part)) for part in (PARTS[0], f"NOT {PARTS[0]}"))
+    first, second = (newest(keyless.where(part)) for part in (PARTS[0], f"NOT coalesce({PARTS[0]}, false)"))
     return business(upsert(first, second, KEYS))
 
 

@@ -15,11 +15,11 @@ from tidemark.streaming import incremental_upsert, ingest_raw
 AVAILABLE_NOW = {"availableNow": True}
 
 # The feed lands in three parts, each followed by a run of the streams. Landing order is then
-# batch order on any file system, with no reliance on file times.
+# batch order on any file system, with no reliance on file times. Rows without a date come last.
 PARTS = [
     "event_date < DATE '2024-01-11'",
     "event_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-20'",
-    "event_date > DATE '2024-01-20'",
+    "event_date IS NULL OR event_date > DATE '2024-01-20'",
 ]
 
 
