@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 WIDTH = 5  # words of a shingle
 BANDS = 8  # of one row each: at a similarity of 0.5, a window is missed with probability 0.5 ** 8
 KEYS = 100_000  # band keys of all templates at most
-# Masks of the bands; any distinct values do.
-MASKS = [(0x5851F42D4C957F2D * (2 * i + 1)) % (1 << 63) for i in range(BANDS)]
-
 # Notices as licences have them.
 NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -36,20 +33,16 @@ def shingles(words: str) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(WIDTH)]))
 
 
-def masked_by(values: Column, mask: int) -> Column:
-    return F.transform(values, lambda h: h.bitwiseXOR(F.lit(mask)))
-
-
-def least(values: Column, mask: int) -> Column:
-    return F.array_min(masked_by(values, mask))
+def rehashed(values: Column, band: int) -> Column:
+    return F.transform(values, lambda h: F.xxhash64(h, F.lit(band)))
 
 
 def band_keys(values: Column, size: int) -> Column:
-    return F.array(*[F.xxhash64(F.lit(size), F.lit(i), least(values, mask)) for i, mask in enumerate(MASKS)])
+    return F.array(*[F.xxhash64(F.lit(size), F.lit(i), F.array_min(rehashed(values, i))) for i in range(BANDS)])
 
 
 def window_of(size: int, step: int):
-    """The window from a start, with its band keys; ``m0``, ``m1``, .. are the masked shingles of a text."""
+    """The window from a start, with its band keys; ``m0``, ``m1``, .. are the shingles' hashes for each band."""
 
     def window(start: Column) -> Column:
         keys = [F.xxhash64(F.lit(size), F.lit(i), F.array_min(F.slice(f"m{i}", start, size))) for i in range(BANDS)]
@@ -98,8 +91,8 @@ def scan(
     # One-row generators keep the optimizer from computing an array anew wherever it is used.
     rows = rows.select("id", F.explode(F.array("w")).alias("w")).where(F.size("w") >= WIDTH)
     rows = rows.select("id", F.explode(F.array(shingles("w"))).alias("s"))
-    masked = [masked_by(F.col("s"), mask).alias(f"m{i}") for i, mask in enumerate(MASKS)]
-    rows = rows.select("id", "s", F.explode(F.array(F.struct(*masked))).alias("m")).select("id", "s", "m.*")
+    hashes = [rehashed(F.col("s"), i).alias(f"m{i}") for i in range(BANDS)]
+    rows = rows.select("id", "s", F.explode(F.array(F.struct(*hashes))).alias("m")).select("id", "s", "m.*")
     windows = []
     for size in sizes:
         step = max(1, size // 4)

@@ -193,7 +193,7 @@ def train(labelled: DataFrame) -> Machine | float:
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = sorted({s for word in words_of(text) for s in strings_of(word)})
-                yield pa.RecordBatch.from_pydict({"s": pa.array(found, pa.string()), "toxic": [int(toxic)] * len(found)})
+                yield pa.RecordBatch.from_pydict({"s": pa.array(found, pa.string()), "toxic": pa.array([toxic] * len(found), pa.int64())})
 
     # Near copies of a text count once, so that a group of them does not decide: they tend to
     # share two of three extremes of their n-grams' fingerprints.
