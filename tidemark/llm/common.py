@@ -16,7 +16,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: what follows does not recompute it
     when an executor is lost."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

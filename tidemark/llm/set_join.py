@@ -95,7 +95,7 @@ def alike(
     components are walked, and there pairs are skipped by size and by position in the set.
 
     A null or empty text has no n-grams and links with nothing. Rows with a null id have a null
-    component. Repeated ids stand for one document; each row is returned. Other columns are ignored.
+    component. Rows of one id are one document, which links where any of them does; each row is returned. Other columns are ignored.
     """
     spark = docs.sparkSession
     text = F.col(text) if isinstance(text, str) else text
@@ -130,10 +130,12 @@ def alike(
         T.StructField("first", T.ArrayType(T.LongType())),
     ]
     rows = docs.select(F.col(f"`{id}`").alias("id"), text.alias("text"))
-    signed = materialise(map_rows(rows, ["id"], [F.col("text")], outputs, signatures), "set-signatures")
-    same = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
-    same = materialise(same, "set-classes")
-    reps = signed.join(same, "digest").where("id = rep").dropDuplicates(["id"])
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    signed = materialise(map_rows(numbered, ["id", "row"], [F.col("text")], outputs, signatures), "set-signatures")
+    least = F.min(F.struct("id", "row"))
+    same = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(least.alias("least"))
+    same = materialise(same.select("digest", F.col("least.id").alias("rep"), F.col("least.row").alias("row")), "set-classes")
+    reps = signed.join(same.select("row"), "row", "left_semi")
     places = materialise(reps.select("id", "n", F.posexplode("first").alias("pos", "tok")), "set-index")
     heads = places.groupBy("tok").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last")
     listed = materialise(places.join(heads.select("tok", "head"), "tok"), "set-lists")
@@ -142,7 +144,7 @@ def alike(
         """The pairs (a, b) that link."""
         pairs = materialise(pairs, "set-pairs")
         named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        needed = rows.join(named, "id", "left_semi").dropDuplicates(["id"])
+        needed = rows.join(named, "id", "left_semi")
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingles = Shingles(width)
@@ -176,7 +178,7 @@ def alike(
     votes = listed.where("head <> id").groupBy("id", "head").agg(F.count("*").alias("votes"), F.first("n").alias("n"))
     best = votes.groupBy("id").agg(F.max_by("head", F.struct("votes", -F.col("head"))).alias("head"))
     links = verify(best.select(F.col("head").alias("a"), F.col("id").alias("b")))
-    nodes = reps.select("id")
+    nodes = same.select(F.col("rep").alias("id")).distinct()
     root = smallest_reachable(spark, nodes, links)
     # Then what lists with several components leave open.
     held = listed.drop("head").join(root, "id")
