@@ -17,6 +17,7 @@ from tidemark.llm.common import map_rows, materialise, smallest_reachable
 from tidemark.llm.pieces import Memo
 
 CELLS = 1 << 16  # cells of the count sketch in one row
+PARITIES = 8  # 64-bit words of a set's parities
 ODD = 0x9E3779B97F4A7C15
 
 
@@ -49,6 +50,13 @@ class Shingles:
         return np.unique(out)
 
 
+def parities(own: np.ndarray) -> np.ndarray:
+    """For each of 64 * `PARITIES` cells, whether an odd number of n-grams falls in it. Two sets whose parities differ
+    in d cells differ in at least d n-grams."""
+    bits = np.bincount((own >> np.uint64(40)).astype(np.int64) % (64 * PARITIES), minlength=64 * PARITIES) % 2
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def sketch(docs: DataFrame, text: Column, width: int, cells: int) -> np.ndarray:
     """How many texts hold an n-gram of each cell, over all texts; ``cells`` counts, whatever the input."""
 
@@ -92,7 +100,8 @@ def alike(
     texts, and the index lists each set under its first n-grams only, as many as a partner must share one
     of. Each set is compared with the set that heads most of its lists; one that is alike
     passes its component on, which answers for all sets of that component. Only lists that still hold several
-    components are walked, and there pairs are skipped by size and by position in the set.
+    components are walked, and there pairs are skipped by size, by position in the set and by the parities of
+    n-grams in a few hundred cells, which bound from below how many n-grams two sets differ in.
 
     A null or empty text has no n-grams and links with nothing. Rows with a null id have a null
     component. Rows of one id are one document, which links where any of them does; each row is returned. Other columns are ignored.
@@ -106,11 +115,12 @@ def alike(
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, order = Shingles(width), counts.value
         for batch in batches:
-            sizes, digests, first = [], [], []
+            sizes, digests, first, odd = [], [], [], []
             for value in batch.column("_0").to_pylist():
                 own = shingles(value)
                 n = len(own)
                 sizes.append(n)
+                odd.append(parities(own))
                 digests.append(xxh3_128_digest(own.tobytes()) if n else None)
                 head = own[np.argsort(order[(own % np.uint64(cells)).astype(np.int64)], kind="stable")]
                 first.append(head[: n - -(-n * percent // 100) + 1].view(np.int64) if n else [])
@@ -120,14 +130,16 @@ def alike(
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(first, pa.list_(pa.int64())),
+                    pa.array(odd, pa.list_(pa.int64())),
                 ],
-                names=[*batch.schema.names[:-1], "n", "digest", "first"],
+                names=[*batch.schema.names[:-1], "n", "digest", "first", "odd"],
             )
 
     outputs = [
         T.StructField("n", T.LongType()),
         T.StructField("digest", T.BinaryType()),
         T.StructField("first", T.ArrayType(T.LongType())),
+        T.StructField("odd", T.ArrayType(T.LongType())),
     ]
     rows = docs.select(F.col(f"`{id}`").alias("id"), text.alias("text"))
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
@@ -183,17 +195,22 @@ def alike(
     # Then what lists with several components leave open.
     held = listed.drop("head").join(root, "id")
     open_lists = held.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    held = materialise(held.join(open_lists.select("tok"), "tok"), "set-open")
-    x = held.select("tok", *[F.col(c).alias(f"{c}1") for c in ("id", "n", "pos", "root")])
-    y = held.select("tok", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "root")])
-    need = (F.col("n1") + F.col("n2")) * percent  # intersection * (100 + percent) must reach it
-    reach = 1 + F.least(F.col("n1") - F.col("pos1") - 1, F.col("n2") - F.col("pos2") - 1) + F.least("pos1", "pos2")
+    held = held.join(open_lists.select("tok"), "tok")
+    odd = signed.join(same.select("row"), "row", "left_semi").select("id", *[F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES)])
+    held = materialise(held.join(odd.join(held.select("id").distinct(), "id", "left_semi"), "id"), "set-open")
+    names = ("id", "n", "pos", "root", *[f"odd{i}" for i in range(PARITIES)])
+    x = held.select("tok", *[F.col(c).alias(f"{c}_1") for c in names])
+    y = held.select("tok", *[F.col(c).alias(f"{c}_2") for c in names])
+    need = (F.col("n_1") + F.col("n_2")) * percent  # intersection * (100 + percent) must reach it
+    reach = 1 + F.least(F.col("n_1") - F.col("pos_1") - 1, F.col("n_2") - F.col("pos_2") - 1) + F.least("pos_1", "pos_2")
+    apart = sum(F.bit_count(F.col(f"odd{i}_1").bitwiseXOR(F.col(f"odd{i}_2"))) for i in range(PARITIES))
     pairs = (
         x.join(y, "tok")
-        .where(F.col("root1") < F.col("root2"))
-        .where(100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2"))
+        .where(F.col("root_1") < F.col("root_2"))
+        .where(100 * F.least("n_1", "n_2") >= percent * F.greatest("n_1", "n_2"))
         .where(reach * (100 + percent) >= need)
-        .select(F.col("id1").alias("a"), F.col("id2").alias("b"))
+        .where(apart * (100 + percent) <= (F.col("n_1") + F.col("n_2")) * (100 - percent))
+        .select(F.col("id_1").alias("a"), F.col("id_2").alias("b"))
         .distinct()
     )
     links = links.union(verify(pairs))
