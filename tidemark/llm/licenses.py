@@ -33,22 +33,37 @@ def shingles(words: str) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(WIDTH)]))
 
 
-def rehashed(values: Column, band: int) -> Column:
-    return F.transform(values, lambda h: F.xxhash64(h, F.lit(band)))
+def dealt(values: Column, band: int) -> Column:
+    return F.transform(values, lambda h: F.struct(F.xxhash64(h, F.lit(band)).alias("least"), h.alias("h")))
 
 
 def band_keys(values: Column, size: int) -> Column:
-    return F.array(*[F.xxhash64(F.lit(size), F.lit(i), F.array_min(rehashed(values, i))) for i in range(BANDS)])
+    """A key of each band: the least of the values' hashes."""
+    least = (F.array_min(dealt(values, i))["least"] for i in range(BANDS))
+    return F.array(*[F.xxhash64(F.lit(size), F.lit(i), key) for i, key in enumerate(least)])
 
 
-def window_of(size: int, step: int):
-    """The window from a start, with its band keys; ``m0``, ``m1``, .. are the shingles' hashes for each band."""
+def anchors(values: Column) -> Column:
+    """The values that give the keys of `band_keys`. A window without any of a template's anchors agrees with it in no band."""
+    return F.array(*[F.array_min(dealt(values, i))["h"] for i in range(BANDS)])
+
+
+def windows_at(places: Column, size: int, step: int) -> Column:
+    """Starts, from 1 and at every ``step``, of the windows that hold one of ``places``."""
+
+    def around(place: Column) -> Column:
+        first = F.greatest(F.lit(0), F.ceil((place - size) / step).cast("int"))
+        return F.transform(F.sequence(first, F.floor((place - 1) / step).cast("int")), lambda k: k * step + 1)
+
+    return F.array_distinct(F.flatten(F.transform(places, around)))
+
+
+def keyed(size: int, step: int, keys: list[int]):
+    """The window from a start, with those of its band keys that a template has."""
 
     def window(start: Column) -> Column:
-        keys = [F.xxhash64(F.lit(size), F.lit(i), F.array_min(F.slice(f"m{i}", start, size))) for i in range(BANDS)]
-        return F.struct(
-            start.alias("start"), F.lit(size).alias("wide"), F.lit(step).alias("step"), F.array(*keys).alias("keys")
-        )
+        own = F.filter(band_keys(F.slice("s", start, size), size), lambda key: key.isin(keys))
+        return F.struct(start.alias("start"), F.lit(size).alias("wide"), F.lit(step).alias("step"), own.alias("keys"))
 
     return window
 
@@ -84,22 +99,23 @@ def scan(
         own = known.where(F.col("size") == size)
         banded = banded.union(own.select("template", "t", "size", F.explode(band_keys(F.col("t"), size)).alias("key")))
     keys = [r["key"] for r in banded.select("key").distinct().limit(KEYS + 1).collect()]
-    if len(keys) > KEYS:
+    marks = [r["h"] for r in known.select(F.explode(anchors(F.col("t"))).alias("h")).distinct().limit(KEYS + 1).collect()]
+    if max(len(keys), len(marks)) > KEYS:
         raise ValueError(f"templates have more than {KEYS} band keys; scan with parts of them")
 
     rows = docs.select(F.col(f"`{id}`").alias("id"), shingled(F.col(f"`{text}`")).alias("w"))
     # One-row generators keep the optimizer from computing an array anew wherever it is used.
     rows = rows.select("id", F.explode(F.array("w")).alias("w")).where(F.size("w") >= WIDTH)
     rows = rows.select("id", F.explode(F.array(shingles("w"))).alias("s"))
-    hashes = [rehashed(F.col("s"), i).alias(f"m{i}") for i in range(BANDS)]
-    rows = rows.select("id", "s", F.explode(F.array(F.struct(*hashes))).alias("m")).select("id", "s", "m.*")
+    # Most texts hold no anchor, and only windows around anchors are hashed.
+    places = F.filter(F.sequence(F.lit(1), F.size("s")), lambda i: F.element_at("s", i).isin(marks))
+    rows = rows.where(F.arrays_overlap("s", F.array(*map(F.lit, marks))))
+    rows = rows.select("id", "s", F.explode(F.array(places)).alias("at"))
     windows = []
     for size in sizes:
         step = max(1, size // 4)
-        starts = F.sequence(F.lit(1), F.size("s"), F.lit(step))
-
-        found = F.transform(starts, window_of(size, step))
-        windows.append(F.filter(found, lambda x: F.exists(x["keys"], lambda key: key.isin(keys))))
+        found = F.transform(windows_at(F.col("at"), size, step), keyed(size, step, keys))
+        windows.append(F.filter(found, lambda x: F.size(x["keys"]) > 0))
     hits = rows.select("id", "s", F.explode(F.concat(*windows)).alias("x"))
     first = F.greatest(F.lit(1), F.col("x.start") - F.col("x.step"))
     hits = hits.select(
