@@ -106,25 +106,50 @@ def near_vectors(
     )
     met = dealt.join(hashed.select("id", "weight", "v", "keys"), "id")
 
-    def check(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id")
-        units, keys = unit(group["v"]), np.stack(group["keys"])
+    def check(group: pd.DataFrame, units: np.ndarray, keys: np.ndarray) -> pd.DataFrame | None:
         n, t = len(group), int(group["t"].iloc[0])
         linked = np.zeros((n, n), bool)
         for lo in range(0, n, 512):
             linked[lo : lo + 512] = units[lo : lo + 512] @ units.T >= threshold
-        for earlier in range(t):
-            linked &= keys[:, None, earlier] != keys[None, :, earlier]
+        np.fill_diagonal(linked, False)
         if group["a"].iloc[0] != group["b"].iloc[0]:  # pairs inside a block are counted by its own group
             linked &= group["own"].to_numpy()[:, None] != group["own"].to_numpy()[None, :]
-        np.fill_diagonal(linked, False)
+        for row in np.flatnonzero(linked.any(1)):
+            at = np.flatnonzero(linked[row])
+            linked[row, at] = (keys[at, :t] != keys[row, :t]).all(1)
         found = linked.any(1)
+        if not found.any():
+            return None
         ids = group["id"].to_numpy()
         links = (linked * group["weight"].to_numpy()[None, :]).sum(1)
         return pd.DataFrame({"id": ids[found], "links": links[found], "root": ids[local_roots(linked)][found]})
 
+    def check_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One call over a partition sorted by group: most groups are pairs, too small for a call each."""
+
+        def checked(frame: pd.DataFrame, ends: np.ndarray) -> Iterator[pd.DataFrame]:
+            start = 0
+            for end in ends:
+                group = frame.iloc[start:end]
+                out = check(group, unit(group["v"]), np.stack(group["keys"]))
+                start = end
+                if out is not None:
+                    yield out
+
+        rest = None
+        for batch in batches:
+            frame = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            names = frame[["t", "key", "a", "b"]].to_numpy()
+            ends = np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1
+            yield from checked(frame, ends)
+            rest = frame.iloc[ends[-1] :] if len(ends) else frame
+        if rest is not None and len(rest):
+            yield from checked(rest, np.array([len(rest)]))
+
     schema = "id long, links long, root long"
-    part = materialise(met.groupBy("t", "key", "a", "b").applyInPandas(check, schema), "vector-links")
+    group = ["t", "key", "a", "b"]
+    grouped = met.repartition(*group).sortWithinPartitions(*group, "id")
+    part = materialise(grouped.mapInPandas(check_all, schema), "vector-links")
     counts = part.groupBy("id").agg(F.sum("links").alias("links"))
     roots = smallest_reachable(
         spark, reps.select("id"), part.select(F.col("id").alias("a"), F.col("root").alias("b"))
