@@ -24,6 +24,9 @@ LANDMARKS = 250  # of each label
 ORDER, SPAN, DECAY = 4, 6, 0.5  # characters of a subsequence, the text it may stretch over, weight of each step
 LONG = 32  # longer words are read in windows of this many characters
 EDGE = "^"
+BEGINNINGS = range(5, 10)  # characters of a word's beginnings, with the edge
+# The weights of the subsequences that end after some characters, in the order of `combinations` of these.
+FADES = [[DECAY ** (n - at[0]) for at in combinations(range(n), ORDER - 1)] for n in range(SPAN)]
 MASK = 0x2545F4914F6CDD1D  # any value that deals fingerprints anew
 
 
@@ -39,11 +42,14 @@ def subsequences(word: str) -> dict[str, float]:
     return {key: x / size for key, x in out.items()}
 
 
+def windows_of(marked: str) -> list[str]:
+    return [marked] if len(marked) <= LONG else [marked[i : i + LONG] for i in range(0, len(marked) - LONG // 2, LONG // 2)]
+
+
 def strings_of(word: str) -> list[str]:
     """What the machine judges of a word: all of it, in windows if it is long, and how it begins."""
     marked = EDGE + word
-    whole = [marked] if len(marked) <= LONG else [marked[i : i + LONG] for i in range(0, len(marked) - LONG // 2, LONG // 2)]
-    return whole + [marked[:n] for n in range(5, 10) if len(marked) > n]
+    return windows_of(marked) + [marked[:n] for n in BEGINNINGS if len(marked) > n]
 
 
 def words_of(text: str) -> set[str]:
@@ -131,12 +137,25 @@ class Machine:
         self.slope, self.offset = 1.0, 0.0
         self.memo = None
 
-    def judge(self, string: str) -> float:
-        get = self.weights.get
-        return sum([x * get(key, 0.0) for key, x in subsequences(string).items()]) + self.bias
+    def judge(self, string: str, stops: range = range(0)) -> float:
+        """The decision on ``string``, or the strongest over it and its beginnings of a length in ``stops``, as
+        each holds the subsequences of the one before."""
+        get, seen, along, square, found = self.weights.get, {}, 0.0, 0.0, []
+        for end in range(ORDER - 1, len(string)):
+            before, last = string[max(0, end - SPAN + 1) : end], string[end]
+            for rest, x in zip(combinations(before, ORDER - 1), FADES[len(before)]):
+                key = "".join(rest) + last
+                old = seen.get(key, 0.0)
+                seen[key] = old + x
+                square += x * (old + old + x)
+                along += x * get(key, 0.0)
+            if end + 1 == len(string) or end + 1 in stops:
+                found.append(along / math.sqrt(square))
+        return max(found, default=0.0) + self.bias
 
     def _judge(self, word: str) -> float:
-        return max(map(self.judge, strings_of(word)))
+        first, *others = windows_of(EDGE + word)
+        return max([self.judge(first, BEGINNINGS), *map(self.judge, others)])
 
     def decision(self, text: str) -> float:
         """The strongest decision over the words of a text, no further than the margin, and the log of how many
@@ -237,7 +256,7 @@ def train(labelled: DataFrame) -> Machine | float:
             break
         other = {**new, **other}
         machine = Machine(known, list(other.items()))
-    judged = decisions(sample, machine, ["toxic"], F.col("text")).toPandas()  # two numbers a sampled row
+    judged = decisions(sample.repartition(32), machine, ["toxic"], F.col("text")).toPandas()  # two numbers a sampled row
     machine.slope, machine.offset = logistic(judged["decision"].to_numpy(), judged["toxic"].to_numpy(np.float64))
     return machine
 
