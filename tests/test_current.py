@@ -334,3 +334,28 @@ def test_state_round_trip(spark, folder):
     state = table.state()
     assert type(state).from_json(state.to_json()) == state
     assert dataclasses.replace(state, changes=()).folders() == set()
+
+
+def test_columns_outside_the_schema_are_refused(spark, folder):
+    for wrong in ({"order_by": "event_time_"}, {"keys": ["idd"]}, {"tiebreak": ["x"]}, {"sort_by": ["x"]}):
+        with pytest.raises(ValueError, match="not in the schema"):
+            CurrentTable(spark, folder, **wrong)
+
+
+def test_a_commit_whose_folder_expired_fails_and_can_be_repeated(spark, folder, monkeypatch):
+    table = CurrentTable(spark, folder, min_buckets=2, compact_ratio=None)
+    apply_all(spark, table, BATCHES[:2])
+    write = table._write_changes
+
+    def expired(rows):
+        written = write(rows)
+        CurrentTable(spark, folder, min_buckets=2).expire(1)
+        return written
+
+    monkeypatch.setattr(table, "_write_changes", expired)
+    with pytest.raises(FileNotFoundError):
+        table.apply(batch(spark, BATCHES[2]), "w", 2)
+    monkeypatch.undo()
+    assert pairs(table.read()) == folded(spark, BATCHES[:2])
+    assert table.apply(batch(spark, BATCHES[2]), "w", 2)
+    assert pairs(table.read()) == folded(spark, BATCHES[:3])

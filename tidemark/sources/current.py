@@ -114,6 +114,9 @@ class CurrentTable:
         compact_ratio: float | None = 0.25,
         fold_after: int = 32,
     ) -> None:
+        unknown = {*keys, order_by, *tiebreak, *sort_by} - set(schema.fieldNames())
+        if unknown:
+            raise ValueError(f"columns not in the schema: {sorted(unknown)}")
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
@@ -341,4 +344,9 @@ class CurrentTable:
         return sorted(name for name in names if name.endswith(".json"))
 
     def _publish(self, state: State) -> None:
+        """Put ``state`` in force. Fails if another session's `expire` took a folder that it names: the
+        table then stays as it was, and the batch can be applied again."""
+        gone = state.folders() - set(files.list_names(self.spark, self.root))
+        if gone:
+            raise FileNotFoundError(f"folders of commit {state.commit} are gone: {sorted(gone)}")
         files.publish_text(self.spark, f"{self.root}/_state/{state.commit:012d}.json", state.to_json())
