@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.llm.common import materialise
 from tidemark.llm.packing import pack_documents
@@ -31,16 +29,22 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(others, "doc_id", "left_anti").select(*COLUMNS)
 
 
-@F.pandas_udf(T.StringType())
-def whole_characters(remaining: pd.Series) -> pd.Series:
-    return remaining.map(lambda data: bytes(data).decode("utf-8", "ignore"))
+def whole_characters(data: Column) -> Column:
+    """UTF-8 text without the bytes of cut characters. Replacement characters of the text itself stay."""
+    text = data.cast("string")
+    for old, new in (("\uffff", "\uffff0"), ("\ufffd", "\uffff1")):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    text = F.make_valid_utf8(text)
+    for old, new in (("\ufffd", ""), ("\uffff1", "\ufffd"), ("\uffff0", "\uffff")):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, less the 200-byte strings that occur more than once. Characters cut in two
     go whole, null texts become empty, and ``n_chars`` is counted anew."""
     cut = remove_repeats(docs, keep=("doc_id", "lang", "source", "n_chars"))
-    changed = cut.select("*", whole_characters("remaining").alias("text"))
+    changed = cut.select("*", whole_characters(F.col("remaining")).alias("text"))
     return changed.select(
         "doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars")
     )

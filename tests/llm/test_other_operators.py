@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -134,3 +135,10 @@ def test_pipeline(spark):
     scores = {r["doc_id"]: r["predicted"] for r in QUERIES["op6_toxicity"](spark, SF).collect()}
     assert found and all(scores[r["doc_id"]] == 0 for r in found)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard", "remove_repeats", "packing"]
+
+
+def test_cut_characters_go_whole(spark):
+    cut = ["a\u00e9b".encode()[:2], "\u20ac\ufffd\uffff".encode()[1:], b"\xf0\x9f\x98x\xbf", "\uffff1\ufffd0".encode(), b""]
+    frame = spark.createDataFrame([(i, bytearray(data)) for i, data in enumerate(cut)], "i long, d binary")
+    got = {r["i"]: r["t"] for r in frame.select("i", corpus_pipeline.whole_characters(F.col("d")).alias("t")).collect()}
+    assert got == {i: data.decode("utf-8", "ignore") for i, data in enumerate(cut)}
