@@ -278,6 +278,8 @@ def decisions(docs: DataFrame, machine: Machine | float, keep: list[str], text:
                 [*batch.columns[:-1], pa.array(found, pa.float64()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names[:-1], "decision", "score"],
             )
+        if not isinstance(own, float):
+            own.memo = None  # the worker keeps the broadcast machine
 
     outputs = [T.StructField("decision", T.DoubleType()), T.StructField("score", T.DoubleType())]
     return map_rows(docs, keep, [F.coalesce(text.cast("string"), F.lit(""))], outputs, run)
