@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_bpe import decode, encode
-from tidemark.llm.licenses import notices, scan
+from tidemark.llm.licenses import scan, templates
 from tidemark.llm.near_vectors import near_vectors
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.repeats import remove_repeats
@@ -41,7 +41,7 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"), notices(spark))
+    return scan(table(spark, sf_dir, "documents"), templates(spark))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
