@@ -16,17 +16,23 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below 0.7; a null id is kept, as no score can be joined to it."""
+    """The rows whose own toxicity is below 0.7, whatever their id, each with a number (``row``) that the next stage
+    reads as it was written."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = score_toxicity(docs, labels)
-    toxic = scored.where("predicted = 1").select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(*COLUMNS)
+    scored = score_toxicity(docs, labels, keep=COLUMNS)
+    return scored.where("predicted = 0").select(*COLUMNS, F.monotonically_increasing_id().alias("row"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    others = alike(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of near copies: that with the smallest id, a null id last. Of rows that share an
+    id, the columns' hash decides, so that repeated rows and null ids leave one row too. Texts without words have no copies."""
+    if "row" not in docs.columns:
+        docs = materialise(docs.withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+    groups = alike(docs, id="row").select("row", "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64(*COLUMNS).alias("hash"), "row")
+    named = docs.select("row", order.alias("order")).join(groups, "row")
+    kept = named.groupBy("component_id").agg(F.min("order").alias("least")).select("least.row")
+    return docs.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def whole_characters(data: Column) -> Column:

@@ -1,0 +1,91 @@
+"""The pipeline's rows, stage by stage, against brute force: nulls, repeated rows and shared ids."""
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tests.llm.test_other_operators import check_packing
+from tests.llm.test_text_operators import removed_by_force
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def made():
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("aeioustrm"), 6)) for _ in range(300)]
+    insults = ["blockhead", "nitwit", "dullard"]
+    rows = []
+    for i in range(600):
+        text = " ".join(rng.choice(words, 20 if i % 10 else 60))
+        rows.append((i, f"{text} you {insults[i % 3]} here" if i % 4 == 0 else text))
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(600)]
+    long = [" ".join(rng.choice(words, 60)) for _ in range(6)]
+    rows += [(1001, long[0]), (1001, long[0]), (None, long[0])]  # repeated rows, and a copy without an id
+    rows += [(None, long[1]), (None, long[1]), (None, long[1])]  # copies of which none has an id
+    rows += [(1005, long[2]), (1004, long[2] + " and one more")]  # near copies
+    rows += [(1006, long[3]), (1006, long[4] + " x"), (None, long[0] + " nitwit"), (None, "you blockhead here " + long[5])]
+    rows += [(1007, long[5] + " " + long[5]), (1008, ""), (1009, None), (1010, long[4][:250] + " " + long[2][:230])]
+    return rows, labels
+
+
+def grams(text):
+    words = (text or "").split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def one_of_each(rows):
+    sets, root = [grams(text) for _, text in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                root[find(i)] = find(j)
+    best = {}
+    for i, (key, _) in enumerate(rows):
+        best[find(i)] = min(best.get(find(i), (True, 0, i)), (key is None, key or 0, i))
+    return [rows[i] for _, _, i in best.values()]
+
+
+def by_text(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+
+
+def test_rows_of_each_stage(spark, folder):
+    rows, labels = made()
+    docs = [(key, text, "en", "web", len(text or "")) for key, text in rows]
+    spark.createDataFrame(docs, SCHEMA).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    frame = spark.read.parquet(f"{folder}/documents.parquet")
+    steps = []
+    for name, stage in corpus_pipeline.STAGES:
+        frame = corpus_pipeline.materialise(stage(spark, frame, folder), f"test-{name}")
+        steps.append(frame.collect())
+    insults = ("blockhead", "nitwit", "dullard")
+    clean = [(key, text) for key, text in rows if not any(word in (text or "") for word in insults)]
+    assert by_text((r["doc_id"], r["text"]) for r in steps[0]) == by_text(clean)
+    single = one_of_each(clean)
+    assert by_text((r["doc_id"], r["text"]) for r in steps[1]) == by_text(single)
+    cut = removed_by_force([text for _, text in single], 200)
+    want = [(key, cut[i][3].decode()) for i, (key, _) in enumerate(single)]
+    assert by_text((r["doc_id"], r["text"]) for r in steps[2]) == by_text(want)
+    assert sum(key is None for key, _ in want) == 1
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids_of = lambda text: tokenizer.encode(text, add_special_tokens=False).ids + [1]
+    # Two documents share an id; their numbers of tokens tell them apart.
+    texts = {(key, len(ids_of(text))): text for key, text in want}
+    assert len(texts) == len(want)
+    check_packing([{**r.asDict(), "doc_id": (r["doc_id"], r["doc_tokens"])} for r in steps[3]], texts, ids_of)
+
+
+def test_copies_without_numbers(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(None, text), (None, text), (4, text), (4, text), (7, ""), (None, None)]
+    docs = spark.createDataFrame([(k, t, "en", "web", 1) for k, t in rows], SCHEMA)
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == [(4, text), (7, ""), (None, None)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -297,8 +297,9 @@ def score_toxicity(
     id: str = "doc_id",
     label: str = "toxic",
     threshold: float = 0.7,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(``id``, ``held_out``, ``score``, ``predicted``) of every row of ``docs``.
+    """(``id``, ``held_out``, ``score``, ``predicted``) of every row of ``docs``, and its ``keep`` columns.
 
     A text's score follows its most toxic word and how many are toxic, from a support vector machine on gap-weighted
     subsequences of characters, so that an insult with characters put in between still resembles the insult. Labels
@@ -306,17 +307,19 @@ def score_toxicity(
     null labels and ids teach nothing, and a null id is not held out.
 
     A null or empty text scores as low as the machine can. Without labels all scores are 0, with one
-    label only they are that label. Repeated rows each get a row; other columns are ignored.
+    label only they are that label. Repeated rows each get a row; columns not in ``keep`` are ignored.
     """
+    others = [name for name in keep if name != id]
     known = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").alias("toxic"))
     known = known.where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1)).where(~held_out("id"))
     known = known.groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
     texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     machine = train(texts.join(known, "id"))
-    scored = decisions(docs, machine, [id], F.col(f"`{text}`"))
+    scored = decisions(docs, machine, [id, *others], F.col(f"`{text}`"))
     return scored.select(
         id,
         F.coalesce(held_out(id), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
+        *others,
     )
