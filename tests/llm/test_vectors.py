@@ -62,6 +62,17 @@ def test_links_of_nothing(spark):
     assert near_vectors(frame(spark, []).where(F.lit(False))).collect() == []
 
 
+def test_links_of_repeated_and_null_ids(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(5, a), (5, a), (5, b), (None, b), (None, c), (None, c), (9, [0.0, 0.0, 2.0]), (None, None), (None, [-1.0, 0.0, 0.0])]
+    rows += [(3, None), (3, None)]
+    table = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA).repartition(3)
+    got = [(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in near_vectors(table).collect()]
+    want = [(5, 1, 5, True), (5, 1, 5, False), (5, 1, 5, True), (None, 1, 5, False), (None, 2, 9, False), (None, 2, 9, False)]
+    want += [(9, 2, 9, True), (None, 0, None, True), (None, 0, None, True), (3, 0, 3, True), (3, 0, 3, True)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_recall_on_tables(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = {r["vec_id"]: r["embedding"] for r in table.collect()}

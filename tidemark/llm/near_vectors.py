@@ -66,16 +66,19 @@ def near_vectors(
     into blocks, and each pair of blocks is a group of its own, so a group is bounded.
 
     Null, empty or zero vectors and those with null or non-finite components have no links and are
-    components by themselves; so have vectors of another length none with each other. Rows of one id must
-    be one; other columns are ignored.
+    components by themselves; so have vectors of another length none with each other. Every row is returned and counts by
+    itself, so rows that share an id or have none link with each other like any others. ``component_id`` is the smallest
+    id of the component, null if none has one, and ``kept`` is true for one row of it, that with this id. Other columns are ignored.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(f"`{id}`").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
-    rows = materialise(rows.withColumn("ok", usable("v")), "vectors")
+    rows = materialise(rows.select("*", usable("v").alias("ok"), F.monotonically_increasing_id().alias("row")), "vectors")
     good = rows.where("ok").withColumn("h", F.sha2(F.to_json(F.struct("v")), 256))
-    same = good.groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
-    member = materialise(good.join(same, "h").select("id", "rep", "weight", "v"), "vector-members")
-    reps = member.where("id = rep").select("id", "weight", "v")
+    least = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row"))
+    same = good.groupBy("h").agg(least.alias("least"), F.count("*").alias("weight"))
+    member = materialise(good.join(same, "h").select("id", "row", "least", "weight", "v"), "vector-members")
+    first = member.where("row = least.row")
+    reps = first.select(F.col("row").alias("id"), "weight", "v")  # ids from here on are row numbers
 
     @F.pandas_udf("array<bigint>")
     def keys(batch: pd.Series) -> pd.Series:
@@ -154,11 +157,14 @@ def near_vectors(
     roots = smallest_reachable(
         spark, reps.select("id"), part.select(F.col("id").alias("a"), F.col("root").alias("b"))
     )
-    per_rep = roots.join(counts, "id", "left").select(F.col("id").alias("rep"), "root", "links")
-    linked = member.select("id", "rep", "weight").join(per_rep, "rep").select(
-        "id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("root")
-    )
-    alone = rows.where("NOT ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("root"))
-    return linked.union(alone).select(
-        F.col("id").alias(id), "n_links", F.col("root").alias("component_id"), (F.col("id") == F.col("root")).alias("kept")
+    roots = materialise(roots, "vector-roots")
+    top = roots.join(first.select(F.col("row").alias("id"), "least"), "id").groupBy("root").agg(F.min("least").alias("top"))
+    per_rep = roots.join(top, "root").join(counts, "id", "left").select(F.col("id").alias("rep"), "top", "links")
+    linked = member.select("id", "row", "weight", F.col("least.row").alias("rep")).join(per_rep, "rep").select(
+        "id",
+        (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        F.col("top.id").alias("root"),
+        (F.col("row") == F.col("top.row")).alias("kept"),
     )
+    alone = rows.where("NOT ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("root"), F.lit(True).alias("kept"))
+    return linked.union(alone).select(F.col("id").alias(id), "n_links", F.col("root").alias("component_id"), "kept")
