@@ -93,6 +93,9 @@ def alike(
 ) -> DataFrame:
     """(``id``, ``n_shingles``, ``component_id``) of every row.
 
+    Components are all that comes out: links are neither listed nor counted, and pairs inside a component found so far are
+    not verified.
+
     Two rows link when 100 * intersection >= ``percent`` * union of their n-gram sets. The component is
     the smallest id reachable by links; no link is lost.
 
