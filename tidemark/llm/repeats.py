@@ -231,7 +231,7 @@ def remove_repeats(
     Positions of a difference cover of period v (133 by default, 12 of them) are the samples: for
     any two positions some shift below v moves both onto samples. A sample's rank is the class of the string of
     ``size`` - v + 1 bytes it starts, so equal long strings always hold two samples of one rank at the same shift.
-    Samples are dealt into buckets by rank, and one bucket at a time is sorted. Within a class,
+    Samples are dealt into buckets by rank, and equal fingerprints of one bucket are grouped; no suffix is sorted. Within a class,
     contexts that agree over all strings that can hold the sample settle them at once; only
     contexts that differ are walked string by string, one copy of each. Order among strings is that of 128-bit
     fingerprints, as equality is all that counts. A chunk asks for each key once, so that a
