@@ -103,3 +103,15 @@ def test_search_leaves_out_odd_vectors(spark):
     assert {q for q, *_ in got} == {0, 1, 2}
     assert search(table, table.where("false")).collect() == []
     assert search(table.where("false"), table).collect() == []
+
+
+def test_search_finds_k_where_there_are(spark):
+    rng = np.random.default_rng(2)
+    # Tight groups of which each is a leaf or more, outliers, repeated ids, and vectors of another length.
+    rows = [(i, (rng.standard_normal(4) * 0.01 + 10 * (i % 40)).tolist()) for i in range(800)]
+    rows += [(1000 + i, (np.eye(4)[i] * 900.0 - 500).tolist()) for i in range(4)] + [(1000, [-400.0] * 4)] * 15
+    rows += [(2000 + i, [float(i + 1), 1.0]) for i in range(12)]
+    table = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA).repartition(3)
+    asked = [(i, v, 0) for i, v in dict(rows).items() if i % 40 < 4 or i >= 1000]
+    found = search(table, spark.createDataFrame(asked, SCHEMA), leaf=6).groupBy("query_id").count().collect()
+    assert {r["query_id"]: r["count"] for r in found} == {i: 10 for i, _, _ in asked}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from heapq import heappop, heappush
 
 import numpy as np
@@ -64,13 +65,15 @@ class Tree:
                 todo += [(child, at[near == i]) for i, child in enumerate(self.children[node])]
         return out
 
-    def visit(self, query: np.ndarray, leaves: int) -> list[int]:
-        """The first ``leaves`` leaves, the branch with the nearest centre first."""
+    def visit(self, query: np.ndarray, leaves: int, held: dict[int, int] | None = None, need: int = 0) -> list[int]:
+        """The first ``leaves`` leaves, the branch with the nearest centre first, and as many more as it takes for
+        ``need`` of the vectors that leaves hold (``held``)."""
         heap, found = [(0.0, 0)], []
-        while heap and len(found) < leaves:
+        while heap and (len(found) < leaves or need > 0):
             _, node = heappop(heap)
             if self.centres[node] is None:
                 found.append(node)
+                need -= held.get(node, 0) if held else 0
                 continue
             gaps = ((self.centres[node] - query) ** 2).sum(1).tolist()
             for gap, child in zip(gaps, self.children[node], strict=True):
@@ -109,11 +112,12 @@ def search(
 
     The tree is fitted on at most `SAMPLE` vectors, those with the smallest hash of their id, and
     every vector is put in a leaf. A query walks the tree through a priority queue and
-    visits as many leaves as sampled queries needed for ``recall``. Distances are exact, in double precision, and ties
+    visits as many leaves as sampled queries needed for ``recall``, and more until they hold ``k`` vectors of other
+    ids, so that fewer come out only where there are no more. Distances are exact, in double precision, and ties
     go to the smaller id. A leaf with more than ``block`` vectors is searched in blocks.
 
-    Vectors that are null, empty, zero or hold null or non-finite components neither ask nor
-    answer, and a vector of another length than the first one's neither. Without vectors the result is empty.
+    Vectors that are null, empty, zero or hold null or non-finite components neither ask nor answer.
+    Each length of vectors has a tree of its own. Without vectors the result is empty.
     """
     spark = vectors.sparkSession
 
@@ -123,35 +127,9 @@ def search(
 
     schema = "query_id long, rank int, vec_id long, score double"
     rows = narrow(vectors)
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()["v"]
-    if not len(sample):
+    lengths = sorted(r["n"] for r in rows.select(F.size("v").alias("n")).distinct().collect())
+    if not lengths:
         return spark.createDataFrame([], schema)
-    dim = len(sample.iloc[0])
-    fitted = np.stack([np.asarray(v) for v in sample if len(v) == dim])
-    tree = Tree(fitted, branches, leaf, seed)
-    visits = calibrate(tree, fitted, k, recall, seed)
-    shared = spark.sparkContext.broadcast(tree)  # at most SAMPLE / 1 leaves, whatever the input
-
-    @F.pandas_udf("bigint")
-    def leaf_of(batch: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.leaf_of(np.stack([np.asarray(v) for v in batch])))
-
-    @F.pandas_udf("array<bigint>")
-    def visit(batch: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.visit(np.asarray(v), visits) for v in batch])
-
-    placed = rows.where(F.size("v") == dim).withColumn("leaf", leaf_of("v"))
-    placed = materialise(placed, "leaves")
-    sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
-    # One row per leaf of a tree with a bounded number of leaves.
-    sizes = F.broadcast(sizes)
-    blocks = placed.join(sizes, "leaf").select("id", "v", "leaf", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
-    asked = (
-        narrow(queries).where(F.size("v") == dim)
-        .select("id", "v", F.explode(visit("v")).alias("leaf"))
-        .join(sizes, "leaf")
-        .select("id", "v", "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    )
 
     def nearest_in_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -165,8 +143,42 @@ def search(
                 out += [(query, ids[i], gaps[i]) for i in best if ids[i] != query]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = asked.groupBy("leaf", "block").cogroup(blocks.groupBy("leaf", "block")).applyInPandas(
-        nearest_in_block, "query_id long, vec_id long, score double"
-    )
+    def among(dim: int) -> DataFrame:
+        sample = rows.where(F.size("v") == dim).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()["v"]
+        fitted = np.stack([np.asarray(v) for v in sample])
+        tree = Tree(fitted, branches, leaf, seed)
+        visits = calibrate(tree, fitted, k, recall, seed)
+        shared = spark.sparkContext.broadcast(tree)  # at most SAMPLE / 1 leaves, whatever the input
+
+        @F.pandas_udf("bigint")
+        def leaf_of(batch: pd.Series) -> pd.Series:
+            return pd.Series(shared.value.leaf_of(np.stack([np.asarray(v) for v in batch])))
+
+        placed = rows.where(F.size("v") == dim).withColumn("leaf", leaf_of("v"))
+        placed = materialise(placed, "leaves")
+        held = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row per leaf
+
+        @F.pandas_udf("array<bigint>")
+        def visit(batch: pd.Series, need: pd.Series) -> pd.Series:
+            return pd.Series([shared.value.visit(np.asarray(v), visits, held, n) for v, n in zip(batch, need, strict=True)])
+
+        sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
+        # One row per leaf of a tree with a bounded number of leaves.
+        sizes = F.broadcast(sizes)
+        blocks = placed.join(sizes, "leaf").select("id", "v", "leaf", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
+        # A query finds vectors of other ids, so those of its own do not count.
+        asked = narrow(queries).where(F.size("v") == dim)
+        own = placed.join(asked.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count("*").alias("own"))
+        asked = (
+            asked.join(own, "id", "left")
+            .select("id", "v", F.explode(visit("v", F.coalesce("own", F.lit(0)) + k)).alias("leaf"))
+            .join(sizes, "leaf")
+            .select("id", "v", "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+        )
+        return asked.groupBy("leaf", "block").cogroup(blocks.groupBy("leaf", "block")).applyInPandas(
+            nearest_in_block, "query_id long, vec_id long, score double"
+        )
+
+    found = reduce(DataFrame.union, map(among, lengths))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
