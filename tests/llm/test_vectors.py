@@ -115,3 +115,13 @@ def test_search_finds_k_where_there_are(spark):
     asked = [(i, v, 0) for i, v in dict(rows).items() if i % 40 < 4 or i >= 1000]
     found = search(table, spark.createDataFrame(asked, SCHEMA), leaf=6).groupBy("query_id").count().collect()
     assert {r["query_id"]: r["count"] for r in found} == {i: 10 for i, _, _ in asked}
+
+
+def test_search_keeps_large_ids_beside_null_ones(spark):
+    big = 2**53
+    rows = [(100, [1.0, 0.0]), (None, [1.0, 0.1]), (big + 1, [1.0, 0.25]), (big + 3, [1.0, 0.5]), (None, [1.0, 0.0])]
+    table = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA).repartition(2)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in search(table, table).collect())
+    want = [(100, 1, big + 1, 0.25), (100, 2, big + 3, 0.5)]
+    want += [(big + 1, 1, 100, 0.25), (big + 1, 2, big + 3, 0.25), (big + 3, 1, big + 1, 0.25), (big + 3, 2, 100, 0.5)]
+    assert got == sorted(want)

@@ -116,14 +116,15 @@ def search(
     ids, so that fewer come out only where there are no more. Distances are exact, in double precision, and ties
     go to the smaller id. A leaf with more than ``block`` vectors is searched in blocks.
 
-    Vectors that are null, empty, zero or hold null or non-finite components neither ask nor answer.
+    Vectors that are null, empty, zero or hold null or non-finite components neither ask nor answer, and neither do
+    rows without an id, as no result could name them.
     Each length of vectors has a tree of its own. Without vectors the result is empty.
     """
     spark = vectors.sparkSession
 
     def narrow(df: DataFrame) -> DataFrame:
         df = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
-        return df.where(usable("v"))
+        return df.where(usable("v") & F.col("id").isNotNull())
 
     schema = "query_id long, rank int, vec_id long, score double"
     rows = narrow(vectors)
