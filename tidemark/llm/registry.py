@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_bpe import decode, encode
 from tidemark.llm.licenses import scan, templates
 from tidemark.llm.near_vectors import near_vectors
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.periodic_runs import periodic_runs
 from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.set_join import alike
 from tidemark.llm.token_counts import count_tokens
@@ -82,6 +83,41 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_run(doc_id: Column, text: Column) -> Column:
+    """The text, but for a tenth of the ids one whose words repeat from some word on, as the query's contract has it."""
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    n, g = F.greatest(F.size(words), F.lit(1)).cast("long"), F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    unit = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    tail = F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int")))
+    planted = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(tail, F.lit(1), (n - a).cast("int")))
+    return F.when((h % 10 == 0) & (F.size(words) > 0), F.array_join(planted, " ")).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs(docs, with_planted_run(F.col("doc_id"), F.col("text")))
+    longest_first = F.transform(
+        "runs", lambda r: F.struct(r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period"))
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.select("*", F.array_max(longest_first).alias("best"), F.array_join(lines, "\n").alias("lines"))
+    listed = F.when(F.size("runs") > 0, F.concat("lines", F.lit("\n"))).otherwise("")
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op2_warc_index": op2_warc_index,
@@ -93,6 +129,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 #: The contract of an operator where SQL can state it; the others are held against brute force in tests.
