@@ -1,0 +1,125 @@
+"""Spelling variants against brute force."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from tidemark.llm import spelling as module
+from tidemark.llm.registry import op13_spelling_variants
+from tidemark.llm.spelling import near_words, variants, word_counts
+
+SCHEMA = "doc_id long, text string, word string, n string, key int"
+
+
+def one_edit(a, b):
+    """Whether exactly one code point is inserted, deleted or replaced between two words."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) - len(short) == 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def counts_by_force(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{doc_id}:{run}".encode())
+            if doc_id is not None and h % 199 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+
+def variants_by_force(counts):
+    near = defaultdict(list)
+    by_size = defaultdict(list)
+    for word in counts:
+        by_size[len(word)].append(word)
+    for word in counts:
+        near[word] = [o for d in (-1, 0, 1) for o in by_size[len(word) + d] if one_edit(word, o)]
+    form = {}
+    for word, others in near.items():
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        form[word] = best if best and counts[best] >= 5 * counts[word] else None
+
+    def root(word):
+        return root(form[word]) if form[word] else word
+
+    return {w: (form[w], root(w), n, len(near[w]), counts.get(form[w])) for w, n in counts.items()}
+
+
+def rows_of(df):
+    got = [(r["word"], (r["form"], r["root"], r["n"], r["n_near"], r["form_n"])) for r in df.collect()]
+    assert len(dict(got)) == len(got)
+    return dict(got)
+
+
+def made(seed, letters):
+    rng = random.Random(seed)
+    words = ["".join(rng.choices(letters, k=rng.randint(5, 9))) for _ in range(60)]
+    words += ["étÉ×÷xyz", "STRASSE", "straße", "aaaaaaa", "aaaaaa", "aaaaab", "x" * 150, "x" * 151, "x" * 149 + "y"]
+
+    def change(word):
+        at = rng.randrange(len(word))
+        return rng.choice([word[:at] + word[at + 1 :], word[:at] + rng.choice(letters) + word[at + rng.randint(0, 1) :]])
+
+    words += [change(w) for w in words for _ in range(4)] + [change(change(w)) for w in words]
+    weights = [rng.choice([1, 1, 2, 30]) for _ in words]
+    texts = [rng.choice([" ", "7", ", "]).join(rng.choices(words, weights, k=400)) for _ in range(30)]
+    return [*enumerate(texts), (None, texts[0]), (3, None), (4, ""), (5, texts[5]), (5, texts[5])]
+
+
+@pytest.mark.parametrize(("seed", "letters"), [(1, "abc"), (2, "abcdefghéü"), (3, "aÿ")])
+@pytest.mark.parametrize("tile", [512, 3])
+def test_query_equals_brute_force(spark, tmp_path, monkeypatch, seed, letters, tile):
+    monkeypatch.setattr(module, "TILE", tile)
+    rows = made(seed, letters)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows_of(op13_spelling_variants(spark, str(tmp_path)))
+    assert got == variants_by_force(counts_by_force(rows))
+    assert any(form for form, *_ in got.values())
+
+
+def test_chains_of_forms(spark):
+    # Each word is one code point from the next, which occurs five times as often, over 3 and 9 steps.
+    counts = {"abcdefgh"[:i] + "z" * (12 - i): 5 ** (i + 1) for i in range(4)}
+    counts |= {"q" * (10 + i): 5**i for i in range(10)}
+    table = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = rows_of(variants(table))
+    assert got == variants_by_force(counts)
+    assert got["z" * 12][1] == "abc" + "z" * 9 and got["q" * 10][1] == "q" * 19
+
+
+def test_query_on_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert rows_of(op13_spelling_variants(spark, sf)) == variants_by_force(counts_by_force(rows))
+
+
+def test_links_over_blocks_and_short_words(spark, monkeypatch):
+    monkeypatch.setattr(module, "TILE", 4)
+    monkeypatch.setattr(module, "SIDE", 3)
+    words = ["", "a", "b", "ab", "ba", "abc", *(f"pre{a}{b}suf" for a in "abcdefgh" for b in "abcdefg"), "pre\U0001f600suf", "presuf"]
+    table = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word string, n long")
+    got = [tuple(r) for r in near_words(table).collect()]
+    want = {(a, words.index(a), b, words.index(b)) for a in words for b in words if a < b and one_edit(a, b)}
+    # The empty word has no middle; the operator's words have letters.
+    assert len(got) == len(set(got)) and set(got) == {link for link in want if "" not in link}
+
+
+def test_counting_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(module, "WORDS", 1)
+    rows = [(i, "Letters letters number", "x", "y", 1) for i in range(20)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    assert {r["word"]: r["n"] for r in word_counts(table, every=None).collect()} == {"letters": 40, "number": 20}
+    assert word_counts(table, every=None, occurrences=21, least=7).collect() == [("letters", 40)]
+
+
+def test_nothing(spark):
+    assert variants(word_counts(spark.createDataFrame([], SCHEMA))).collect() == []
+    assert variants(word_counts(spark.createDataFrame([(1, "one", "x", "y", 1)], SCHEMA))).collect() == []

@@ -13,6 +13,7 @@ from tidemark.llm.packing import pack_documents
 from tidemark.llm.periodic_runs import periodic_runs
 from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.set_join import alike
+from tidemark.llm.spelling import variants, word_counts
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.vector_tree import search
@@ -118,6 +119,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(word_counts(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op2_warc_index": op2_warc_index,
@@ -130,6 +135,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: The contract of an operator where SQL can state it; the others are held against brute force in tests.
