@@ -1,0 +1,157 @@
+"""Personal data: base spans against brute force, added spans and the weighing of labelers against made texts."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from tidemark.llm.personal_data import LABELERS, find_personal_data, reliabilities
+from tidemark.llm.registry import op11_personal_data
+
+SCHEMA = "doc_id long, text string, spans string, kind string, row long"
+# The contract's patterns, as they stand.
+CONTRACT = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def holds(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(part) <= 255 for part in match.split("."))
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def base_by_force(text):
+    found = [(kind, m.start(), m.end()) for kind, p in CONTRACT.items() for m in re.finditer(p, text or "") if holds(kind, m.group())]
+    counts = [sum(k == kind for k, _, _ in found) for kind in CONTRACT]
+    listed = ",".join(f"{k}:{a}:{b}" for k, a, b in found)
+    return (*counts, hashlib.sha256(listed.encode()).hexdigest()), listed
+
+
+def random_texts(seed, n):
+    rng = random.Random(seed)
+    parts = [
+        "a@b.co", "x.y+z@mail-1.example.com", "@", "a@b", "_", "a@b.c@d.ee", "..a@-b.-c", "é", "\U0001f600", " ", "  ", "\n",
+        "1.2.3.4", "256.1.1.1", "00.001.0255.9", "1.2.3", "1.2.3.4.5.6.7.8", ".", "9", "+", "+1 (275) 555-5927", "+49 30 1234567",
+        "+1", "(", ")", "-", "+1-2-3", "4111 1111 1111 1111", "4111-1111-1111-1112", "4111111111111111", "378282246310005", "0000000000000", "12345",
+        "word", "tel", "+4111 1111 1111 1111", "1111.1111", "555-123-4567", "me (at) host (dot) org",
+    ]
+    return ["".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(n)]
+
+
+def query(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    return op11_personal_data(spark, str(tmp_path))
+
+
+def checked(row, text):
+    want, listed = base_by_force(text)
+    assert (row["n_email"], row["n_ip"], row["n_card"], row["n_phone"], row["base_sha256"]) == want, repr(text)
+    spans, base = row["spans"].split(","), listed.split(",")
+    order = [(list(CONTRACT).index(k), int(a), int(b)) for k, a, b in (s.split(":") for s in spans if s)]
+    assert order == sorted(order)
+    # Base spans stay, and added ones overlap none of them.
+    assert not listed or set(base) <= set(spans)
+    for span in (s for s in spans if s and s not in base):
+        _, start, stop = span.split(":")
+        assert all(int(stop) <= int(b.split(":")[1]) or int(b.split(":")[2]) <= int(start) for b in base if b)
+    return [s for s in spans if s and s not in base]
+
+
+def test_base_spans_equal_brute_force(spark, tmp_path):
+    texts = [None, "", "a" * 5000 + "@" * 3, "1" * 3000, "1.2.3.4 " * 2000, "+" + "1 " * 9000, *random_texts(1, 1500)]
+    rows = [*enumerate(texts), (None, "a@b.co"), (3, "twice a@b.co"), (3, "twice a@b.co")]
+    by_text = dict.fromkeys(texts)
+    got = query(spark, tmp_path, rows).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r["doc_id"] is not None and r["spans"] != "email:6:12":
+            by_text[texts[r["doc_id"]]] = r
+    for text, r in by_text.items():
+        checked(r, text)
+    assert sum(r["spans"] == "email:6:12" for r in got) == 2
+    assert [r["spans"] for r in got if r["doc_id"] is None] == ["email:0:6"]
+
+
+def test_query_on_tables(spark):
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+        got = op11_personal_data(spark, sf).collect()
+        assert sorted(r["doc_id"] for r in got) == sorted(texts)
+        added = [span for r in got for span in checked(r, texts[r["doc_id"]])]
+        # Numbers that fail their check, versions and the like stand in many of these texts, further spellings in none.
+        assert added == []
+
+
+ADDED = {
+    "Contact me by email: jane.doe (at) mail (dot) example (dot) com please": ["email:21:63"],
+    "write to jane [at] example.org today": ["email:9:30"],
+    "My phone is (275) 555-5927, call me": ["phone:12:26"],
+    "call 275-555-5927 now": ["phone:5:17"],
+    "Tel. 0049 30 1234567 anrufen": ["phone:5:20"],
+    "paid by visa card 4111.1111.1111.1111 today": ["card:18:37"],
+    "client ip 2001:0db8:85a3:0000:0000:8a2e:0370:7334 logged in": ["ip:10:49"],
+    "login from 10[.]0[.]0[.]7 seen": ["ip:11:25"],
+}
+CLEAN = [
+    "version 4111.1111.1111.1112 of the build", "order 4111 1111 1111 1112 shipped", "see chapter 3.4.5.256 there", "at 12:30:45 we met",
+    "isbn 978-3-16-148410-0 in print", "std::vector and a::b", "meet at noon", "serial 12345678901234567890", "sha 90c991ec47d826f64d",
+]
+
+
+def test_further_spellings(spark):
+    rows = [(i, t, "x", "y", 1) for i, t in enumerate([*ADDED, *CLEAN] + list(ADDED) * 20 + CLEAN * 20)]
+    got = {r["doc_id"]: r["spans"] for r in find_personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, text in enumerate(ADDED):
+        assert [f"{s['kind']}:{s['start']}:{s['stop']}" for s in got[i]] == ADDED[text], text
+        assert got[i][0]["match"] == text[got[i][0]["start"] : got[i][0]["stop"]] and got[i][0]["score"] >= 0.9
+    for i, text in enumerate(CLEAN, len(ADDED)):
+        assert got[i] == [], text
+
+
+def test_nothing(spark):
+    assert find_personal_data(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_reliabilities_are_found():
+    rng = random.Random(4)
+    # Labelers that are right with these shares, and two that never vote.
+    right = (0.9, 0.8, 0.7, 0.5)
+    counts = {}
+    for _ in range(4000):
+        true = rng.random() < 0.3
+        pattern = tuple((1 if true == (rng.random() < p) else -1) for p in right) + (0,) * (len(LABELERS) - len(right))
+        counts[pattern] = counts.get(pattern, 0) + 1
+    _, ratios = reliabilities(sorted(counts.items()))
+    assert ratios[0][2] > ratios[1][2] > ratios[2][2] > 0.3 > ratios[3][2] >= 0
+    assert ratios[0][0] < ratios[1][0] < ratios[2][0] < -0.3 < ratios[3][0] <= 0
+
+
+def test_no_python_worker(spark):
+    found = find_personal_data(spark.createDataFrame([(1, "a@b.co", "x", "y", 1)], SCHEMA))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("kind", CONTRACT)
+def test_patterns_of_random_bytes(spark, tmp_path, kind):
+    letters = {"email": "ab@.-_ ", "ip": "12.5 0", "card": "49 -01", "phone": "+1 ().-9"}[kind]
+    rng = random.Random(9)
+    texts = ["".join(rng.choices(letters, k=rng.randint(1, 60))) for _ in range(800)]
+    for r in query(spark, tmp_path, list(enumerate(texts))).collect():
+        checked(r, texts[r["doc_id"]])

@@ -11,6 +11,7 @@ from tidemark.llm.licenses import scan, templates
 from tidemark.llm.near_vectors import near_vectors
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.periodic_runs import periodic_runs
+from tidemark.llm.personal_data import KINDS, find_personal_data
 from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.set_join import alike
 from tidemark.llm.spelling import variants, word_counts
@@ -84,6 +85,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def listed(spans: Column | str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, KINDS), F.sha2(listed(base), 256).alias("base_sha256"), listed("spans").alias("spans")
+    )
+
+
 def with_planted_run(doc_id: Column, text: Column) -> Column:
     """The text, but for a tenth of the ids one whose words repeat from some word on, as the query's contract has it."""
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
@@ -134,6 +150,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
+    "op11_personal_data": op11_personal_data,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_spelling_variants": op13_spelling_variants,
 }
