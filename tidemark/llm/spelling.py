@@ -190,7 +190,7 @@ def variants(words: DataFrame, times: int = 5) -> DataFrame:
     has no circles as ``n`` rises along it, and the word itself where there is no form. No words give no rows.
     """
     words = materialise(words.select("word", "n"), "words")
-    links = near_words(words)
+    links = materialise(near_words(words), "links")  # read from both ends
     both = links.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("n_b").alias("n_near")).union(
         links.select("b", "a", "n_a")
     )
