@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.plans.queries import is_old, is_returned
 from tidemark.plans.workspace import PARTS
 
 
@@ -16,3 +17,10 @@ def test_parts_keep_rows_without_a_date(spark):
 def test_first_part_and_its_opposite_keep_all_rows(spark):
     rows = spark.createDataFrame([(1, None)], "id int, event_date date")
     assert rows.where(F.expr(f"NOT coalesce({PARTS[0]}, false)")).count() == 1
+
+
+def test_targets_and_updates_keep_all_rows(spark):
+    dates = spark.sql("SELECT * FROM VALUES (DATE '2024-01-14'), (DATE '2024-01-15'), (NULL) AS t(event_date)")
+    assert (dates.where(is_old()).count(), dates.where(~is_old()).count()) == (1, 2)
+    flags = spark.sql("SELECT * FROM VALUES ('R'), ('N'), (NULL) AS t(l_returnflag)")
+    assert (flags.where(is_returned()).count(), flags.where(~is_returned()).count()) == (1, 2)

@@ -3,7 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import order, orders, pairs, plan
-from tidemark.operators import latest_per_key, matched_updates, unmatched_updates, upsert
+from tidemark.operators import change_counts, latest_per_key, matched_updates, unmatched_updates, upsert
 from tidemark.schema import KEY, TIEBREAK, TS
 from tidemark.session import sql_settings
 
@@ -85,34 +85,53 @@ def test_composite_key_with_a_null_part_matches_nothing(spark):
     assert [int(a) for _, a in pairs(result)] == [1, 1, 2]
 
 
-def test_filters_reach_the_target_scan(spark, folder):
+def test_both_sides_are_read_and_shuffled_once(spark, folder):
     df = orders(spark, [order("a", 1)])
     df.write.parquet(f"{folder}/target")
     df.write.parquet(f"{folder}/updates")
     target, updates = (spark.read.parquet(f"{folder}/{side}") for side in ("target", "updates"))
-    result = upsert(target, updates, [KEY]).where("amount > 5").select(KEY, "amount")
-    text = plan(result)
-    assert text.count("GreaterThan(amount,5.00)") == 2
-    assert text.count("ReadSchema: struct<order_id:string,amount:decimal(12,2)>") == 2
-    assert text.count("ReadSchema: struct<order_id:string>") == 1
-
-
-def test_a_target_full_of_null_keys_is_split_over_tasks(spark):
-    """NULL keys all hash to one partition; the adaptive skew join divides it."""
+    newest_updates = newest(updates)
+    text = plan(upsert(target, newest_updates, [KEY]).select(KEY, "amount"))
+    assert text.count("FileScan parquet") == 2
+    # One shuffle makes the updates unique, the other one puts both sides together.
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "Join" not in text
+    assert "Final" in text.split("WindowGroupLimit")[1]
+    some = plan(upsert(target, updates, [KEY]).where(f"{KEY} = 'a'"))
+    assert some.count("EqualTo(order_id,a)") == 2
+
+
+def test_a_target_full_of_null_keys_is_spread_over_tasks(spark):
+    """Rows without a key are groups of their own: no task gets them all, and none is held back by thresholds."""
     key = F.when(F.col("id") % 3 != 0, F.col("id").cast("string"))
     rows = spark.range(0, 300_000, 1, 8).select(key.alias(KEY), F.col("id").alias("value"))
     updates = rows.where(F.col(KEY).isNotNull()).withColumn("value", -F.col("value"))
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
-        "spark.sql.shuffle.partitions": "20",
-    }
-    with sql_settings(spark, settings):
-        result = upsert(rows, updates, [KEY]).groupBy(F.col(KEY).isNull().alias("keyless"))
-        counts = result.agg(F.count("*").alias("n"), F.sum(F.sign("value")).alias("signs"))
-        found = {row["keyless"]: (row["n"], row["signs"]) for row in counts.collect()}
-        assert "SortMergeJoin(skew=true)" in plan(counts)
-    assert found == {True: (100_000, 99_999), False: (200_000, -200_000)}
+    with sql_settings(spark, {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        result = upsert(rows, updates, [KEY])
+        per_task = result.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count_if(F.col(KEY).isNull()).alias("keyless"), F.count("*").alias("n"), F.sum(F.sign("value")).alias("signs")
+        ).collect()
+    assert len(per_task) == 20
+    assert max(row["keyless"] for row in per_task) < 1.2 * 100_000 / 20
+    assert max(row["n"] for row in per_task) < 1.2 * 300_000 / 20
+    assert sum(row["n"] for row in per_task) == 300_000
+    assert sum(row["signs"] for row in per_task) == 99_999 - 200_000
+
+
+def test_repeated_rows_without_a_key_all_stay(spark):
+    rows = orders(spark, [order(None, 1, 1), order(None, 1, 1), order("a", 1, 2), order("a", 2, 3)])
+    # The target may hold a key twice: both go for one update.
+    result = upsert(rows, orders(spark, [order("a", 0, 9), order(None, 1, 1)]), [KEY])
+    assert [int(amount) for _, amount in pairs(result)] == [1, 1, 1, 9]
+
+
+def test_keys_with_blanks_and_backticks(spark):
+    columns = ["order id", "li`ne", "value"]
+    target = spark.createDataFrame([("a", 1, 1), ("b", 1, 2), (None, 1, 3)], columns)
+    updates = spark.createDataFrame([("a", 1, 9), ("c", 1, 8)], columns)
+    keys = columns[:2]
+    assert sorted(r["value"] for r in upsert(target, updates, keys).collect()) == [2, 3, 8, 9]
+    assert [r["value"] for r in matched_updates(target, updates, keys).collect()] == [9]
+    assert [r["value"] for r in unmatched_updates(target, updates, keys).collect()] == [8]
+    assert latest_per_key(target.union(updates), keys, "value").count() == 4
+    assert change_counts(target.union(updates), keys).first()["dedup_count"] == 4

@@ -16,8 +16,8 @@ from pyspark.sql import SparkSession
 from tidemark.plans.initial_load import initial_load
 from tidemark.schema import LANDING
 from tidemark.session import build_session
-from tidemark.sources import CurrentTable, ensure_database, ensure_table, infer_landing, read_table
-from tidemark.streaming import incremental_upsert, ingest_raw, quarantine_malformed
+from tidemark.sources import CurrentTable, infer_landing
+from tidemark.streaming import ensure_raw, incremental_upsert, ingest_raw
 
 
 def parser() -> argparse.ArgumentParser:
@@ -48,17 +48,15 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--raw-location", required=True)
 
     def current(sub: argparse.ArgumentParser) -> None:
-        sub.add_argument("--current", required=True, help="folder of the current-state table")
-        sub.add_argument("--database", default="processed", help="catalog database of its snapshots")
+        sub.add_argument("--processed-table", default="processed.orders", help="name of the current-state table")
+        sub.add_argument("--processed-location", required=True, help="folder of its files")
 
     ingest = job("ingest-raw", "landing files to the raw table", "landing")
     raw(ingest)
     streaming(ingest)
     ingest.add_argument("--infer-schema", action="store_true", help="read all landing files for it first")
     ingest.add_argument("--rebalance", action="store_true", help="merge small output files")
-
-    quarantine = job("quarantine", "copy malformed landing lines", "landing", "errors")
-    streaming(quarantine)
+    ingest.add_argument("--errors", help="folder for malformed lines, outside the landing folder")
 
     load = job("initial-load", "raw table to an empty current-state table")
     raw(load)
@@ -69,20 +67,17 @@ def parser() -> argparse.ArgumentParser:
     current(upserts)
     streaming(upserts)
 
-    compact = job("compact", "merge all changes into a new snapshot")
-    current(compact)
-    for sub in (upserts, compact):
-        sub.add_argument("--keep", type=int, help="delete what none of this many last commits uses")
+    merge = job("merge", "make a new base of the changes so far")
+    current(merge)
     return top
 
 
 def run(spark: SparkSession, arguments: Sequence[str]) -> None:
     args = parser().parse_args(arguments)
     if "raw_table" in args:
-        ensure_database(spark, args.raw_table.split(".")[0])
-        ensure_table(spark, args.raw_table, args.raw_location)
-    if "current" in args:
-        target = CurrentTable(spark, args.current, database=args.database)
+        ensure_raw(spark, args.raw_table, args.raw_location)
+    if "processed_table" in args:
+        target = CurrentTable(spark, args.processed_table, args.processed_location)
     trigger = None
     if getattr(args, "available_now", False):
         trigger = {"availableNow": True}
@@ -102,13 +97,10 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
             trigger=trigger,
             options=options,
             rebalance=args.rebalance,
-        ).awaitTermination()
-    elif args.job == "quarantine":
-        quarantine_malformed(
-            spark, args.landing, args.errors, args.checkpoint, trigger=trigger, options=options
+            errors=args.errors,
         ).awaitTermination()
     elif args.job == "initial-load":
-        initial_load(spark, read_table(spark, args.raw_table), args.raw_location, target)
+        initial_load(spark, args.raw_table, target)
     elif args.job == "incremental-upsert":
         incremental_upsert(
             spark,
@@ -117,12 +109,9 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
             args.checkpoint,
             trigger=trigger,
             options=options,
-            keep=args.keep,
         ).awaitTermination()
-    elif args.job == "compact":
-        target.compact()
-        if args.keep is not None:
-            target.expire(args.keep)
+    elif args.job == "merge":
+        target.merge()
 
 
 def main() -> None:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import quoted
+
 
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], order_by: str, tiebreak: Sequence[str] = ()
@@ -22,6 +24,6 @@ def latest_per_key(
     """
     if not {*keys, order_by} <= set(df.columns):
         return df
-    newest_first = [F.col(name).desc() for name in (order_by, *tiebreak)]
-    ranked = Window.partitionBy(*keys).orderBy(*newest_first)
+    newest_first = [F.col(quoted(name)).desc() for name in (order_by, *tiebreak)]
+    ranked = Window.partitionBy(*map(quoted, keys)).orderBy(*newest_first)
     return df.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") == 1).drop("_rank")

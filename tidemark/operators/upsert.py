@@ -1,10 +1,18 @@
-"""Insert-or-replace on key equality, as DataFrame joins."""
+"""Insert-or-replace on key equality."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidemark.functions import quoted
+
+
+def any_null(keys: Sequence[str]) -> Column:
+    return reduce(Column.__or__, (F.col(quoted(key)).isNull() for key in keys))
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -14,20 +22,25 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     timestamp or operation is, and there is no delete. NULL keys equal nothing: such target
     rows stay and such updates are inserted.
 
-    The anti-join carries only the update keys on its right side. Filters and column pruning
-    pass through the union and the join to the target's scan. NULL keys of the target meet in
-    one shuffle partition, which the adaptive skew join divides.
+    Both sides are read once and shuffled once, as one union that ranks updates before target rows. Catalyst limits the
+    ranks on both sides of that shuffle. Rows with a NULL key are each a group of their own content, so they are
+    spread over all tasks. Column pruning and filters on keys reach both scans.
     """
-    names = target.columns
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
-    return kept.select(*names).unionByName(updates.select(*names))
+    names = list(map(quoted, target.columns))
+    both = target.withColumn("_side", F.lit(0)).unionByName(updates.select(*names).withColumn("_side", F.lit(1)))
+    keyless = any_null(keys)
+    # Of rows without a key all rank first.
+    group = [*map(quoted, keys), F.when(keyless, F.xxhash64(*names))]
+    side_first = F.when(~keyless, F.col("_side")).desc()
+    ranked = both.withColumn("_rank", F.rank().over(Window.partitionBy(*group).orderBy(side_first)))
+    return ranked.where(F.col("_rank") == 1).select(*names)
 
 
 def matched_updates(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The updates that replace a row of ``target``."""
-    return updates.join(target.select(*keys), list(keys), "left_semi").select(*updates.columns)
+    return updates.join(target.select(*map(quoted, keys)), list(keys), "left_semi").select(*map(quoted, updates.columns))
 
 
 def unmatched_updates(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The updates that `upsert` inserts as new rows."""
-    return updates.join(target.select(*keys), list(keys), "left_anti").select(*updates.columns)
+    return updates.join(target.select(*map(quoted, keys)), list(keys), "left_anti").select(*map(quoted, updates.columns))

@@ -6,9 +6,12 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import latest_per_key, row_count
-from tidemark.sources import CurrentTable, files
+from tidemark.schema import BATCH
+from tidemark.sources import CurrentTable, read_table
+from tidemark.sources.tables import partition_numbers, planned_bytes
 
 log = logging.getLogger(__name__)
 
@@ -27,22 +30,25 @@ class LoadResult:
         return self.raw_count - self.dedup_count
 
 
-def initial_load(spark: SparkSession, raw: DataFrame, raw_location: str, target: CurrentTable) -> LoadResult:
-    """Write the newest row per key of ``raw`` to an empty ``target``, or change nothing.
+def initial_load(spark: SparkSession, raw_table: str, target: CurrentTable) -> LoadResult:
+    """Write the newest row per key of the raw table to an empty ``target``, or change nothing.
 
-    Run once, before the stream. Errors while looking at either side fail the load. The rows
-    are shuffled and written once; the counts afterwards read only Parquet footers, and
-    unlike counters kept by the tasks they stay exact when tasks run again.
+    Run once, before the upserts are started; the ingest may run. The load reads the raw batches that there are
+    when it starts and leaves their last number with the target, and the upserts start behind it. Errors while
+    looking at either side fail the load. The rows are shuffled and written once; the counts afterwards read only
+    Parquet footers, and unlike counters kept by the tasks they stay exact when tasks run again.
     """
     if not target.is_empty():
-        log.warning("%s already has rows; the initial load would duplicate them", target.root)
+        log.warning("%s already has rows; the initial load would duplicate them", target.name)
         return LoadResult("target_not_empty", target_count=_count(target.read()))
+    last = max(partition_numbers(spark, raw_table, BATCH), default=-1)
+    raw = read_table(spark, raw_table).where(F.col(BATCH) <= last)
     if raw.isEmpty():
-        log.warning("no rows in %s", raw_location)
+        log.warning("no rows in %s", raw_table)
         return LoadResult("source_empty")
 
     newest = latest_per_key(raw, target.keys, target.order_by, target.tiebreak)
-    target.load(newest, source_size=files.size_of(spark, raw_location))
+    target.load(newest, planned_bytes(raw) or 0, raw_batch=last)
 
     loaded = _count(target.read())
     result = LoadResult("loaded", raw_count=_count(raw), dedup_count=loaded, target_count=loaded)

@@ -71,6 +71,12 @@ PER_DATE = "FROM events GROUP BY CAST(ts AS DATE)"
 
 LATE_PARTS_WIN = newest(ORDERS, order=f"{PART}, event_timestamp DESC")
 
+# NULL is a key too.
+LOAD_METRICS = """
+SELECT count(*) AS raw_count, (SELECT count(*) FROM (SELECT DISTINCT user_id FROM events)) AS dedup_count,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT user_id FROM events)) AS removed_count
+FROM events"""
+
 ORACLES: dict[str, str] = {
     "landing_write": f"""
 SELECT CAST(ts AS DATE) AS event_date, count(*) AS n_rows, count(value) AS n_amounts {PER_DATE}""",
@@ -79,13 +85,10 @@ SELECT CAST(ts AS DATE) AS event_date, count(*) AS n_rows, count(value) AS n_amo
 SELECT * REPLACE (CAST(order_id AS BIGINT) AS order_id) FROM ({LANDED})""",
     "landing_partition_prune": f"SELECT * FROM ({LANDED}) WHERE event_date >= DATE '2024-01-16'",
     "quarantine_split": f"""
-SELECT event_date, n_good, good_amount, n_bad, bad_chars
-FROM (SELECT event_date, count(*) AS n_good_or_bad,
-        count(*) FILTER (database_operation <> 'delete') AS n_good,
-        sum(CAST(replace(amount, ',', '.') AS DECIMAL(12,2)))
-          FILTER (database_operation <> 'delete') AS good_amount
-      FROM ({LANDED}) GROUP BY event_date)
-JOIN (SELECT event_date, count(*) AS n_bad, sum(length(line)) AS bad_chars
+SELECT event_date, coalesce(n_good, 0) AS n_good, good_amount, coalesce(n_bad, 0) AS n_bad, coalesce(bad_chars, 0) AS bad_chars
+FROM (SELECT event_date, count(*) AS n_good, sum(CAST(replace(amount, ',', '.') AS DECIMAL(12,2))) AS good_amount
+      FROM ({LANDED}) WHERE database_operation IS DISTINCT FROM 'delete' GROUP BY event_date)
+FULL JOIN (SELECT event_date, count(*) AS n_bad, sum(length(line)) AS bad_chars
       FROM ({MALFORMED}) GROUP BY event_date) USING (event_date)""",
     "quarantine_stream": MALFORMED,
     "normalize_orders": ORDERS,
@@ -123,11 +126,9 @@ SELECT CAST(ts AS DATE) AS event_date, count(*) AS n_rows, count(*) AS n_stamped
     "latest_per_key_composite": newest("SELECT * FROM lineitem", "l_orderkey", LINEITEM_LATEST),
     "latest_per_two_keys": newest("SELECT * FROM lineitem", "l_orderkey, l_linenumber", LINEITEM_LATEST),
     "latest_per_key_missing_col": f"SELECT * EXCLUDE (event_timestamp) FROM ({ORDERS})",
-    "load_metrics": """
-SELECT count(*) AS raw_count, count(DISTINCT user_id) AS dedup_count,
-  count(*) - count(DISTINCT user_id) AS removed_count
-FROM events""",
-    "target_count": "SELECT count(DISTINCT user_id) AS cnt FROM events",
+    "load_metrics": LOAD_METRICS,
+    "observed_counts": LOAD_METRICS,
+    "target_count": "SELECT count(*) AS cnt FROM (SELECT DISTINCT user_id FROM events)",
     "upsert_merge": newest(ORDERS, PAIR),
     "upsert_matched": f"SELECT n.* FROM ({NEW_PAIRS}) n JOIN ({OLD_PAIRS}) o USING ({PAIR})",
     "upsert_not_matched": f"""
@@ -165,6 +166,10 @@ FROM ({ORDERS}) GROUP BY ALL""",
     "initial_load_guard": f"""
 SELECT *, 'target_not_empty' AS second_run
 FROM ({newest(f"SELECT * FROM ({ORDERS}) WHERE event_date < DATE '2024-01-11'")})""",
+    "initial_load_of_nothing": f"SELECT *, 'source_empty' AS first_run FROM ({LATEST})",
+    "processed_by_name": f"""
+SELECT payment_method, event_date, count(*) AS n_orders, sum(amount) AS total FROM ({LATEST}) GROUP BY ALL""",
+    "failed_batch_retried": f"SELECT *, 'failed' AS first_run, 2 AS n_tries FROM ({LATEST})",
     "stream_upsert": LATEST,
     "stream_upsert_out_of_order": LATE_PARTS_WIN,
     "batch_replay": LATEST,

@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import normalize_op, parse_amount, parse_event_ts
@@ -18,13 +19,14 @@ from tidemark.operators import (
     latest_per_key,
     matched_updates,
     normalize_orders,
+    observed_counts,
     row_count,
     unmatched_updates,
     upsert,
 )
 from tidemark.plans.feed import feed_from_events, lines_with_malformed, read_events
 from tidemark.plans.workspace import AVAILABLE_NOW, PARTS, Workspace
-from tidemark.schema import KEY, ORDERS, TIEBREAK, TS
+from tidemark.schema import BATCH, KEY, ORDERS, TIEBREAK, TS
 from tidemark.session import scratch_dir
 from tidemark.sources import (
     append_table,
@@ -41,7 +43,7 @@ from tidemark.sources import (
     write_landing,
     write_quarantine,
 )
-from tidemark.streaming import quarantine_malformed
+from tidemark.streaming import append_stream, ensure_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,9 +153,8 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, errors = landed_with_malformed(spark, sf_dir, "quarantine-stream")
-    quarantine_malformed(
-        spark, path, errors, f"{errors}/_checkpoint", trigger=AVAILABLE_NOW
-    ).awaitTermination()
+    space = Workspace(spark, sf_dir, "quarantine-raw")
+    space.ingest(errors, landing=path)
     return read_quarantine(spark, errors).select("event_date", "line")
 
 
@@ -260,6 +261,12 @@ def target_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(newest(orders(spark, sf_dir)))
 
 
+@query
+def observed_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_dir(spark, 'observed')}/newest"
+    return observed_counts(orders(spark, sf_dir), newest, lambda rows: rows.write.parquet(path))
+
+
 # -- upsert ------------------------------------------------------------------------------------
 
 
@@ -267,10 +274,18 @@ def target_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAIR = ["order_id", "product_id"]
 
 
+def is_old() -> Column:
+    """Rows of the target; those without a date are updates."""
+    return F.coalesce(F.col("event_date") < F.lit("2024-01-15").cast("date"), F.lit(False))
+
+
+def is_returned() -> Column:
+    return F.col("l_returnflag").eqNullSafe("R")
+
+
 def target_and_updates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = orders(spark, sf_dir)
-    is_old = F.coalesce(F.col("event_date") < F.lit("2024-01-15").cast("date"), F.lit(False))
-    target, updates = (latest_per_key(rows.where(side), PAIR, TS, TIEBREAK) for side in (is_old, ~is_old))
+    target, updates = (latest_per_key(rows.where(side), PAIR, TS, TIEBREAK) for side in (is_old(), ~is_old()))
     return target, updates
 
 
@@ -296,10 +311,9 @@ def upsert_not_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     keys = ["l_orderkey", "l_linenumber"]
-    returned = F.col("l_returnflag").eqNullSafe("R")
     target, updates = (
         latest_per_key(rows, keys, "l_shipdate", LINEITEM_ORDER[1:])
-        for rows in (lineitem.where(~returned), lineitem.where(returned))
+        for rows in (lineitem.where(~is_returned()), lineitem.where(is_returned()))
     )
     return upsert(target, updates, keys)
 
@@ -407,16 +421,10 @@ def raw_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark, sf_dir, "raw-stream")
     space.land()
     space.ingest()
-    copy = new_table(space, "orders_copy")
-    (
-        stream_table(spark, space.raw_table)
-        .writeStream.outputMode("append")
-        .partitionBy("event_date")
-        .option("checkpointLocation", f"{space.root}/checkpoints/copy")
-        .trigger(**AVAILABLE_NOW)
-        .toTable(copy)
-        .awaitTermination()
-    )
+    copy = f"{space.database}.orders_copy"
+    ensure_raw(spark, copy, f"{space.root}/orders_copy")
+    rows = stream_table(spark, space.raw_table).drop(BATCH)
+    append_stream(rows, copy, f"{space.root}/checkpoints/copy", trigger=AVAILABLE_NOW).awaitTermination()
     return business(read_table(spark, copy))
 
 
@@ -429,6 +437,32 @@ def initial_load_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return business(space.current.read())
 
 
+@query
+def initial_load_of_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    space = Workspace(spark, sf_dir, "load-nothing")
+    first = space.initial_load()
+    space.land()
+    space.ingest()
+    space.initial_load()
+    return business(space.current.read()).withColumn("first_run", F.lit(first.status))
+
+
+@query
+def processed_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    space = Workspace(spark, sf_dir, "by-name")
+    space.land(0)
+    space.ingest()
+    space.initial_load()
+    for part in (1, 2):
+        space.land(part)
+        space.ingest()
+        space.upsert()
+    return spark.sql(
+        f"SELECT payment_method, event_date, count(*) AS n_orders, sum(amount) AS total "
+        f"FROM {space.processed} GROUP BY payment_method, event_date"
+    )
+
+
 @query
 def initial_load_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark, sf_dir, "guard")
@@ -469,16 +503,38 @@ def batch_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         space.land(part)
         space.ingest()
         space.upsert()
-    # The last batch again, as after a crash between its commit and the checkpoint's; then
+    # The last batch again, as after a crash between its write and the checkpoint's; then
     # the whole table again from a new checkpoint.
-    writer, last = next(iter(space.current.state().writers.items()))
-    space.current.apply(space.raw(), writer, last)
+    space.current.apply(space.raw().where(PARTS[1]), space.current.commits()[-1])
     space.land(2)
     space.ingest()
     space.upsert(checkpoint="processed-again")
     return business(space.current.read())
 
 
+@query
+def failed_batch_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that fails once its rows are written fails its stream; the restart repeats it."""
+    space = Workspace(spark, sf_dir, "failed-batch")
+    commits = []
+
+    def fail_once(commit: int, records: int) -> None:
+        commits.append(commit)
+        if len(commits) == 1:
+            raise RuntimeError("failed once")
+
+    space.land()
+    space.ingest()
+    status = "finished"
+    try:
+        space.upsert(after_batch=fail_once)
+    except StreamingQueryException:
+        status = "failed"
+    space.upsert(after_batch=fail_once)
+    counts = {"first_run": F.lit(status), "n_tries": F.lit(commits.count(commits[0]))}
+    return business(space.current.read()).withColumns(counts)
+
+
 @query
 def bootstrap_then_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark, sf_dir, "bootstrap")

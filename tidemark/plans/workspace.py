@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.feed import feed_from_events, read_events
 from tidemark.plans.initial_load import LoadResult, initial_load
+from tidemark.schema import ORDERS
 from tidemark.session import scratch_dir
 from tidemark.sources import CurrentTable, ensure_database, read_table, write_landing
-from tidemark.streaming import incremental_upsert, ingest_raw
+from tidemark.streaming import ensure_raw, incremental_upsert, ingest_raw
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -33,32 +35,36 @@ class Workspace:
         self.landing = f"{self.root}/landing/orders"
         self.raw_table = f"{self.database}.orders"
         self.raw_location = f"{self.root}/raw/orders"
-        self.current = CurrentTable(spark, f"{self.root}/processed/orders", database=self.database)
+        ensure_raw(spark, self.raw_table, self.raw_location)
+        self.processed = f"{self.database}.processed_orders"
+        self.current = CurrentTable(spark, self.processed, f"{self.root}/processed/orders")
 
     def land(self, part: int | None = None) -> None:
         write_landing(self.feed if part is None else self.feed.where(PARTS[part]), self.landing)
 
-    def ingest(self) -> None:
+    def ingest(self, errors: str | None = None, landing: str | None = None) -> None:
         ingest_raw(
             self.spark,
-            self.landing,
+            landing or self.landing,
             self.raw_table,
             self.raw_location,
             f"{self.root}/checkpoints/raw",
             trigger=AVAILABLE_NOW,
+            errors=errors,
         ).awaitTermination()
 
     def raw(self) -> DataFrame:
-        return read_table(self.spark, self.raw_table)
+        return read_table(self.spark, self.raw_table).select(*ORDERS.fieldNames())
 
     def initial_load(self) -> LoadResult:
-        return initial_load(self.spark, self.raw(), self.raw_location, self.current)
+        return initial_load(self.spark, self.raw_table, self.current)
 
-    def upsert(self, checkpoint: str = "processed") -> None:
+    def upsert(self, checkpoint: str = "processed", after_batch: Callable[[int, int], None] | None = None) -> None:
         incremental_upsert(
             self.spark,
             self.raw_table,
             self.current,
             f"{self.root}/checkpoints/{checkpoint}",
             trigger=AVAILABLE_NOW,
+            after_batch=after_batch,
         ).awaitTermination()

@@ -8,6 +8,9 @@ KEY = "order_id"
 TS = "event_timestamp"
 PARTITION = "event_date"
 CORRUPT = "_corrupt_record"
+# Partition columns that number the micro-batches of the raw table and the commits of the current one.
+BATCH = "ingest_batch"
+COMMIT = "_commit"
 
 # Every field is text: numbers arrive as their raw text, so a feed that mixes 3.5 and "3,5"
 # neither changes type nor fails. `event_date` comes from the directory name.
@@ -47,6 +50,9 @@ ORDERS = T.StructType(
     ]
 )
 
+# The raw history as it is stored.
+RAW = T.StructType([*ORDERS.fields, T.StructField(BATCH, T.LongType())])
+
 # Rows of one key with equal event time are ordered by these, newest load first, so that a
 # recomputed task picks the same row again.
 TIEBREAK = (

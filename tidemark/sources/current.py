@@ -1,352 +1,287 @@
-"""The current-state table: one row per key, upserted batch by batch.
+"""The current-state table: one row per key, upserted batch by batch, read in SQL by its name.
 
-On disk it is a snapshot, bucketed by key, plus the changes applied since. Applying a batch
-writes only that batch. Reading replaces snapshot rows by their newest change; the bucketing
-means that the snapshot side of that join is never shuffled. Once the changes reach a set
-share of the snapshot they are merged into a new one, which is not shuffled either. So how
-often a row is rewritten, and how much a reader has to join, stay bounded however large the
-table is.
+Three kinds of catalog objects, all as Spark has them:
 
-A batch with random keys touches every file of a keyed table, so rewriting touched files would
-rewrite the whole table per micro-batch.
+- ``<name>_changes``, an external table partitioned by commit. A batch's newest rows are one partition. Writing it
+  again replaces that partition (dynamic partition overwrite), so a repeated batch leaves what it left before.
+- ``<name>_base_<commit>``, all rows as of a commit, bucketed by key and never changed.
+- ``<name>``, a view: the base's rows whose key no later commit has, and the last later change of each key. The base
+  is read in its buckets and not shuffled.
 
-Each commit is one small state file that names the folders in force. Folders are never changed
-once written: a failed or repeated write leaves a folder that no state names. One writer at a
-time.
+A batch with random keys touches every file of a keyed table, so a batch writes its own rows alone, and `merge` makes a
+new base once the changes are a set share of the old one. What a merge replaced is deleted by the next one, so queries
+planned before a merge have as long as that to end. One writer at a time.
 """
 
 from __future__ import annotations
 
-import json
+import re
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field, replace
-from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import quoted
 from tidemark.operators.latest import latest_per_key
-from tidemark.schema import KEY, ORDERS, PARTITION, TIEBREAK, TS
+from tidemark.schema import COMMIT, KEY, ORDERS, PARTITION, TIEBREAK, TS
 from tidemark.session import sql_settings
 from tidemark.sources import files
-from tidemark.sources.tables import ensure_database
-
-_COMMIT = "_commit"
+from tidemark.sources.tables import (
+    drop_table,
+    ensure_database,
+    ensure_table,
+    name_parts,
+    partition_numbers,
+    planned_bytes,
+    text_literal,
+)
 
 MB = 1024 * 1024
-# Spark allows 100,000 buckets by default.
-MAX_BUCKETS = 65_536
-# Change bytes per bucket up to which the changed keys of a bucket are held in a hash table.
-HASHED_CHANGES = 64 * MB
-# A folded folder has a file per this many bytes of the folders it replaces.
-FOLDED_FILE = 64 * MB
-# Without `sort_by`, a task writes its few buckets side by side, which spares any sort.
-SNAPSHOT_WRITERS = 64
-
-
-@dataclass(frozen=True)
-class Folder:
-    """A written folder; ``buckets`` is set for a snapshot."""
-
-    name: str
-    size: int
-    buckets: int = 0
-
-
-@dataclass(frozen=True)
-class State:
-    """What a commit put in force, and the last batch of each writer."""
-
-    commit: int = 0
-    snapshot: Folder | None = None
-    changes: tuple[Folder, ...] = ()
-    writers: dict[str, int] = field(default_factory=dict)
-
-    @property
-    def change_size(self) -> int:
-        return sum(folder.size for folder in self.changes)
-
-    def folders(self) -> set[str]:
-        in_force = [*self.changes, *([self.snapshot] if self.snapshot else [])]
-        return {folder.name for folder in in_force}
-
-    def to_json(self) -> str:
-        return json.dumps(asdict(self))
-
-    @staticmethod
-    def from_json(text: str) -> State:
-        raw = json.loads(text)
-        return State(
-            commit=raw["commit"],
-            snapshot=Folder(**raw["snapshot"]) if raw["snapshot"] else None,
-            changes=tuple(Folder(**folder) for folder in raw["changes"]),
-            writers=raw["writers"],
-        )
+# Bytes of a batch's files for each task that ranks its rows; unpacked they are a few times as many.
+BATCH_SPLIT = 32 * MB
+BASE_FOLDER = re.compile(r"base-(\d+)-(\d+)")
 
 
 class CurrentTable:
-    """One row per key under ``root``, with insert-or-replace by batch.
-
-    - ``database`` holds the catalog entries of the bucketed snapshots.
-    - ``bucket_size`` is the aimed bytes of a bucket. The bucket count is set when a snapshot
-      is written, and doubles as the table grows.
-    - ``sort_by`` orders the rows of a bucket, so that a filter on these columns skips most
-      pages of a bucket's file, much as it would skip partitions. It sorts within the tasks
-      that write a snapshot; pass () where nobody filters by date.
-    - ``compact_ratio``: changes beyond this share of the snapshot are merged into a new
-      snapshot. None leaves that to calls of `compact`.
-    - ``fold_after``: from this many change folders on, the newer ones are merged into one.
+    """One row per key under a catalog ``name``, with insert-or-replace by batch; files are under ``location``.
+
+    - ``bucket_size`` is the aimed bytes of a bucket. Each base has as many buckets as its size asks for.
+    - ``sort_by`` orders the rows of a bucket, so that a filter on these columns skips most pages of a bucket's file,
+      much as it would skip partitions. Pass () where nobody filters by date.
+    - ``merge_ratio``: changes beyond this share of the base, and of ``merge_size`` bytes at least, are merged into
+      a new base. None leaves that to calls of `merge`.
     """
 
     def __init__(
         self,
         spark: SparkSession,
-        root: str,
+        name: str,
+        location: str,
         schema: T.StructType = ORDERS,
         keys: Sequence[str] = (KEY,),
         order_by: str = TS,
         tiebreak: Sequence[str] = TIEBREAK,
         sort_by: Sequence[str] = (PARTITION,),
-        database: str = "default",
         bucket_size: int = 1024 * MB,
         min_buckets: int = 8,
-        compact_ratio: float | None = 0.25,
-        fold_after: int = 32,
+        merge_ratio: float | None = 0.25,
+        merge_size: int = 64 * MB,
     ) -> None:
         unknown = {*keys, order_by, *tiebreak, *sort_by} - set(schema.fieldNames())
         if unknown:
             raise ValueError(f"columns not in the schema: {sorted(unknown)}")
         self.spark = spark
-        self.root = root.rstrip("/")
+        self.database, self.short_name = name_parts(spark, name)
+        self.name = quoted(self.database, self.short_name)
+        self.changes = quoted(self.database, f"{self.short_name}_changes")
+        self.location = location.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
         self.order_by = order_by
         self.tiebreak = list(tiebreak)
         self.sort_by = list(sort_by)
-        self.database = database
         self.bucket_size = bucket_size
         self.min_buckets = min_buckets
-        self.compact_ratio = compact_ratio
-        self.fold_after = fold_after
-        ensure_database(spark, database)
+        self.merge_ratio = merge_ratio
+        self.merge_size = merge_size
+        ensure_database(spark, self.database)
+        ensure_table(
+            spark,
+            self.changes,
+            f"{self.location}/changes",
+            T.StructType([*schema.fields, T.StructField(COMMIT, T.LongType())]),
+            [COMMIT],
+            replace_partitions=True,
+        )
+        if not spark.catalog.tableExists(self.name):
+            self._register()
 
     # -- reading ---------------------------------------------------------------------------
 
     def read(self) -> DataFrame:
-        """The current rows, as of the last commit."""
-        return self._current(self.state())
+        """The current rows: what SQL finds under the name. Sessions keep file lists, which this renews."""
+        self.spark.catalog.refreshTable(self.changes)
+        return self.spark.table(self.name)
 
     def is_empty(self) -> bool:
-        state = self.state()
-        return not state.folders() or self._current(state).isEmpty()
+        return self.read().isEmpty()
+
+    def base(self) -> int | None:
+        """The commit that the base holds all rows of."""
+        found = self._properties().get("tidemark.base")
+        return None if found is None else int(found)
+
+    def commits(self) -> list[int]:
+        """Commits after the base, in order."""
+        base = self.base()
+        return [c for c in partition_numbers(self.spark, self.changes, COMMIT) if base is None or c > base]
 
-    def state(self) -> State:
-        """The last commit; an empty state for a new table."""
-        commits = self._commits()
-        if not commits:
-            return State()
-        return State.from_json(files.read_text(self.spark, f"{self.root}/_state/{commits[-1]}"))
+    def next_commit(self) -> int:
+        base = self.base()
+        return max([-1 if base is None else base, *self.commits()]) + 1
+
+    def loaded_through(self) -> int | None:
+        """The last raw batch that the initial load read."""
+        found = self._properties().get("tidemark.raw_batch")
+        return None if found is None else int(found)
 
     # -- writing ---------------------------------------------------------------------------
 
-    def load(self, rows: DataFrame, source_size: int, writer_id: str = "initial-load") -> None:
-        """Write the first snapshot from rows that are one per key.
+    def load(self, rows: DataFrame, size: int, raw_batch: int | None = None) -> None:
+        """Write the first base from rows that are one per key and come from ``size`` bytes.
 
-        ``source_size``, the bytes the rows come from, sets the bucket count. With as many
-        shuffle partitions as buckets, the shuffle that made the rows unique also places
+        With as many shuffle partitions as buckets, the shuffle that made the rows unique also places
         them in buckets, and they are not shuffled again.
         """
         if not self.is_empty():
-            raise ValueError(f"{self.root} already has rows")
-        state = self.state()
-        buckets = self._bucket_count(source_size)
+            raise ValueError(f"{self.name} already has rows")
+        buckets = self._bucket_count(size)
+        commit = self.next_commit()
         with sql_settings(rows.sparkSession, {"spark.sql.shuffle.partitions": str(buckets)}):
-            snapshot = self._write_snapshot(rows, buckets)
-        self._publish(
-            State(state.commit + 1, snapshot, writers={**state.writers, writer_id: 0})
-        )
+            self._write_base(rows, commit, buckets)
+        self._show(commit, raw_batch)
 
-    def apply(self, batch: DataFrame, writer_id: str, batch_id: int) -> bool:
-        """Upsert the newest row per key of a batch; False if it was applied before.
+    def apply(self, batch: DataFrame, commit: int) -> bool:
+        """Upsert the newest row per key of a batch; False if a base holds that commit already.
 
-        Batch ids of one writer must rise. Rows replace those of earlier batches whatever
-        their timestamps are. Rows with a NULL key match nothing, so each batch that has any
-        adds one.
+        Commits rise; only the last one may come again, with the same rows. Rows replace those of earlier commits
+        whatever their timestamps are. Rows with a NULL key match nothing, so each commit that has any adds one.
         """
-        state = self.state()
-        if state.writers.get(writer_id, -1) >= batch_id:
+        base = self.base()
+        if base is not None and commit <= base:
             return False
-        commit = state.commit + 1
         newest = latest_per_key(batch, self.keys, self.order_by, self.tiebreak)
-        written = self._write_changes(
-            newest.select(*self.schema.fieldNames(), F.lit(commit).cast("long").alias(_COMMIT))
-        )
-        state = replace(
-            state,
-            commit=commit,
-            changes=(*state.changes, written),
-            writers={**state.writers, writer_id: batch_id},
-        )
-        self._publish(state)
-        self._compact_if_due(state)
+        rows = newest.select(*self._names(), F.lit(commit).cast("long").alias(COMMIT))
+        size = planned_bytes(batch)
+        sized = {} if size is None else {"spark.sql.shuffle.partitions": str(size // BATCH_SPLIT + 1)}
+        # The session of a micro-batch is the stream's own.
+        with sql_settings(batch.sparkSession, sized):
+            rows.write.insertInto(self.changes, overwrite=True)
+        if self._merge_is_due():
+            self.merge()
         return True
 
-    def compact(self) -> None:
-        """Merge all changes into a new snapshot."""
-        state = self.state()
-        if not state.changes:
-            return
-        size = state.change_size + (state.snapshot.size if state.snapshot else 0)
-        buckets = self._bucket_count(size, state.snapshot)
-        snapshot = self._write_snapshot(self._current(state), buckets)
-        self._publish(replace(state, commit=state.commit + 1, snapshot=snapshot, changes=()))
-
-    def fold(self) -> None:
-        """Merge the newer change folders into one, leaving older ones and the snapshot.
-
-        A folder over twice the size of all newer ones together stays as it is, so a row is
-        rewritten only as often as the changes around it grow by half.
-        """
-        state = self.state()
-        folded, size = 0, 0
-        for folder in reversed(state.changes):
-            if folded and folder.size > 2 * size:
-                break
-            folded, size = folded + 1, size + folder.size
-        if folded < 2:
-            return
-        older, newer = state.changes[:-folded], state.changes[-folded:]
-        written = self._write_changes(self._newest_changes(newer, size // FOLDED_FILE + 1))
-        self._publish(replace(state, commit=state.commit + 1, changes=(*older, written)))
-
-    def expire(self, keep: int = 2) -> list[str]:
-        """Delete folders that none of the last ``keep`` commits uses; returns their names.
-
-        Queries that started on an older commit fail after this.
+    def merge(self) -> bool:
+        """Make a base of all commits but the last, which may come again; False if there are none.
+
+        The base is written beside the old one, then the view is replaced, and then what the old base had replaced
+        is deleted. A crash leaves the view as it was or as it will be.
         """
-        commits = self._commits()
-        kept, old = commits[-keep:], commits[:-keep]
-        live = set()
-        for name in kept:
-            text = files.read_text(self.spark, f"{self.root}/_state/{name}")
-            live |= State.from_json(text).folders()
-        dead = [
-            name
-            for name in files.list_names(self.spark, self.root)
-            if name.startswith(("snapshot-", "changes-")) and name not in live
-        ]
-        # State files go first: a folder may be missing only once no state names it.
-        for name in old:
-            files.delete_tree(self.spark, f"{self.root}/_state/{name}")
-        for name in dead:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(name)}")
-            files.delete_tree(self.spark, f"{self.root}/{name}")
-        return dead
+        before, commits = self.base(), self.commits()
+        if len(commits) < 2:
+            return False
+        upto = commits[-2]
+        self.spark.catalog.refreshTable(self.changes)
+        rows = self.spark.sql(self._query(before, upto))
+        self._write_base(rows, upto, self._bucket_count(self._size(before, upto)))
+        self._show(upto, self.loaded_through())
+        if before is not None:
+            self._delete_before(before)
+        return True
 
     # -- inside ----------------------------------------------------------------------------
 
-    def _current(self, state: State) -> DataFrame:
-        """Snapshot rows without a newer change, and the newest changes.
-
-        With changes, the rows come hash-partitioned by key.
-        """
-        names = self.schema.fieldNames()
-        if not state.folders():
-            nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema)
-            return self.spark.range(0).select(*nothing)
-        if not state.changes:
-            return self._snapshot(state.snapshot)
-        if state.snapshot is None:
-            partitions = self._bucket_count(state.change_size)
-            return self._newest_changes(state.changes, partitions).select(*names)
-        newest = self._newest_changes(state.changes, state.snapshot.buckets)
-        # Both joins leave the bucketed snapshot in place and shuffle only the changed keys.
-        # As long as these fit, hashing them and streaming the snapshot past also spares
-        # sorting the snapshot.
-        hashed = state.change_size <= HASHED_CHANGES * state.snapshot.buckets
-        changed_keys = newest.select(*self.keys).hint("shuffle_hash" if hashed else "merge")
-        kept = self._snapshot(state.snapshot).join(changed_keys, self.keys, "left_anti")
-        return kept.select(*names).unionByName(newest.select(*names))
-
-    def _newest_changes(self, folders: Sequence[Folder], partitions: int) -> DataFrame:
-        """The last change of each key, and every change whose key is NULL.
-
-        A folder has a key at most once, so no key is hot here. With as many partitions as
-        buckets, one shuffle by key serves the window, the join with the snapshot and the
-        snapshot written from it.
-        """
-        changes = (
-            self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(_COMMIT, T.LongType())]))
-            .parquet(*(f"{self.root}/{folder.name}" for folder in folders))
-            .repartition(partitions, *self.keys)
-        )
-        if len(folders) == 1:
-            return changes
-        any_null = F.lit(False)
-        for key in self.keys:
-            any_null = any_null | F.col(key).isNull()
-        per_key = Window.partitionBy(*self.keys, F.when(any_null, F.col(_COMMIT)))
-        ranked = F.row_number().over(per_key.orderBy(F.col(_COMMIT).desc()))
-        return changes.withColumn("_rank", ranked).where(F.col("_rank") == 1).drop("_rank")
-
-    def _snapshot(self, snapshot: Folder) -> DataFrame:
-        table = self._table_name(snapshot.name)
-        keys = ", ".join(self.keys)
-        # Sessions without a shared catalog do not know the table yet.
-        self.spark.sql(
-            f"CREATE EXTERNAL TABLE IF NOT EXISTS {table} ({self.schema.toDDL()}) USING parquet "
-            f"CLUSTERED BY ({keys}) INTO {snapshot.buckets} BUCKETS "
-            f"LOCATION '{self.root}/{snapshot.name}'"
-        )
-        return self.spark.table(table).select(*self.schema.fieldNames())
-
-    def _write_snapshot(self, rows: DataFrame, buckets: int) -> Folder:
-        name = f"snapshot-{uuid4().hex}"
+    def _names(self) -> list[str]:
+        return [quoted(name) for name in self.schema.fieldNames()]
+
+    def _base_name(self, commit: int) -> str:
+        return quoted(self.database, f"{self.short_name}_base_{commit}")
+
+    def _properties(self) -> dict[str, str]:
+        return {row["key"]: row["value"] for row in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
+
+    def _later(self, base: int | None, upto: int | None = None) -> str:
+        low = -1 if base is None else base
+        return f"{COMMIT} > {low}" + ("" if upto is None else f" AND {COMMIT} <= {upto}")
+
+    def _query(self, base: int | None, upto: int | None = None) -> str:
+        """SQL for the rows as of a commit, or of the last."""
+        names, keys = ", ".join(self._names()), [quoted(key) for key in self.keys]
+        later = self._later(base, upto)
+        any_null = " OR ".join(f"{key} IS NULL" for key in keys)
+        newest = f"""
+            SELECT {names} FROM (
+                SELECT *, row_number() OVER (
+                    PARTITION BY {', '.join(keys)}, CASE WHEN {any_null} THEN {COMMIT} END ORDER BY {COMMIT} DESC
+                ) AS _rank
+                FROM {self.changes} WHERE {later}
+            ) WHERE _rank = 1"""
+        if base is None:
+            return newest
+        same = " AND ".join(f"c.{key} = b.{key}" for key in keys)
+        return f"""
+            SELECT {names} FROM {self._base_name(base)} b
+            WHERE NOT EXISTS (SELECT 1 FROM {self.changes} c WHERE {later} AND {same})
+            UNION ALL {newest}"""
+
+    def _show(self, base: int | None, raw_batch: int | None = None) -> None:
+        """Put the view over a base in force: one change of the catalog."""
+        found = {"tidemark.base": base, "tidemark.raw_batch": raw_batch}
+        properties = ", ".join(f"'{key}' = '{value}'" for key, value in found.items() if value is not None)
+        given = f"TBLPROPERTIES ({properties})" if properties else ""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} {given} AS {self._query(base)}")
+
+    def _register(self) -> None:
+        """Find the newest whole base, for catalogs that do not outlive a session."""
+        base = None
+        for commit, folder in self._base_folders():
+            if "_SUCCESS" in files.list_names(self.spark, f"{self.location}/{folder}"):
+                base = (commit, folder)
+        if base is not None:
+            buckets = int(BASE_FOLDER.fullmatch(base[1])[2])
+            columns = ", ".join(f"{quoted(field.name)} {field.dataType.simpleString()}" for field in self.schema)
+            self.spark.sql(
+                f"CREATE EXTERNAL TABLE IF NOT EXISTS {self._base_name(base[0])} ({columns}) USING parquet "
+                f"CLUSTERED BY ({', '.join(map(quoted, self.keys))}) INTO {buckets} BUCKETS "
+                f"LOCATION {text_literal(f'{self.location}/{base[1]}')}"
+            )
+        self._show(base and base[0])
+
+    def _base_folders(self) -> list[tuple[int, str]]:
+        names = filter(BASE_FOLDER.fullmatch, files.list_names(self.spark, self.location))
+        return sorted((int(BASE_FOLDER.fullmatch(name)[1]), name) for name in names)
+
+    def _write_base(self, rows: DataFrame, commit: int, buckets: int) -> None:
         writer = (
             # No shuffle if the rows already are in this partitioning.
-            rows.select(*self.schema.fieldNames())
-            .repartition(buckets, *self.keys)
+            rows.select(*self._names())
+            .repartition(buckets, *map(quoted, self.keys))
             .write.format("parquet")
+            .mode("overwrite")
             .bucketBy(buckets, *self.keys)
-            .option("path", f"{self.root}/{name}")
+            .option("path", f"{self.location}/base-{commit}-{buckets}")
         )
         if self.sort_by:
             writer = writer.sortBy(*self.sort_by)
-        writers = {"spark.sql.maxConcurrentOutputFileWriters": str(SNAPSHOT_WRITERS)}
-        with sql_settings(rows.sparkSession, writers):
-            writer.saveAsTable(self._table_name(name))
-        return Folder(name, files.size_of(self.spark, f"{self.root}/{name}"), buckets)
-
-    def _write_changes(self, rows: DataFrame) -> Folder:
-        name = f"changes-{uuid4().hex}"
-        rows.write.parquet(f"{self.root}/{name}")
-        return Folder(name, files.size_of(self.spark, f"{self.root}/{name}"))
-
-    def _compact_if_due(self, state: State) -> None:
-        snapshot_size = state.snapshot.size if state.snapshot else 0
-        if self.compact_ratio is not None and state.change_size > self.compact_ratio * snapshot_size:
-            self.compact()
-        elif len(state.changes) >= self.fold_after:
-            self.fold()
-
-    def _bucket_count(self, size: int, current: Folder | None = None) -> int:
-        buckets = max(self.min_buckets, current.buckets if current else 0)
-        while buckets * self.bucket_size < size:
-            buckets *= 2
-        return min(buckets, MAX_BUCKETS)
-
-    def _table_name(self, folder: str) -> str:
-        return f"`{self.database}`.`{folder.replace('-', '_')}`"
-
-    def _commits(self) -> list[str]:
-        names = files.list_names(self.spark, f"{self.root}/_state")
-        return sorted(name for name in names if name.endswith(".json"))
-
-    def _publish(self, state: State) -> None:
-        """Put ``state`` in force. Fails if another session's `expire` took a folder that it names: the
-        table then stays as it was, and the batch can be applied again."""
-        gone = state.folders() - set(files.list_names(self.spark, self.root))
-        if gone:
-            raise FileNotFoundError(f"folders of commit {state.commit} are gone: {sorted(gone)}")
-        files.publish_text(self.spark, f"{self.root}/_state/{state.commit:012d}.json", state.to_json())
+        writer.saveAsTable(self._base_name(commit))
+
+    def _delete_before(self, base: int) -> None:
+        """Delete the bases before one, and the commits that it holds."""
+        for commit, folder in self._base_folders():
+            if commit < base:
+                drop_table(self.spark, self._base_name(commit))
+                files.delete_tree(self.spark, f"{self.location}/{folder}")
+        old = [c for c in partition_numbers(self.spark, self.changes, COMMIT) if c <= base]
+        if old:
+            listed = ", ".join(f"PARTITION ({COMMIT} = {commit})" for commit in old)
+            self.spark.sql(f"ALTER TABLE {self.changes} DROP IF EXISTS {listed}")
+        for commit in old:
+            files.delete_tree(self.spark, f"{self.location}/changes/{COMMIT}={commit}")
+
+    def _size(self, base: int | None, upto: int | None = None) -> int:
+        changes = planned_bytes(self.spark.table(self.changes).where(self._later(base, upto)))
+        return (changes or 0) + self._base_size(base)
+
+    def _base_size(self, base: int | None) -> int:
+        return 0 if base is None else planned_bytes(self.spark.table(self._base_name(base))) or 0
+
+    def _merge_is_due(self) -> bool:
+        if self.merge_ratio is None or len(self.commits()) < 2:
+            return False
+        base = self.base()
+        size = self._base_size(base)
+        return self._size(base) - size > max(self.merge_ratio * size, self.merge_size)
+
+    def _bucket_count(self, size: int) -> int:
+        return max(self.min_buckets, -(-size // self.bucket_size))

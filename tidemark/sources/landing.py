@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schema import CORRUPT, LANDING, LANDING_WITH_CORRUPT, LINE, PARTITION, QUARANTINE
+from tidemark.schema import BATCH, CORRUPT, LANDING, LANDING_WITH_CORRUPT, LINE, PARTITION, QUARANTINE
+from tidemark.sources import files
 
 # A GZIP file is read by one task, so its size bounds that task's work.
 RECORDS_PER_FILE = 1_000_000
@@ -74,15 +75,25 @@ def select_malformed(landing: DataFrame) -> DataFrame:
     return malformed.withColumnRenamed(CORRUPT, LINE).select(*QUARANTINE.fieldNames())
 
 
-def write_quarantine(malformed: DataFrame, errors_path: str) -> None:
-    """Append malformed lines under ``malformed/event_date=..``, outside the landing folder."""
+def write_quarantine(malformed: DataFrame, errors_path: str, batch: int = 0) -> None:
+    """Write malformed lines under ``malformed/event_date=../ingest_batch=..``, outside the landing folder.
+
+    A batch that is written again replaces what it left. The rebalance step gathers the lines of a date.
+    """
     (
-        malformed.write.mode("append")
-        .partitionBy(PARTITION)
+        malformed.withColumn(BATCH, F.lit(batch).cast("long"))
+        .hint("rebalance", PARTITION)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PARTITION, BATCH)
         .option("compression", "gzip")
         .json(f"{errors_path}/malformed")
     )
 
 
 def read_quarantine(spark: SparkSession, errors_path: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE).json(f"{errors_path}/malformed")
+    """The malformed lines of all batches; none where no batch had any."""
+    if not files.list_names(spark, f"{errors_path}/malformed"):
+        return spark.createDataFrame([], QUARANTINE)
+    schema = T.StructType([*QUARANTINE.fields, T.StructField(BATCH, T.LongType())])
+    return spark.read.schema(schema).json(f"{errors_path}/malformed").select(*QUARANTINE.fieldNames())

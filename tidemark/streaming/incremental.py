@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import logging
-from uuid import uuid4
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources import CurrentTable, files, stream_table
+from tidemark.schema import BATCH
+from tidemark.sources import CurrentTable, stream_table
+from tidemark.streaming.batches import bounded, first_number, start
 
 log = logging.getLogger(__name__)
 
@@ -21,48 +23,30 @@ def incremental_upsert(
     checkpoint: str,
     trigger: dict | None = None,
     options: dict[str, str] | None = None,
-    keep: int | None = None,
+    after_batch: Callable[[int, int], None] | None = None,
 ) -> StreamingQuery:
     """Start upserting the rows of ``raw_table`` into ``target``, one micro-batch at a time.
 
-    A new checkpoint starts at the table's first row, also after an initial load; the rows
-    converge as long as batches come in time order. ``options`` are those of `stream_table`;
-    ``maxFilesPerTrigger`` bounds a micro-batch over a long history. With ``keep``, what none
-    of that many last commits uses is deleted after each batch. An error in a batch fails the query, and
-    a restart repeats that batch, which `CurrentTable.apply` skips if it was committed.
+    After an initial load the stream starts behind the raw batches that the load read: their partitions are not read
+    again. Without one it starts at the table's first row. ``options`` are those of `stream_table`, which `bounded` completes. ``after_batch`` is called with the commit and the number of records of each batch once its rows
+    are written. An error there or in the write fails the query, and a restart repeats that batch, which replaces
+    what it left.
     """
-    writer_id = _writer_id(spark, checkpoint)
+    first = first_number(spark, checkpoint, target.next_commit())
+    rows = stream_table(spark, raw_table, bounded(options))
+    loaded = target.loaded_through()
+    if loaded is not None:
+        rows = rows.where(F.col(BATCH) > loaded)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         # Counted while the batch is written; a log line does not justify reading it twice.
         seen = Observation()
-        counted = batch.observe(seen, F.count("*").alias("records"))
-        if target.apply(counted, writer_id, batch_id):
-            log.info("batch %s: %s records", batch_id, seen.get["records"])
-            if keep is not None:
-                target.expire(keep)
-        else:
-            log.info("batch %s was applied before", batch_id)
-
-    writer = (
-        stream_table(spark, raw_table, options)
-        .writeStream.queryName(f"upsert {target.root}")
-        .outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(upsert_batch)
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start()
-
-
-def _writer_id(spark: SparkSession, checkpoint: str) -> str:
-    """An id that lives and dies with the checkpoint.
-
-    Batch ids start again at 0 with a new checkpoint, so they tell batches apart only
-    together with it.
-    """
-    path = f"{checkpoint}/_writer_id"
-    if "_writer_id" not in files.list_names(spark, checkpoint):
-        files.publish_text(spark, path, uuid4().hex)
-    return files.read_text(spark, path)
+        if not target.apply(batch.observe(seen, F.count("*").alias("records")), first + batch_id):
+            log.info("commit %s is in the base", first + batch_id)
+            return
+        records = seen.get["records"]
+        log.info("commit %s: %s records", first + batch_id, records)
+        if after_batch is not None:
+            after_batch(first + batch_id, records)
+
+    return start(rows, f"upsert {target.name}", checkpoint, upsert_batch, trigger, mode="update")

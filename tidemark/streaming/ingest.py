@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import normalize_orders
-from tidemark.schema import LANDING, LANDING_WITH_CORRUPT, PARTITION
-from tidemark.sources import ensure_database, ensure_table, select_malformed, stream_landing
+from tidemark.schema import BATCH, CORRUPT, LANDING, PARTITION, RAW
+from tidemark.sources import ensure_database, ensure_table, select_malformed, stream_landing, write_quarantine
+from tidemark.sources.tables import name_parts
+from tidemark.streaming.batches import bounded, start, table_sink
+
+_FILE = "_file"
+
+
+def ensure_raw(spark: SparkSession, table: str, location: str) -> None:
+    """Register the raw history table: the order columns, by date and then by the batch that brought them."""
+    ensure_database(spark, name_parts(spark, table)[0])
+    ensure_table(spark, table, location, RAW, (PARTITION, BATCH), replace_partitions=True)
 
 
 def ingest_raw(
@@ -21,6 +32,7 @@ def ingest_raw(
     trigger: dict | None = None,
     options: dict[str, str] | None = None,
     rebalance: bool = False,
+    errors: str | None = None,
 ) -> StreamingQuery:
     """Start appending normalised landing records to the raw table, which is made if missing.
 
@@ -28,51 +40,30 @@ def ingest_raw(
     tasks write few files each. ``rebalance`` adds a shuffle by date that merges small output
     files, for a backfill over many dates.
 
+    A micro-batch is one value of the partition column `BATCH` under each date it has. When it is repeated, as after a
+    crash, its partitions are replaced. With ``errors``, malformed lines are also written there, outside the landing
+    folder, from the same read: the micro-batch is kept until both are written. In the raw table each malformed line is
+    a row of NULL fields.
+
     ``trigger`` takes the arguments of ``DataStreamWriter.trigger``; the default runs until
     stopped, ``{"availableNow": True}`` until the files present now are read. ``options`` are
-    those of `stream_landing`. A restart with the same checkpoint reads only new files.
+    those of `stream_landing`, which `bounded` completes. A restart with the same checkpoint reads only new files.
     """
-    ensure_database(spark, table.split(".")[0])
-    ensure_table(spark, table, location)
-    records = stream_landing(spark, landing, schema, options)
-    orders = normalize_orders(records)
-    if rebalance:
-        orders = orders.hint("rebalance", PARTITION)
-    writer = (
-        orders.writeStream.queryName(f"ingest {table}")
-        .format("parquet")
-        .outputMode("append")
-        .partitionBy(PARTITION)
-        .option("checkpointLocation", checkpoint)
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.toTable(table)
-
+    ensure_raw(spark, table, location)
+    if errors is not None:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    records = stream_landing(spark, landing, schema, bounded(options))
+    write_raw = table_sink(spark, table, checkpoint, rebalance)
+    if errors is None:
+        return start(normalize_orders(records), f"ingest {table}", checkpoint, write_raw, trigger)
 
-def quarantine_malformed(
-    spark: SparkSession,
-    landing: str,
-    errors_path: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-    options: dict[str, str] | None = None,
-) -> StreamingQuery:
-    """Start copying malformed landing lines to ``errors_path``, outside the landing folder.
+    def write_both(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            write_raw(normalize_orders(batch, source_file=F.col(_FILE)), batch_id)
+            write_quarantine(select_malformed(batch), errors, batch_id)
+        finally:
+            batch.unpersist()
 
-    It runs next to `ingest_raw` on its own checkpoint and leaves the raw table as it is,
-    where each malformed line is a row of NULL fields.
-    """
-    records = stream_landing(spark, landing, LANDING_WITH_CORRUPT, options)
-    writer = (
-        select_malformed(records)
-        .writeStream.queryName(f"quarantine {errors_path}")
-        .format("json")
-        .outputMode("append")
-        .partitionBy(PARTITION)
-        .option("compression", "gzip")
-        .option("checkpointLocation", checkpoint)
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start(f"{errors_path}/malformed")
+    parsed = records.select("*", F.col("_metadata.file_path").alias(_FILE))
+    return start(parsed, f"ingest {table}", checkpoint, write_both, trigger)
