@@ -2,16 +2,19 @@
 
 import base64
 import hashlib
+import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tidemark.llm import packing
 from tidemark.llm.byte_bpe import decode, encode
 from tidemark.llm.licenses import NOTICES, notices, scan
 from tidemark.llm.packing import pack_documents
@@ -112,6 +115,45 @@ def test_packing(spark):
     check_packing(pieces, texts, ids_of)
 
 
+def test_words_equal_the_library_with_any_memory(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, rng = Tokenizer.from_file(path), random.Random(3)
+    texts = ["<|endoftext|> a", "a<|startoftext|>", "(word's)", "", "a " * 50]
+    for letters in ("ab'sdé́̀  \n\t\x01\x00<|endoftext|>1!\u200d\U0001f600ﬁÅ가 ", "aZ'std éÉßẞÅKſ.,!'`^~ÀÿÞ×÷µªº\x1c\x85\xa0"):
+        texts += ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(3000)]
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    for memory in (1 << 19, 10):
+        monkeypatch.setattr(packing, "MEMO", memory)
+        own = packing.Words(path)
+        for start in range(0, len(texts), 700):
+            ids, at = own.ids(pa.array(["xx yy", *texts[start : start + 700]]).slice(1))
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want[start : start + 700]
+        assert len(own.memo) <= memory
+
+
+def test_slices_hold_all_texts_once(monkeypatch):
+    monkeypatch.setattr(packing, "AT_ONCE", 10)
+    texts = ["", "a" * 30, "b" * 4, "c" * 6, "d", "", "e" * 11, ""]
+    found = [(k, part.to_pylist()) for k, part in packing.slices(pa.array(["x", *texts]).slice(1))]
+    assert [text for _, part in found for text in part] == texts
+    assert [k for k, _ in found] == [0, 1, 2, 4, 6, 7]
+    assert list(packing.slices(pa.array([], pa.string()))) == []
+
+
+def test_padding_and_repeated_rows(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(i % 300, f"row {i % 7} " * (1 + i % 400), 0) for i in range(900)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, start int").coalesce(1)
+    pieces = pack_documents(table, path)
+    counts = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    tokens, windows = sum(r["n"] for r in counts), len(counts)
+    assert max(r["n"] for r in counts) <= 2048
+    assert tokens == sum(n * len(ids_of(text)) for text, n in Counter(t for _, t, _ in rows).items())
+    # A window more than the tokens need, or one in a hundred.
+    assert windows <= max(-(-tokens // 2048) + 1, 1.01 * tokens / 2048)
+    assert pack_documents(table.where("false"), path).collect() == []
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = np.random.default_rng(1)
     words = ["".join(rng.choice(list("aeioustrm"), 6)) for _ in range(300)]

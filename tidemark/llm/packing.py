@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +21,10 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import map_rows
 
 MEMO = 1 << 19
+AT_ONCE = 4 * 1024 * 1024  # bytes of text whose words are looked up together
+# A word of Latin letters, between marks: the tokenizer takes the three apart, as no mark before the letters
+# begins a contraction.
+PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
 def difference(lengths: Sequence[int], windows: int) -> list[int]:
@@ -58,41 +66,83 @@ def difference(lengths: Sequence[int], windows: int) -> list[int]:
 
 def pack(lengths: Sequence[int], capacity: int) -> tuple[list[int], int]:
     """Windows of items no longer than ``capacity``, and their number: the least that capacity allows, then
-    one more as long as a window exceeds it."""
+    more as long as a window exceeds it, in the measure that the fullest one does."""
     if not lengths:
         return [], 0
     windows = max(1, -(-sum(lengths) // capacity))
     while True:
         placed = difference(lengths, windows)
-        if np.bincount(placed, weights=lengths, minlength=windows).max() <= capacity:
+        fullest = int(np.bincount(placed, weights=lengths, minlength=windows).max())
+        if fullest <= capacity:
             return placed, windows
-        windows += 1
+        windows = max(windows + 1, windows * fullest // capacity)
 
 
 class Words:
-    """Ids of whole texts, remembered by word.
+    """Ids of whole texts, remembered by word and by part of a word.
 
-    For tokenizers that drop blanks and let no token cross them, which `word_bpe` files do: the
-    words between ASCII blanks are encoded by the library one by one, each distinct word once.
+    For tokenizers that lower case, drop blanks and let no token cross them or the border of letters and marks, which
+    `word_bpe` files do: the words between ASCII blanks are looked up, then their letters and marks (`PARTS`),
+    and what is new is encoded by the library one by one, each once.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [text.encode().split() for text in texts]
-        memo, extra = self.memo, {}
-        unknown = list({word for words in split for word in words if word not in memo})
-        for start in range(0, len(unknown), 20_000):
-            some = unknown[start : start + 20_000]
-            found = self.tokenizer.encode_batch_fast([word.decode() for word in some], add_special_tokens=False)
-            for word, one in zip(some, found, strict=True):
-                target = memo if len(memo) < MEMO else extra
-                target[word] = np.array(one.ids, "<u4").tobytes()
-        if extra:
-            return [b"".join([memo.get(w) or extra.get(w, b"") for w in words]) for words in split]
-        return [b"".join(map(memo.__getitem__, words)) for words in split]
+        self.memo: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _encode(self, parts: list[str]) -> None:
+        for start in range(0, len(parts), 20_000):
+            some = parts[start : start + 20_000]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.parts.update((part, array("I", one.ids).tobytes()) for part, one in zip(some, found, strict=True))
+
+    def _packed(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        memo, known, cut = self.memo, self.parts, {}
+        for word in words:
+            if word not in memo:
+                match = None if any(token in word for token in self.added) else PARTS.fullmatch(word)
+                cut[word] = (match[1], match[2].lower(), match[3]) if match else (word,)
+        new = list({part for parts in cut.values() for part in parts if part not in known})
+        self._encode(new)
+        for word, parts in cut.items():
+            memo[word] = b"".join([known[part] for part in parts])
+        packed = list(map(memo.__getitem__, words))
+        # What came first is mostly what comes often; the rest is forgotten again.
+        for memory, last in ((memo, cut), (known, new)):
+            if len(memory) > MEMO:
+                for key in last:
+                    del memory[key]
+        return packed
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one behind another, and the places where each text's begin, and the end."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        packed = self._packed(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        pool, codes = np.frombuffer(b"".join(packed), "<u4"), coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+        # Each id's place in the pool: where its word's begin, and how far into the word it is.
+        shift = (np.cumsum(sizes) - sizes)[codes] - ends[:-1]
+        ids = pool[np.arange(ends[-1]) + np.repeat(shift, sizes[codes])]
+        first = split.offsets.to_numpy()
+        return ids, ends[first - first[0]]
+
+
+def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of texts of about `AT_ONCE` bytes, or one longer text, and where each begins."""
+    sizes = pc.binary_length(texts).to_numpy()
+    start = size = 0
+    for i, own in enumerate(sizes.tolist()):
+        if size + own > AT_ONCE and i > start:
+            yield start, texts.slice(start, i - start)
+            start, size = i, 0
+        size += own
+    if len(texts) > start:
+        yield start, texts.slice(start)
 
 
 @lru_cache(maxsize=2)
@@ -161,11 +211,11 @@ def pack_documents(
         for batch in batches:
             schema = batch.schema
             kept = list(zip(*[batch.column(name).to_pylist() for name in names], strict=True)) or [()] * batch.num_rows
-            for k in range(0, batch.num_rows, 500):
-                texts = batch.column("_0").slice(k, 500).to_pylist()
+            for k, texts in slices(batch.column("_0")):
                 out = []
-                for key, ids in zip(kept[k : k + 500], own.ids(texts), strict=True):
-                    ids += end
+                tokens, at = own.ids(texts)
+                for key, low, high in zip(kept[k : k + len(texts)], at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    ids = tokens[low:high].tobytes() + end
                     total = len(ids) // 4
                     whole = total // capacity * capacity
                     for start in range(0, whole, capacity):
