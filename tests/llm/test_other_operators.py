@@ -5,6 +5,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import packing
+from tidemark.llm import packing, toxicity
 from tidemark.llm.byte_bpe import decode, encode
 from tidemark.llm.licenses import NOTICES, notices, scan
 from tidemark.llm.packing import pack_documents
@@ -67,7 +68,7 @@ def test_encoding_and_decoding(spark):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     texts = ODD + table_texts(spark)
     encoded = encode(docs(spark, texts), path, public_tokenizers.PATTERN)
-    for row in decode(encoded, path, public_tokenizers.PATTERN, keep=("doc_id", "ids")).collect():
+    for row in decode(encoded, path, keep=("doc_id", "ids")).collect():
         text = texts[row["doc_id"]] or ""
         assert np.frombuffer(row["ids"], "<u4").tolist() == library.encode_ordinary(text)
         assert bytes(row["decoded"]) == text.encode()
@@ -103,9 +104,13 @@ def check_packing(pieces, texts, ids_of):
         assert at <= 2048
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def ids_of(text):
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    return tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+    return word_tokenizer().encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def test_packing(spark):
@@ -172,6 +177,41 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r["score"] for r in none} == {0.0}
 
 
+def test_decisions_equal_the_kernel():
+    """All at once, by fingerprints and sums, as one by one over the features of each string."""
+    rng = random.Random(1)
+    word = lambda a, b, letters="abcdefgh": "".join(rng.choices(letters, k=rng.randint(a, b)))
+    toxic = [("^" + word(4, 12), 1.0 + i % 3) for i in range(60)]
+    clean = [("^" + word(4, 12, "efghijk"), 1.0) for _ in range(90)]
+    machine = toxicity.Machine(toxic, clean)
+    words = [word(1, 14) for _ in range(300)] + [word(20, 90) for _ in range(20)] + ["a" * 12, "", "é\U0001f600xyzabc", "ab"]
+
+    def decision(text):
+        return machine.bias + sum(x * machine.weights.get(key, 0.0) for key, x in toxicity.subsequences(text).items())
+
+    want = [max(decision(s) for s in toxicity.strings_of(w)) for w in words]
+    assert np.allclose(machine.judge_words(words), want, atol=1e-12)
+    assert np.allclose(machine.judge(["", "a", "^abc", "^abcd"]), [decision(s) for s in ("", "a", "^abc", "^abcd")], atol=1e-12)
+    assert machine.judge_words([]) == []
+
+
+def test_toxicity_of_odd_rows(spark):
+    """Null ids, repeated rows, very long words and texts; labels that no text has."""
+    rng = random.Random(2)
+    words = ["".join(rng.choices("aeioustrm", k=6)) for _ in range(200)]
+    rows = [(i, " ".join(rng.choices(words, k=15)) + (" blockhead numbskull" if i % 4 == 0 else ""), 1) for i in range(400)]
+    rows += [(None, rows[4][1], 1), (None, None, 1), rows[8], rows[8], (1000, "x" * 200_000, 1), (1001, "blockhead " * 50_000, 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, score int").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)] + [(None, 1), (5000, 1)], "doc_id long, toxic int")
+    got = score_toxicity(table, labels).collect()
+    assert len(got) == len(rows)
+    assert [r["held_out"] for r in got if r["doc_id"] is None] == [False, False]
+    assert len({(r["score"], r["predicted"]) for r in got if r["doc_id"] == 8}) == 1
+    scores = {r["doc_id"]: r["score"] for r in got if r["doc_id"] is not None}
+    assert scores[1000] < 0.7 and min(scores[i] for i in range(0, 400, 4)) > max(scores[i] for i in range(1, 400, 4))
+    assert score_toxicity(table.where("false"), labels).collect() == []
+
+
 def test_pipeline(spark):
     found = corpus_pipeline.run(spark, SF).collect()
     scores = {r["doc_id"]: r["predicted"] for r in QUERIES["op6_toxicity"](spark, SF).collect()}

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import map_rows, materialise
-from tidemark.llm.pieces import Memo
 from tidemark.llm.set_join import Shingles
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 9_000  # labelled rows that training reads at most, of each label
@@ -25,9 +24,10 @@ ORDER, SPAN, DECAY = 4, 6, 0.5  # characters of a subsequence, the text it may s
 LONG = 32  # longer words are read in windows of this many characters
 EDGE = "^"
 BEGINNINGS = range(5, 10)  # characters of a word's beginnings, with the edge
-# The weights of the subsequences that end after some characters, in the order of `combinations` of these.
-FADES = [[DECAY ** (n - at[0]) for at in combinations(range(n), ORDER - 1)] for n in range(SPAN)]
 MASK = 0x2545F4914F6CDD1D  # any value that deals fingerprints anew
+MIX = np.uint64(0x9E3779B97F4A7C15)  # any odd value of that size
+REMEMBERED = 1 << 19  # words whose decisions a task keeps
+AT_ONCE = 4_000  # words judged together
 
 
 def subsequences(word: str) -> dict[str, float]:
@@ -42,6 +42,15 @@ def subsequences(word: str) -> dict[str, float]:
     return {key: x / size for key, x in out.items()}
 
 
+def fingerprints(codes: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit fingerprint of the characters at equal places."""
+    out = np.zeros(len(codes[0]), np.uint64)
+    for code in codes:
+        out = (out + code + np.uint64(1)) * MIX
+        out ^= out >> np.uint64(29)
+    return out
+
+
 def windows_of(marked: str) -> list[str]:
     return [marked] if len(marked) <= LONG else [marked[i : i + LONG] for i in range(0, len(marked) - LONG // 2, LONG // 2)]
 
@@ -135,47 +144,100 @@ class Machine:
             for key, x in landmark.items():
                 self.weights[key] = self.weights.get(key, 0.0) + float(beta) * x
         self.slope, self.offset = 1.0, 0.0
-        self.memo = None
-
-    def judge(self, string: str, stops: range = range(0)) -> float:
-        """The decision on ``string``, or the strongest over it and its beginnings of a length in ``stops``, as
-        each holds the subsequences of the one before."""
-        get, seen, along, square, found = self.weights.get, {}, 0.0, 0.0, []
-        for end in range(ORDER - 1, len(string)):
-            before, last = string[max(0, end - SPAN + 1) : end], string[end]
-            for rest, x in zip(combinations(before, ORDER - 1), FADES[len(before)]):
-                key = "".join(rest) + last
-                old = seen.get(key, 0.0)
-                seen[key] = old + x
-                square += x * (old + old + x)
-                along += x * get(key, 0.0)
-            if end + 1 == len(string) or end + 1 in stops:
-                found.append(along / math.sqrt(square))
-        return max(found, default=0.0) + self.bias
-
-    def _judge(self, word: str) -> float:
-        first, *others = windows_of(EDGE + word)
-        return max([self.judge(first, BEGINNINGS), *map(self.judge, others)])
-
-    def decision(self, text: str) -> float:
-        """The strongest decision over the words of a text, no further than the margin, and the log of how many
+        self.memo: dict[str, float] | None = None
+        self.table: tuple[np.ndarray, np.ndarray] | None = None
+
+    def judge(self, strings: list[str], beginnings: bool = False) -> np.ndarray:
+        """The decision on each of the strings, of `LONG` + 1 characters at most, or with ``beginnings`` the strongest
+        over it and its beginnings of a length in `BEGINNINGS`, as each holds the subsequences of the one before.
+
+        All subsequences of all strings are sorted once, by string, subsequence and end: sums along that order are
+        the squared norm up to each end.
+        """
+        found = np.full(len(strings), self.bias)
+        if not strings:
+            return found
+        if self.table is None:
+            keys = np.array([[ord(c) for c in key] for key in self.weights], np.uint64).reshape(-1, ORDER)
+            prints = fingerprints([keys[:, i] for i in range(ORDER)])
+            order = np.argsort(prints)
+            self.table = prints[order], np.array(list(self.weights.values()))[order]
+        size = np.array([len(string) for string in strings])
+        width = max(int(size.max()), ORDER)
+        codes = np.array(strings, f"<U{width}").view(np.uint32).reshape(len(strings), width).astype(np.uint64)
+        prints, places, steps = [], [], []
+        for back in combinations(range(SPAN - 1, 0, -1), ORDER - 1):
+            row, end = np.nonzero(np.arange(back[0], width)[None, :] < size[:, None])
+            end += back[0]
+            prints.append(fingerprints([codes[row, end - d] for d in (*back, 0)]))
+            places.append(row * width + end)
+            steps.append(np.full(len(row), DECAY ** back[0]))
+        prints, places, steps = map(np.concatenate, (prints, places, steps))
+        known, weight = self.table
+        at = np.minimum(np.searchsorted(known, prints), len(known) - 1)
+        along = np.where(known[at] == prints, weight[at], 0.0) * steps if len(known) else np.zeros(len(steps))
+        # One number holds string and subsequence, and in its last bits the end.
+        group = (prints + (places // width).astype(np.uint64) * MIX) * MIX & ~np.uint64(63)
+        order = np.argsort(group | (places % width).astype(np.uint64))
+        group, step = group[order], steps[order]
+        first = np.ones(len(group), bool)
+        first[1:] = group[1:] != group[:-1]
+        before = np.cumsum(step) - step  # exact: steps are powers of two
+        before -= before[first][np.cumsum(first) - 1]
+        shape = len(strings) * width
+        square = np.bincount(places[order], step * (2 * before + step), shape).reshape(-1, width).cumsum(1)
+        along = np.bincount(places, along, shape).reshape(-1, width).cumsum(1)
+        decisions = along / np.sqrt(np.where(square > 0, square, 1.0))
+        rows = np.arange(len(strings))
+        whole = size >= ORDER
+        found[whole] += decisions[rows, size - 1][whole]
+        if beginnings:
+            for stop in BEGINNINGS:
+                if stop >= width:
+                    break
+                longer = size > stop
+                found[longer] = np.maximum(found[longer], decisions[longer, stop - 1] + self.bias)
+        return found
+
+    def judge_words(self, words: list[str]) -> list[float]:
+        """The strongest decision over each word's windows and beginnings."""
+        marked = [EDGE + word for word in words]
+        found = self.judge([word[:LONG] for word in marked], beginnings=True)
+        others = [(i, other) for i, word in enumerate(marked) if len(word) > LONG for other in windows_of(word)[1:]]
+        if others:
+            np.maximum.at(found, [i for i, _ in others], self.judge([other for _, other in others]))
+        return found.tolist()
+
+    def decisions(self, texts: list[str]) -> list[float]:
+        """For each text the strongest decision over its words, no further than the margin, and the log of how many
         are on the toxic side; texts without words are as clean as can be."""
         if self.memo is None:
-            self.memo = Memo(self._judge, 1 << 19)
-        found = [self.memo[word] for word in words_of(text)]
-        return max(-2.0, min(1.0, max(found, default=-2.0))) + math.log1p(sum(x > 0 for x in found))
+            self.memo = {}
+        memo, sets = self.memo, [words_of(text) for text in texts]
+        new = list(set().union(*sets).difference(memo))
+        for start in range(0, len(new), AT_ONCE):
+            some = new[start : start + AT_ONCE]
+            memo.update(zip(some, self.judge_words(some), strict=True))
+        out = []
+        for words in sets:
+            found = list(map(memo.__getitem__, words))
+            out.append(max(-2.0, min(1.0, max(found, default=-2.0))) + math.log1p(sum(x > 0 for x in found)))
+        if len(memo) > REMEMBERED:
+            for word in new:
+                del memo[word]
+        return out
 
     def score(self, text: str) -> float:
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * self.decision(text) + self.offset))))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * self.decisions([text])[0] + self.offset))))
 
     def __getstate__(self):
-        return {**self.__dict__, "memo": None}
+        return {**self.__dict__, "memo": None, "table": None}
 
 
 def string_judge(shared):
     @F.pandas_udf("double")
     def judge(batch: pd.Series) -> pd.Series:
-        return batch.map(shared.value.judge)
+        return pd.Series(shared.value.judge(batch.tolist()))
 
     return judge
 
@@ -190,6 +252,15 @@ def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def first_rows(labelled: DataFrame) -> DataFrame:
+    """The `TOXIC_ROWS` and `CLEAN_ROWS` rows with the smallest hash of their id."""
+    toxic, clean = (
+        labelled.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(limit)
+        for label, limit in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))
+    )
+    return toxic.union(clean)
+
+
 def train(labelled: DataFrame) -> Machine | float:
     """Fit on rows of (``id``, ``text``, ``toxic``); without both labels, the share of toxic rows.
 
@@ -198,11 +269,7 @@ def train(labelled: DataFrame) -> Machine | float:
     have it teach one side, and strings of clean texts the other.
     """
     narrow = labelled.where("text IS NOT NULL AND toxic IS NOT NULL").select("id", "text", "toxic")
-    sides = [
-        narrow.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(limit)
-        for label, limit in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))
-    ]
-    sample = materialise(sides[0].union(sides[1]), "toxicity-sample")
+    sample = materialise(first_rows(materialise(narrow, "toxicity-rows")), "toxicity-sample")
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return float(max(totals, default=0))
@@ -269,7 +336,7 @@ def decisions(docs: DataFrame, machine: Machine | float, keep: list[str], text:
         own = shared.value
         for batch in batches:
             texts = batch.column("_0").to_pylist()
-            found = [0.0 if isinstance(own, float) else own.decision(t) for t in texts]
+            found = [0.0] * len(texts) if isinstance(own, float) else own.decisions(texts)
             if isinstance(own, float):
                 scores = [own] * len(texts)
             else:
@@ -313,8 +380,10 @@ def score_toxicity(
     known = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").alias("toxic"))
     known = known.where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1)).where(~held_out("id"))
     known = known.groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
-    texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    machine = train(texts.join(known, "id"))
+    texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
+    # Labels meet ids first, and texts as a list of bounded length.
+    known = known.join(texts.select("id"), "id", "left_semi")
+    machine = train(texts.join(F.broadcast(first_rows(known)), "id"))
     scored = decisions(docs, machine, [id, *others], F.col(f"`{text}`"))
     return scored.select(
         id,
