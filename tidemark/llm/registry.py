@@ -58,7 +58,7 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = encode(table(spark, sf_dir, "documents"), path, pattern)
-    decoded = decode(encoded, path, pattern, keep=("doc_id", "n_tokens", "ids"))
+    decoded = decode(encoded, path, keep=("doc_id", "n_tokens", "ids"))
     return decoded.select(
         "doc_id",
         "n_tokens",
