@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 from array import array
+from bisect import insort
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,49 +19,58 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import map_rows
+from tidemark.llm.token_counts import byte_characters
 
 MEMO = 1 << 19
 AT_ONCE = 4 * 1024 * 1024  # bytes of text whose words are looked up together
 # A word of Latin letters, between marks: the tokenizer takes the three apart, as no mark before the letters
 # begins a contraction.
 PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+LOWER = re.compile("[a-zß-öø-ÿ]+")
 
 
 def difference(lengths: Sequence[int], windows: int) -> list[int]:
     """The window, below ``windows``, of each item, so that the sums of windows are nearly equal.
 
-    Multiway differencing: a partial partition is a vector of sums, largest first. The two with the
-    largest spread between their sums merge again and again, the largest sums of one with the
-    smallest of the other.
+    Multiway differencing: a partial partition is its windows that hold items, fullest first; the others are
+    empty. The two partitions with the largest spread between their sums merge again and again, the fullest windows
+    of one with the emptiest of the other. Only differences matter, so sums need not be made relative.
     """
-    n = len(lengths)
-    sums: list = [None] * n
-    for i, length in enumerate(lengths):
-        sums[i] = np.zeros(windows, np.int64)
-        sums[i][0] = length
+    into = list(range(len(lengths)))  # the window that each one became part of; item i begins as window i
+    parts = [[(-length, i)] for i, length in enumerate(lengths)]
     heap = [(-length, i) for i, length in enumerate(lengths)]
     heapify(heap)
-    made: list[tuple[int, int, np.ndarray]] = []
     while len(heap) > 1:
-        _, a = heappop(heap)
-        _, b = heappop(heap)
-        total = sums[a] + sums[b][::-1]
-        order = np.argsort(-total, kind="stable")
-        total = total[order]
-        total -= total[-1]  # only differences matter
-        made.append((a, b, order.astype(np.int32)))
-        sums.append(total)
-        sums[a] = sums[b] = None
-        heappush(heap, (-int(total[0]), len(sums) - 1))
-    # From the last partition down: which final window each window of a partition has become.
-    place: list = [None] * len(sums)
-    place[-1] = np.arange(windows, dtype=np.int32)
-    for k in range(len(made) - 1, -1, -1):
-        a, b, order = made[k]
-        own = np.empty(windows, np.int32)
-        own[order] = place[n + k]
-        place[a], place[b], place[n + k] = own, own[::-1], None
-    return [int(place[i][0]) for i in range(n)]
+        a, b = parts[heappop(heap)[1]], parts[heappop(heap)[1]]
+        if len(a) < len(b):
+            a, b = b, a
+        if len(b) == 1:
+            # The usual case: one item goes to an empty window, or to the emptiest.
+            size, window = b[0]
+            if len(a) == windows:
+                held, other = a.pop()
+                into[window] = other
+                size, window = size + held, other
+            insort(a, (size, window))
+        else:
+            alone = max(0, windows - len(b))
+            shared = []
+            for i in range(alone, len(a)):
+                (held, other), (size, window) = a[i], b[windows - 1 - i]
+                into[window] = other
+                shared.append((held + size, other))
+            a = sorted(a[:alone] + shared + b[: max(0, windows - len(a))])
+        emptiest = a[-1][0] if len(a) == windows else 0
+        parts.append(a)
+        heappush(heap, (a[0][0] - emptiest, len(parts) - 1))
+    numbers = {window: number for number, (_, window) in enumerate(parts[-1])}
+    placed = []
+    for item in range(len(lengths)):
+        window = item
+        while into[window] != window:
+            into[window] = window = into[into[window]]
+        placed.append(numbers[window])
+    return placed
 
 
 def pack(lengths: Sequence[int], capacity: int) -> tuple[list[int], int]:
@@ -91,8 +100,22 @@ class Words:
         self.memo: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # Lower-case letters need none of the library's steps before the merges, if it writes bytes as characters.
+        self.shown = str.maketrans({chr(byte): char for byte, char in byte_characters().items()})
+        self.plain = all(
+            self._merged(part) == array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+            for part in ("a", "word", "straße", "ÿé")
+        )
+
+    def _merged(self, letters: str) -> bytes:
+        found = self.tokenizer.model.tokenize(letters.encode().decode("latin-1").translate(self.shown))
+        return array("I", [token.id for token in found]).tobytes()
 
     def _encode(self, parts: list[str]) -> None:
+        if self.plain:
+            letters = [part for part in parts if LOWER.fullmatch(part)]
+            self.parts.update((part, self._merged(part)) for part in letters)
+            parts = [part for part in parts if part not in self.parts]
         for start in range(0, len(parts), 20_000):
             some = parts[start : start + 20_000]
             found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
