@@ -14,8 +14,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import map_rows, materialise
 from tidemark.session import scratch_dir
 
 END = "\r\n\r\n"  # what ends a record, and its head
@@ -31,13 +32,32 @@ def url_key(url: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), path)
 
 
+def squeezed(df: DataFrame, keep: list[str], column: str) -> DataFrame:
+    """The ``keep`` columns, and the binary ``column`` compressed as ``packed``: what is shuffled is a fraction of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [pa.compress(value.as_buffer(), codec="zstd", asbytes=True) for value in batch.column("_0")]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(packed, pa.binary())], names=[*batch.schema.names[:-1], "packed"]
+            )
+
+    return map_rows(df, keep, [F.col(column)], [T.StructField("packed", T.BinaryType())], run)
+
+
+def unpacked(packed: bytes | None, size: int) -> bytes:
+    return pa.decompress(packed, size, codec="zstd", asbytes=True) if packed is not None and size else b""
+
+
 def records(pages: DataFrame, least: int) -> DataFrame:
-    """(``row``, ``page_id``, ``key``, ``record``): a WARC record for every page."""
+    """(``row``, ``page_id``, ``key``, ``head``, ``packed``, ``body``): the head of a WARC record for every page, and its
+    compressed payload with its length, null and 0 for revisits."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"))
     pages = pages.withColumn("row", F.monotonically_increasing_id())
     pages = pages.withColumn("bytes", F.octet_length("payload")).withColumn("digest", F.sha2("payload", 256))
-    pages = materialise(pages, "warc-pages")
+    pages = pages.withColumn("payload", F.col("payload").cast("binary"))
+    pages = materialise(squeezed(pages, ["row", "page_id", "url", "bytes", "digest"], "payload"), "warc-pages")
     long = pages.where((F.col("bytes") >= least) & F.col("page_id").isNotNull())
     first = long.groupBy("digest").agg(F.min(F.struct("page_id", "row")).alias("first"), F.count("*").alias("n"))
     # Most payloads occur once; only the others are joined.
@@ -55,8 +75,8 @@ def records(pages: DataFrame, least: int) -> DataFrame:
         F.lit(END),
     )
     return joined.select(
-        "row", "page_id", url_key(F.col("url")).alias("key"),
-        F.concat(head, F.when(revisit, "").otherwise(F.col("payload"))).alias("record"),
+        "row", "page_id", url_key(F.col("url")).alias("key"), head.alias("head"),
+        F.when(~revisit, F.col("packed")).alias("packed"), F.when(revisit, 0).otherwise(F.col("bytes")).cast("long").alias("body"),
     )
 
 
@@ -80,13 +100,25 @@ def write_archives(spark: SparkSession, records: DataFrame, folder: str, size: i
                 [*batch.columns[:-1], *extra], names=[*batch.schema.names[:-1], "archive", "start", "length"]
             )
 
-    schema = "row long, page_id long, key string, record string, archive long, start long, length long"
-    placed = records.withColumn("bytes", F.octet_length("record").cast("long")).mapInArrow(place, schema)
-    placed = materialise(placed, "warc-records")
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = (batch.column(name).to_pylist() for name in ("head", "packed", "body"))
+            whole = [head.encode() + unpacked(packed, body) for head, packed, body in zip(*parts, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("archive"), batch.column("start"), pa.array(whole, pa.binary()).cast(pa.string())],
+                names=["archive", "start", "record"],
+            )
+
+    schema = (
+        "row long, page_id long, key string, head string, packed binary, body long, archive long, start long, length long"
+    )
+    sized = records.withColumn("bytes", F.octet_length("head").cast("long") + F.col("body"))
+    placed = materialise(sized.mapInArrow(place, schema), "warc-records")
     # The numbers of a task's archives are its own, so each file is written by the task that reads them.
-    text = placed.repartition("archive").sortWithinPartitions("archive", "start").select("archive", "record")
-    text.write.partitionBy("archive").option("lineSep", END).text(folder)
-    return placed.drop("record")
+    text = placed.select("archive", "start", "head", "packed", "body").repartition("archive")
+    text = text.mapInArrow(join, "archive long, start long, record string").sortWithinPartitions("archive", "start")
+    text.select("archive", "record").write.partitionBy("archive").option("lineSep", END).text(folder)
+    return placed.drop("head", "packed", "body")
 
 
 def build_index(places: DataFrame, block: int) -> tuple[DataFrame, list[tuple[str, int]], list[int]]:
@@ -156,12 +188,13 @@ def look_up(blocks: DataFrame, directory: list, numbers: list[int], wanted: Data
 def read_records(spark: SparkSession, folder: str, places: DataFrame) -> DataFrame:
     """Read the byte ranges of ``places`` and parse their records; ``payload`` is null for revisits."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    files = files.select(F.regexp_extract("path", r"archive=(\d+)", 1).cast("long").alias("archive"), "content")
+    files = files.select(F.regexp_extract("path", r"archive=(\d+)", 1).cast("long").alias("archive"), "content", "length")
+    files = squeezed(files, ["archive", "length"], "content")
 
     def read(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            content = memoryview(right["content"].iloc[0])
+            content = memoryview(unpacked(right["packed"].iloc[0], int(right["length"].iloc[0])))
             for row, start, length in zip(left["row"], left["start"], left["length"], strict=True):
                 record = bytes(content[start : start + length])
                 head, _, payload = record.partition(b"\r\n\r\n")
