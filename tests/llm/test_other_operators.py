@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tidemark.llm import packing, toxicity
 from tidemark.llm.byte_bpe import decode, encode
+from tidemark.llm.common import slices
 from tidemark.llm.licenses import NOTICES, notices, scan
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.registry import QUERIES
@@ -136,13 +137,12 @@ def test_words_equal_the_library_with_any_memory(monkeypatch):
         assert len(own.memo) <= memory
 
 
-def test_slices_hold_all_texts_once(monkeypatch):
-    monkeypatch.setattr(packing, "AT_ONCE", 10)
+def test_slices_hold_all_texts_once():
     texts = ["", "a" * 30, "b" * 4, "c" * 6, "d", "", "e" * 11, ""]
-    found = [(k, part.to_pylist()) for k, part in packing.slices(pa.array(["x", *texts]).slice(1))]
+    found = [(k, part.to_pylist()) for k, part in slices(pa.array(["x", *texts]).slice(1), 10)]
     assert [text for _, part in found for text in part] == texts
     assert [k for k, _ in found] == [0, 1, 2, 4, 6, 7]
-    assert list(packing.slices(pa.array([], pa.string()))) == []
+    assert list(slices(pa.array([], pa.string()), 10)) == []
 
 
 def test_padding_and_repeated_rows(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,18 @@ def map_rows(
     )
 
 
+def slices(texts: pa.Array, at_once: int) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of texts of up to ``at_once`` bytes, or one longer text, and where each begins."""
+    start = size = 0
+    for i, own in enumerate(pc.binary_length(texts).to_pylist()):
+        if size + own > at_once and i > start:
+            yield start, texts.slice(start, i - start)
+            start, size = i, 0
+        size += own
+    if len(texts) > start:
+        yield start, texts.slice(start)
+
+
 def smallest_reachable(spark: SparkSession, nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(``id``, ``root``) for every ``id`` in ``nodes``: the smallest id that it reaches over ``links``
     (``a``, ``b``), taken both ways.

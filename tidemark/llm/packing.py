@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import map_rows
+from tidemark.llm.common import map_rows, slices
 from tidemark.llm.token_counts import byte_characters
 
 MEMO = 1 << 19
@@ -155,19 +155,6 @@ class Words:
         return ids, ends[first - first[0]]
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """Runs of texts of about `AT_ONCE` bytes, or one longer text, and where each begins."""
-    sizes = pc.binary_length(texts).to_numpy()
-    start = size = 0
-    for i, own in enumerate(sizes.tolist()):
-        if size + own > AT_ONCE and i > start:
-            yield start, texts.slice(start, i - start)
-            start, size = i, 0
-        size += own
-    if len(texts) > start:
-        yield start, texts.slice(start)
-
-
 @lru_cache(maxsize=2)
 def words(path: str) -> Words:
     return Words(path)
@@ -234,7 +221,7 @@ def pack_documents(
         for batch in batches:
             schema = batch.schema
             kept = list(zip(*[batch.column(name).to_pylist() for name in names], strict=True)) or [()] * batch.num_rows
-            for k, texts in slices(batch.column("_0")):
+            for k, texts in slices(batch.column("_0"), AT_ONCE):
                 out = []
                 tokens, at = own.ids(texts)
                 for key, low, high in zip(kept[k : k + len(texts)], at[:-1].tolist(), at[1:].tolist(), strict=True):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_rows, materialise
+from tidemark.llm.common import map_rows, materialise, slices
 from tidemark.llm.set_join import Shingles
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 9_000  # labelled rows that training reads at most, of each label
@@ -28,6 +28,7 @@ MASK = 0x2545F4914F6CDD1D  # any value that deals fingerprints anew
 MIX = np.uint64(0x9E3779B97F4A7C15)  # any odd value of that size
 REMEMBERED = 1 << 19  # words whose decisions a task keeps
 AT_ONCE = 4_000  # words judged together
+TEXT = 1 << 20  # bytes of text whose words are held at once
 
 
 def subsequences(word: str) -> dict[str, float]:
@@ -335,11 +336,11 @@ def decisions(docs: DataFrame, machine: Machine | float, keep: list[str], text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            texts = batch.column("_0").to_pylist()
-            found = [0.0] * len(texts) if isinstance(own, float) else own.decisions(texts)
             if isinstance(own, float):
-                scores = [own] * len(texts)
+                found = [0.0] * batch.num_rows
+                scores = [own] * batch.num_rows
             else:
+                found = [x for _, texts in slices(batch.column("_0"), TEXT) for x in own.decisions(texts.to_pylist())]
                 scores = [1 / (1 + math.exp(-max(-30.0, min(30.0, own.slope * x + own.offset)))) for x in found]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(found, pa.float64()), pa.array(scores, pa.float64())],
