@@ -8,15 +8,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tidemark.llm.common import map_rows, materialise, smallest_reachable
+from tidemark.llm.common import map_rows, materialise, slices, smallest_reachable
 from tidemark.llm.pieces import Memo
 
 CELLS = 1 << 16  # cells of the count sketch in one row
+TEXT = 2 << 20  # bytes of text whose words are looked up together
 PARITIES = 8  # 64-bit words of a set's parities
 ODD = 0x9E3779B97F4A7C15
 
@@ -42,12 +44,35 @@ class Shingles:
         if not words:
             return np.empty(0, np.uint64)
         codes = np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
-        width = min(self.width, len(words))
-        n = len(words) - width + 1
+        return np.unique(self._rolled(codes, min(self.width, len(words))))
+
+
+    def of_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The fingerprints of each text, as for one; the words of all are cut and looked up together."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        codes = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))[coded.indices.to_numpy()]
+        # Blanks at either end of a text leave empty words.
+        real = np.array([len(word) > 0 for word in words], bool)[coded.indices.to_numpy()]
+        places = split.offsets.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(real)])[places - places[0]]
+        codes = codes[real]
+        rolled = self._rolled(codes, self.width) if len(codes) >= self.width else codes[:0]
+        for start, stop in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            n = stop - start
+            if n >= self.width:
+                yield np.unique(rolled[start : stop - self.width + 1])
+            else:
+                yield np.unique(self._rolled(codes[start:stop], n)) if n else codes[:0]
+
+    @staticmethod
+    def _rolled(codes: np.ndarray, width: int) -> np.ndarray:
+        n = len(codes) - width + 1
         out = np.full(n, width, np.uint64)
         for i in range(width):
             out = mixed(out * np.uint64(ODD) + codes[i : i + n])
-        return np.unique(out)
+        return out
 
 
 def parities(own: np.ndarray) -> np.ndarray:
@@ -63,8 +88,9 @@ def sketch(docs: DataFrame, text: Column, width: int, cells: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts = Shingles(width), np.zeros(cells, np.uint32)
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                np.add.at(counts, (shingles(value) % np.uint64(cells)).astype(np.int64), np.uint32(1))
+            for _, texts in slices(batch.column(0), TEXT):
+                own = np.concatenate([*shingles.of_all(texts), np.empty(0, np.uint64)])
+                np.add.at(counts, (own % np.uint64(cells)).astype(np.int64), np.uint32(1))
         for block in range(0, cells, CELLS):
             packed = zlib.compress(counts[block : block + CELLS].tobytes(), 1)
             yield pa.RecordBatch.from_pydict({"block": [block], "counts": [packed]})
@@ -118,30 +144,35 @@ def alike(
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, order = Shingles(width), counts.value
         for batch in batches:
-            sizes, digests, first, odd = [], [], [], []
-            for value in batch.column("_0").to_pylist():
-                own = shingles(value)
+            sizes, digests, first, places, odd = [], [], [], [], []
+            for own in (own for _, texts in slices(batch.column("_0"), TEXT) for own in shingles.of_all(texts)):
                 n = len(own)
                 sizes.append(n)
                 odd.append(parities(own))
                 digests.append(xxh3_128_digest(own.tobytes()) if n else None)
-                head = own[np.argsort(order[(own % np.uint64(cells)).astype(np.int64)], kind="stable")]
-                first.append(head[: n - -(-n * percent // 100) + 1].view(np.int64) if n else [])
+                held = order[(own % np.uint64(cells)).astype(np.int64)]
+                head = np.argsort(held, kind="stable")[: n - -(-n * percent // 100) + 1 if n else 0]
+                # The sketch never counts too few: an n-gram whose cell counts one is in no other text.
+                at = np.flatnonzero(held[head] > 1)
+                first.append(own[head[at]].view(np.int64))
+                places.append(at)
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:-1],
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(first, pa.list_(pa.int64())),
+                    pa.array(places, pa.list_(pa.int32())),
                     pa.array(odd, pa.list_(pa.int64())),
                 ],
-                names=[*batch.schema.names[:-1], "n", "digest", "first", "odd"],
+                names=[*batch.schema.names[:-1], "n", "digest", "first", "places", "odd"],
             )
 
     outputs = [
         T.StructField("n", T.LongType()),
         T.StructField("digest", T.BinaryType()),
         T.StructField("first", T.ArrayType(T.LongType())),
+        T.StructField("places", T.ArrayType(T.IntegerType())),
         T.StructField("odd", T.ArrayType(T.LongType())),
     ]
     rows = docs.select(F.col(f"`{id}`").alias("id"), text.alias("text"))
@@ -151,9 +182,12 @@ def alike(
     same = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(least.alias("least"))
     same = materialise(same.select("digest", F.col("least.id").alias("rep"), F.col("least.row").alias("row")), "set-classes")
     reps = signed.join(same.select("row"), "row", "left_semi")
-    places = materialise(reps.select("id", "n", F.posexplode("first").alias("pos", "tok")), "set-index")
-    heads = places.groupBy("tok").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last")
-    listed = materialise(places.join(heads.select("tok", "head"), "tok"), "set-lists")
+    zipped = F.arrays_zip(F.col("first").alias("tok"), F.col("places").alias("pos"))
+    places = reps.select("id", "n", F.explode(zipped).alias("place")).select("id", "n", "place.pos", "place.tok")
+    # One shuffle puts the lists together; most hold one set and go.
+    own_list = Window.partitionBy("tok")
+    listed = places.select("*", F.min("id").over(own_list).alias("head"), F.max("id").over(own_list).alias("last"))
+    listed = materialise(listed.where("head < last").drop("last"), "set-lists")
 
     def verify(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link."""
@@ -164,7 +198,7 @@ def alike(
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingles = Shingles(width)
             for batch in batches:
-                own = [shingles(value).tobytes() for value in batch.column("_0").to_pylist()]
+                own = [x.tobytes() for _, texts in slices(batch.column("_0"), TEXT) for x in shingles.of_all(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], pa.array(own, pa.binary())], names=[*batch.schema.names[:-1], "set"]
                 )
