@@ -144,7 +144,7 @@ def alike(
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, order = Shingles(width), counts.value
         for batch in batches:
-            sizes, digests, first, places, odd = [], [], [], [], []
+            sizes, digests, first, odd = [], [], [], []
             for own in (own for _, texts in slices(batch.column("_0"), TEXT) for own in shingles.of_all(texts)):
                 n = len(own)
                 sizes.append(n)
@@ -153,26 +153,25 @@ def alike(
                 held = order[(own % np.uint64(cells)).astype(np.int64)]
                 head = np.argsort(held, kind="stable")[: n - -(-n * percent // 100) + 1 if n else 0]
                 # The sketch never counts too few: an n-gram whose cell counts one is in no other text.
-                at = np.flatnonzero(held[head] > 1)
-                first.append(own[head[at]].view(np.int64))
-                places.append(at)
+                first.append(pa.array(own[head].view(np.int64), mask=held[head] == 1))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:-1],
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
-                    pa.array(first, pa.list_(pa.int64())),
-                    pa.array(places, pa.list_(pa.int32())),
+                    pa.ListArray.from_arrays(
+                        np.cumsum([0, *map(len, first)]).astype(np.int32),
+                        pa.concat_arrays([pa.array([], pa.int64()), *first]),
+                    ),
                     pa.array(odd, pa.list_(pa.int64())),
                 ],
-                names=[*batch.schema.names[:-1], "n", "digest", "first", "places", "odd"],
+                names=[*batch.schema.names[:-1], "n", "digest", "first", "odd"],
             )
 
     outputs = [
         T.StructField("n", T.LongType()),
         T.StructField("digest", T.BinaryType()),
         T.StructField("first", T.ArrayType(T.LongType())),
-        T.StructField("places", T.ArrayType(T.IntegerType())),
         T.StructField("odd", T.ArrayType(T.LongType())),
     ]
     rows = docs.select(F.col(f"`{id}`").alias("id"), text.alias("text"))
@@ -182,46 +181,50 @@ def alike(
     same = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(least.alias("least"))
     same = materialise(same.select("digest", F.col("least.id").alias("rep"), F.col("least.row").alias("row")), "set-classes")
     reps = signed.join(same.select("row"), "row", "left_semi")
-    zipped = F.arrays_zip(F.col("first").alias("tok"), F.col("places").alias("pos"))
-    places = reps.select("id", "n", F.explode(zipped).alias("place")).select("id", "n", "place.pos", "place.tok")
-    # One shuffle puts the lists together; most hold one set and go.
+    places = reps.select("id", "n", F.posexplode("first").alias("pos", "tok")).where("tok IS NOT NULL")
+    # One shuffle of few columns puts the lists together; most hold one set and go.
+    places = places.select("tok", "id", (F.col("n") * 2**31 + F.col("pos")).alias("place"))
     own_list = Window.partitionBy("tok")
     listed = places.select("*", F.min("id").over(own_list).alias("head"), F.max("id").over(own_list).alias("last"))
-    listed = materialise(listed.where("head < last").drop("last"), "set-lists")
+    n, pos = F.expr("shiftright(place, 31)").alias("n"), F.expr("place & 2147483647").cast("int").alias("pos")
+    listed = materialise(listed.where("head < last").select("tok", "id", n, pos, "head"), "set-lists")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [value.as_buffer() for value in batch.column("_0")]
+            columns = [
+                pa.array([pa.compress(one, codec="zstd", asbytes=True) for one in texts], pa.binary()),
+                pa.array([one.size for one in texts], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], "packed", "size"]
+            )
+
+    outputs = [T.StructField("packed", T.BinaryType()), T.StructField("size", T.LongType())]
+    packed = map_rows(rows, ["id"], [F.col("text").cast("binary")], outputs, pack)
 
     def verify(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link."""
         pairs = materialise(pairs, "set-pairs")
         named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        needed = rows.join(named, "id", "left_semi")
-
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            shingles = Shingles(width)
-            for batch in batches:
-                own = [x.tobytes() for _, texts in slices(batch.column("_0"), TEXT) for x in shingles.of_all(texts)]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array(own, pa.binary())], names=[*batch.schema.names[:-1], "set"]
-                )
-
-        own = map_rows(needed, ["id"], [F.col("text")], [T.StructField("set", T.BinaryType())], sets)
-        own = materialise(own, "sets")
+        # Texts travel compressed, which is far less than their sets.
+        needed = materialise(packed.join(named, "id", "left_semi"), "set-texts")
 
         @F.pandas_udf("boolean")
-        def linked(x: pd.Series, y: pd.Series) -> pd.Series:
-            out = []
-            for a, b in zip(x, y, strict=True):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = np.concatenate([a, b])
+        def linked(x: pd.Series, x_size: pd.Series, y: pd.Series, y_size: pd.Series) -> pd.Series:
+            shingles, out = Shingles(width), []
+            for a, a_size, b, b_size in zip(x, x_size, y, y_size, strict=True):
+                texts = [pa.decompress(one, size, codec="zstd", asbytes=True) for one, size in ((a, a_size), (b, b_size))]
+                both = np.concatenate(list(shingles.of_all(pa.array(texts, pa.binary()).cast(pa.string()))))
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 out.append(100 * common >= percent * (len(both) - common))
             return pd.Series(out, dtype=bool)
 
-        left = own.select(F.col("id").alias("a"), F.col("set").alias("x"))
-        right = own.select(F.col("id").alias("b"), F.col("set").alias("y"))
-        return materialise(
-            pairs.join(left, "a").join(right, "b").where(linked("x", "y")).select("a", "b"), "set-links"
-        )
+        left = needed.select(F.col("id").alias("a"), F.col("packed").alias("x"), F.col("size").alias("x_size"))
+        right = needed.select(F.col("id").alias("b"), F.col("packed").alias("y"), F.col("size").alias("y_size"))
+        joined = pairs.join(left, "a").join(right, "b")
+        return materialise(joined.where(linked("x", "x_size", "y", "y_size")).select("a", "b"), "set-links")
 
     # First each set with the head of most of its lists.
     votes = listed.where("head <> id").groupBy("id", "head").agg(F.count("*").alias("votes"), F.first("n").alias("n"))
