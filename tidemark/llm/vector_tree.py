@@ -15,6 +15,8 @@ from tidemark.llm.near_vectors import usable
 
 SAMPLE = 20_000  # vectors the tree is fitted on, and
 TRIALS = 200  # queries that calibrate the number of leaves
+WIDEN = 4  # each round visits this many times the leaves of the round before
+MOST = float("inf")
 
 
 def kmeans(rows: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -114,7 +116,9 @@ def search(
     every vector is put in a leaf. A query walks the tree through a priority queue and
     visits as many leaves as sampled queries needed for ``recall``, and more until they hold ``k`` vectors of other
     ids, so that fewer come out only where there are no more. Distances are exact, in double precision, and ties
-    go to the smaller id. A leaf with more than ``block`` vectors is searched in blocks.
+    go to the smaller id. A leaf with more than ``block`` vectors is searched in blocks. The leaves are visited in rounds
+    that widen, and a leaf gives only what is no farther than the ``k``-th nearest of the rounds before: a query's
+    rows grow with the rounds and not with the leaves.
 
     Vectors that are null, empty, zero or hold null or non-finite components neither ask nor answer, and neither do
     rows without an id, as no result could name them.
@@ -137,12 +141,12 @@ def search(
         if len(left) and len(right):
             right = right.sort_values("id")
             ids, rows = right["id"].to_numpy(), np.stack(right["v"])
-            for query, own in zip(left["id"], left["v"], strict=True):
+            for ask, query, own, bound in zip(left["ask"], left["id"], left["v"], left["bound"], strict=True):
                 gaps = np.sqrt(((rows - np.asarray(own)) ** 2).sum(1))
                 gaps[ids == query] = np.inf
                 best = np.argsort(gaps, kind="stable")[:k]
-                out += [(query, ids[i], gaps[i]) for i in best if ids[i] != query]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                out += [(ask, query, ids[i], gaps[i]) for i in best if gaps[i] <= bound and ids[i] != query]
+        return pd.DataFrame(out, columns=["ask", "query_id", "vec_id", "score"])
 
     def among(dim: int) -> DataFrame:
         sample = rows.where(F.size("v") == dim).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()["v"]
@@ -170,15 +174,37 @@ def search(
         # A query finds vectors of other ids, so those of its own do not count.
         asked = narrow(queries).where(F.size("v") == dim)
         own = placed.join(asked.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count("*").alias("own"))
-        asked = (
-            asked.join(own, "id", "left")
-            .select("id", "v", F.explode(visit("v", F.coalesce("own", F.lit(0)) + k)).alias("leaf"))
-            .join(sizes, "leaf")
-            .select("id", "v", "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-        )
-        return asked.groupBy("leaf", "block").cogroup(blocks.groupBy("leaf", "block")).applyInPandas(
-            nearest_in_block, "query_id long, vec_id long, score double"
+        asked = asked.join(own, "id", "left").select(
+            F.monotonically_increasing_id().alias("ask"), "id", "v", visit("v", F.coalesce("own", F.lit(0)) + k).alias("path")
         )
+        asked = materialise(asked, "paths")
+        longest = asked.agg(F.max(F.size("path"))).first()[0] or 0
+        best, start, count = None, 1, 1
+        while start <= longest:
+            # Leaves of this round, and how far the k-th nearest of the rounds before is: nothing farther comes out.
+            here = asked.select("ask", "id", "v", F.explode(F.slice("path", start, count)).alias("leaf"))
+            if best is None:
+                here = here.withColumn("bound", F.lit(MOST))
+            else:
+                last = best.groupBy("ask").agg(F.when(F.count("*") >= k, F.max("score")).alias("last"))
+                here = here.join(last, "ask", "left").withColumn("bound", F.coalesce("last", F.lit(MOST))).drop("last")
+            here = here.join(sizes, "leaf").select(
+                "ask", "id", "v", "bound", "leaf",
+                F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+            )
+            visited = here.select("leaf").distinct()  # no more than the tree's leaves
+            near = blocks.join(F.broadcast(visited), "leaf", "left_semi")
+            found = here.groupBy("leaf", "block").cogroup(near.groupBy("leaf", "block")).applyInPandas(
+                nearest_in_block, "ask long, query_id long, vec_id long, score double"
+            )
+            if best is not None:
+                found = best.union(found)
+            first = F.row_number().over(Window.partitionBy("ask").orderBy("score", "vec_id"))
+            best = materialise(found.withColumn("rank", first).where(F.col("rank") <= k).drop("rank"), "nearest")
+            start, count = start + count, count * WIDEN
+        if best is None:
+            return spark.createDataFrame([], "query_id long, vec_id long, score double")
+        return best.drop("ask")
 
     found = reduce(DataFrame.union, map(among, lengths))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
