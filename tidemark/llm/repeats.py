@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import materialise
 
-CHUNK = 2 << 20  # bytes of text in a chunk, but for longer single texts
+CHUNK = 1 << 20  # bytes of text in a chunk, but for longer single texts; a task needs some 150 times as many
 PART = 16 << 20  # bytes of text for each bucket
 
 
@@ -47,16 +47,17 @@ class Fingerprints:
         for _ in range(2):
             codes = rng.integers(1, 2**63, 256, np.uint64)
             base = int(rng.integers(1, 2**62)) * 2 + 1
-            powers = self._powers(base, len(data) + 1)
-            inverse = self._powers(pow(base, -1, 1 << 64), len(data) + 1)
             sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(codes[data] * powers[:-1], out=sums[1:])
-            self.sums.append((sums, inverse))
+            terms = codes[data]
+            terms *= self._powers(base, len(data))
+            np.cumsum(terms, out=sums[1:])
+            del terms
+            self.sums.append((sums, self._powers(pow(base, -1, 1 << 64), len(data) + 1)))
 
     @staticmethod
     def _powers(base: int, n: int) -> np.ndarray:
         out = np.full(n, base, np.uint64)
-        out[0] = 1
+        out[:1] = 1
         return np.cumprod(out, out=out)
 
     def of(self, start: np.ndarray, stop: np.ndarray, which: int) -> np.ndarray:
@@ -134,10 +135,10 @@ class Chunk:
         n = len(self.data)
 
         def covered(chosen: np.ndarray) -> np.ndarray:
-            step = np.zeros(n + 2, np.int64)
+            step = np.zeros(n + 2, np.int32)
             np.add.at(step, self.first[chosen], 1)
             np.add.at(step, np.maximum(last[chosen] + 1, self.first[chosen]), -1)
-            return np.cumsum(step)[:n] > 0
+            return np.cumsum(step, out=step)[:n] > 0
 
         self.repeated = covered((told & 1) > 0)
         self.walked = np.flatnonzero(covered((told & 2) > 0))
@@ -148,10 +149,10 @@ class Chunk:
         _, _, which = self.windows(shared, told)
         self.repeated[self.walked[same[which] > 0]] = True
         at = np.flatnonzero(self.repeated)
-        step = np.zeros(len(self.data) + 1, np.int64)
+        step = np.zeros(len(self.data) + 1, np.int32)
         np.add.at(step, at, 1)
         np.add.at(step, at + self.size, -1)
-        return np.cumsum(step)[:-1] > 0
+        return np.cumsum(step, out=step)[:-1] > 0
 
 
 def pack_keys(columns: list[np.ndarray]) -> bytes:
@@ -251,7 +252,7 @@ def remove_repeats(
             frame = frame.join(replies.withColumnRenamed("replies", f"r{i}").hint("merge"), "chunk", "left")
 
         def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for row in (row for batch in batches for row in batch.to_pylist()):
+            for row in (batch.slice(n, 1).to_pylist()[0] for batch in batches for n in range(batch.num_rows)):
                 columns, twice, _ = question(row, rounds, size, prime)
                 # Buckets are ranges of the leading fingerprint.
                 edges = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
