@@ -16,23 +16,23 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows whose own toxicity is below 0.7, whatever their id, each with a number (``row``) that the next stage
-    reads as it was written."""
+    """The rows whose own toxicity is below 0.7, whatever their id."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = score_toxicity(docs, labels, keep=COLUMNS)
-    return scored.where("predicted = 0").select(*COLUMNS, F.monotonically_increasing_id().alias("row"))
+    return scored.where("predicted = 0").select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: that with the smallest id, a null id last. Of rows that share an
-    id, the columns' hash decides, so that repeated rows and null ids leave one row too. Texts without words have no copies."""
-    if "row" not in docs.columns:
-        docs = materialise(docs.withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
-    groups = alike(docs, id="row").select("row", "component_id")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64(*COLUMNS).alias("hash"), "row")
-    named = docs.select("row", order.alias("order")).join(groups, "row")
-    kept = named.groupBy("component_id").agg(F.min("order").alias("least")).select("least.row")
-    return docs.join(kept, "row", "left_semi").select(*COLUMNS)
+    id, the columns' hash decides, so that repeated rows and null ids leave one row too. Texts without words have no
+    copies. Rows are told apart by numbers, which are written before they are used twice."""
+    numbered = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
+    docs = materialise(numbered, "pipeline-rows")
+    groups = alike(docs, id="_row").select("_row", "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64(*COLUMNS).alias("hash"), "_row")
+    named = docs.select("_row", order.alias("order")).join(groups, "_row")
+    kept = named.groupBy("component_id").agg(F.min("order").alias("least")).select("least._row")
+    return docs.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def whole_characters(data: Column) -> Column:
@@ -76,6 +76,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each on what the one before wrote; the result is the last one's."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
