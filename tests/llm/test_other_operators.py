@@ -1,6 +1,7 @@
 """Archives, the license scan, tokens, packing, toxicity and the pipeline."""
 
 import base64
+import gzip
 import hashlib
 import random
 import zlib
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import packing, toxicity
+from tidemark.llm import packing, toxicity, warc
 from tidemark.llm.byte_bpe import decode, encode
 from tidemark.llm.common import slices
 from tidemark.llm.licenses import NOTICES, notices, scan
@@ -55,6 +56,38 @@ def test_round_trip_of_pages(spark):
     assert round_trip(pages.where("false")).collect() == []
 
 
+def test_archives_are_gzip_files_of_records(spark, folder):
+    pages = spark.createDataFrame(
+        [(1, "http://a.b/c", "<p>" + "x" * 200), (2, None, "<p>" + "x" * 200), (None, "http://a.b/\r\nd", None), (3, "u", "é" * 5_000)],
+        "page_id long, url string, html string",
+    )
+    warc.write_archives(warc.records(pages, 100), folder, 300)
+    found = [tuple(r)[1:] for r in warc.captures(spark, folder).collect()]
+    assert sorted((page, key) for page, key, *_ in found if page) == [(1, "b,a)/c"), (2, ")"), (3, "u)")]
+    contents = {r["archive"]: bytes(r["content"]) for r in warc.archives(spark, folder).collect()}
+    assert len(contents) > 1
+    for page, _, archive, start, length in found:
+        fields, payload = warc.told(gzip.decompress(contents[archive][start : start + length]))
+        assert fields[b"WARC-Type"] == (b"revisit" if page == 2 else b"response")
+        assert len(payload) == {1: 203, 2: 0, 3: 10_000, None: 0}[page]
+    # Members lie end to end: any GZIP reader reads a whole archive.
+    assert sum(gzip.decompress(data).count(b"WARC/1.1\r\n") for data in contents.values()) == 4
+
+
+def test_records_of_several_members(spark, monkeypatch):
+    long = "".join(random.Random(1).choices("abc<>", k=(1 << 24) + 1000))
+    pages = [(1, "http://a/", long), (2, "http://b/", "short"), (3, "http://c/", long)]
+    got = {r["page_id"]: r for r in round_trip(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert bytes(got[1]["payload"]).decode() == long and got[3]["refers_to"] == 1
+    for size, feed in ((40, 7), (1 << 24, 1 << 16)):
+        monkeypatch.setattr(warc, "MEMBER", size)
+        monkeypatch.setattr(warc, "FEED", feed)
+        records = [b"WARC/1.1\r\nContent-Length: %d\r\n\r\n" % n + b"y" * n for n in (0, 3, 500)]
+        data = b"".join(map(warc.members, records))
+        places = [(start, length) for start, length, _ in warc.records_in(memoryview(data))]
+        assert [gzip.decompress(data[start : start + length]) for start, length in places] == records
+
+
 def test_license_scan(spark):
     filler = " ".join(f"word{i}" for i in range(300))
     texts = [f"{filler}\n{notice}\n{filler}" for _, notice in NOTICES] + [filler, None, "", "Licensed under"]

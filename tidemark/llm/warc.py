@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import re
 import zlib
 from bisect import bisect_left, bisect_right
@@ -18,8 +19,11 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import map_rows, materialise
 from tidemark.session import scratch_dir
+from tidemark.sources.files import list_names
 
-END = "\r\n\r\n"  # what ends a record, and its head
+END = "\r\n\r\n"  # what ends the head of a record
+MEMBER = (1 << 24) - 1  # bytes of a record in one GZIP member at most
+FEED = 1 << 16  # bytes of an archive unpacked at once
 DIRECTORY = 100_000  # entries of the sparse directory at most, whatever the input
 HEAD = re.compile(rb"([A-Za-z-]+): ([^\r]*)\r\n")
 
@@ -50,8 +54,8 @@ def unpacked(packed: bytes | None, size: int) -> bytes:
 
 
 def records(pages: DataFrame, least: int) -> DataFrame:
-    """(``row``, ``page_id``, ``key``, ``head``, ``packed``, ``body``): the head of a WARC record for every page, and its
-    compressed payload with its length, null and 0 for revisits."""
+    """(``head``, ``packed``, ``body``): the head of a WARC record for every page, and its compressed payload with its
+    length, null and 0 for revisits. Heads name the page and the row."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"))
     pages = pages.withColumn("row", F.monotonically_increasing_id())
@@ -66,7 +70,7 @@ def records(pages: DataFrame, least: int) -> DataFrame:
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
         F.lit("\r\nWARC-Record-ID: <urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
-        F.lit(">\r\nWARC-Target-URI: "), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A"),
+        F.lit(":"), F.col("row").cast("string"), F.lit(">\r\nWARC-Target-URI: "), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A"),
         F.lit("\r\nWARC-Payload-Digest: sha256:"), F.col("digest"),
         F.when(revisit, F.concat(F.lit("\r\nWARC-Refers-To: <urn:page:"), F.col("first.page_id").cast("string"), F.lit(">")))
         .otherwise(""),
@@ -75,50 +79,97 @@ def records(pages: DataFrame, least: int) -> DataFrame:
         F.lit(END),
     )
     return joined.select(
-        "row", "page_id", url_key(F.col("url")).alias("key"), head.alias("head"),
+        head.alias("head"),
         F.when(~revisit, F.col("packed")).alias("packed"), F.when(revisit, 0).otherwise(F.col("bytes")).cast("long").alias("body"),
     )
 
 
-def write_archives(spark: SparkSession, records: DataFrame, folder: str, size: int) -> DataFrame:
-    """Write ``archive=N`` folders of one WARC file each, of about ``size`` bytes; return where each
-    record lies: (``row``, ``page_id``, ``key``, ``archive``, ``start``, ``length``)."""
+def members(record: bytes) -> bytes:
+    """A record as a member of a GZIP file, or as several if it is so long that a size would not end in a zero byte."""
+    parts = [record[i : i + MEMBER] for i in range(0, len(record), MEMBER)]
+    return b"".join(gzip.compress(part, 6, mtime=0) for part in parts)
+
+
+def write_archives(records: DataFrame, folder: str, size: int) -> None:
+    """Write ``archive=N`` folders of one file each, of about ``size`` bytes: records as GZIP members.
+
+    Spark's text writer ends each line with one byte at least. The last byte of a member is the highest of its size,
+    which is zero, so that is the line's end. Each archive is written by one task, as its number is the task's own.
+    """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive, at = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            archives, starts, lengths = [], [], []
-            for length in batch.column("bytes").to_pylist():
-                if at and at + length > size:
+            archives, lines = [], []
+            for i in range(batch.num_rows):
+                head, packed, body = (batch.column(name)[i].as_py() for name in ("head", "packed", "body"))
+                data = members(head.encode() + unpacked(packed, body))
+                if at and at + len(data) > size:
                     archive, at = archive + 1, 0
                 archives.append(archive)
-                starts.append(at)
-                lengths.append(length)
-                at += length + len(END)
-            extra = [pa.array(x, pa.int64()) for x in (archives, starts, lengths)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *extra], names=[*batch.schema.names[:-1], "archive", "start", "length"]
-            )
+                lines.append(data[:-1])
+                at += len(data)
+            columns = [pa.array(archives, pa.int64()), pa.array(lines, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["archive", "line"])
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = (batch.column(name).to_pylist() for name in ("head", "packed", "body"))
-            whole = [head.encode() + unpacked(packed, body) for head, packed, body in zip(*parts, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("archive"), batch.column("start"), pa.array(whole, pa.binary()).cast(pa.string())],
-                names=["archive", "start", "record"],
-            )
+    lines = records.mapInArrow(place, "archive long, line binary")
+    lines = lines.select("archive", F.col("line").cast("string"))
+    lines.write.partitionBy("archive").option("lineSep", "\0").text(folder)
 
-    schema = (
-        "row long, page_id long, key string, head string, packed binary, body long, archive long, start long, length long"
+
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    """(``archive``, ``content``) of the files written."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.select(F.regexp_extract("path", r"archive=(\d+)", 1).cast("long").alias("archive"), "content")
+
+
+def told(record: bytes) -> tuple[dict[bytes, bytes], bytes]:
+    """The fields of a record's head, and the payload so far."""
+    head, _, payload = record.partition(b"\r\n\r\n")
+    return dict(HEAD.findall(head + b"\r\n")), payload
+
+
+def records_in(content: memoryview) -> Iterator[tuple[int, int, dict[bytes, bytes]]]:
+    """(start, length, fields) of each record of an archive. Only heads are kept."""
+    at, start, missing, fields = 0, 0, 0, None
+    while at < len(content):
+        member, fed, data = zlib.decompressobj(31), at, []
+        while not member.eof:
+            data.append(member.decompress(content[fed : fed + FEED]))
+            fed += FEED
+        at = min(fed, len(content)) - len(member.unused_data)
+        if fields is None:
+            fields, payload = told(b"".join(data))
+            missing = int(fields[b"Content-Length"]) - len(payload)
+        else:
+            missing -= sum(map(len, data))
+        if missing <= 0:
+            yield start, at - start, fields
+            start, fields = at, None
+
+
+def captures(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each record of the archives lies: (``row``, ``page_id``, ``key``, ``archive``, ``start``, ``length``)."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, content in zip(*batch.columns, strict=True):
+                out: list[tuple] = []
+                for start, length, fields in records_in(memoryview(content.as_buffer())):
+                    page, row = fields[b"WARC-Record-ID"][10:-1].split(b":")
+                    url = fields.get(b"WARC-Target-URI", b"").decode()
+                    out.append((int(row), int(page) if page else None, url, archive.as_py(), start, length))
+                if out:
+                    columns = dict(zip(("row", "page_id", "url", "archive", "start", "length"), zip(*out, strict=True), strict=True))
+                    yield pa.RecordBatch.from_pydict(columns, schema)
+
+    kinds = {"row": pa.int64(), "page_id": pa.int64(), "url": pa.string(), "archive": pa.int64(), "start": pa.int64(), "length": pa.int64()}
+    schema = pa.schema(list(kinds.items()))
+    found = archives(spark, folder).mapInArrow(
+        scan, "row long, page_id long, url string, archive long, start long, length long"
     )
-    sized = records.withColumn("bytes", F.octet_length("head").cast("long") + F.col("body"))
-    placed = materialise(sized.mapInArrow(place, schema), "warc-records")
-    # The numbers of a task's archives are its own, so each file is written by the task that reads them.
-    text = placed.select("archive", "start", "head", "packed", "body").repartition("archive")
-    text = text.mapInArrow(join, "archive long, start long, record string").sortWithinPartitions("archive", "start")
-    text.select("archive", "record").write.partitionBy("archive").option("lineSep", END).text(folder)
-    return placed.drop("head", "packed", "body")
+    places = found.select("row", "page_id", url_key(F.col("url")).alias("key"), "archive", "start", "length")
+    return materialise(places, "warc-captures")
 
 
 def build_index(places: DataFrame, block: int) -> tuple[DataFrame, list[tuple[str, int]], list[int]]:
@@ -187,27 +238,21 @@ def look_up(blocks: DataFrame, directory: list, numbers: list[int], wanted: Data
 
 def read_records(spark: SparkSession, folder: str, places: DataFrame) -> DataFrame:
     """Read the byte ranges of ``places`` and parse their records; ``payload`` is null for revisits."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    files = files.select(F.regexp_extract("path", r"archive=(\d+)", 1).cast("long").alias("archive"), "content", "length")
-    files = squeezed(files, ["archive", "length"], "content")
-
     def read(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            content = memoryview(unpacked(right["packed"].iloc[0], int(right["length"].iloc[0])))
+            content = memoryview(right["content"].iloc[0])
             for row, start, length in zip(left["row"], left["start"], left["length"], strict=True):
-                record = bytes(content[start : start + length])
-                head, _, payload = record.partition(b"\r\n\r\n")
-                told = dict(HEAD.findall(head + b"\r\n"))
-                if len(payload) != int(told[b"Content-Length"]):
+                fields, payload = told(gzip.decompress(content[start : start + length]))
+                if len(payload) != int(fields[b"Content-Length"]):
                     raise ValueError(f"record at {start} does not have its stated length")
-                number = lambda value: int(value[10:-1]) if value and value[10:-1] else None
-                kind, digest = told[b"WARC-Type"].decode(), told[b"WARC-Payload-Digest"][7:].decode()
+                number = lambda value: int(value) if value else None
+                kind, digest = fields[b"WARC-Type"].decode(), fields[b"WARC-Payload-Digest"][7:].decode()
                 if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
                     raise ValueError(f"record at {start} does not have its stated digest")
                 out.append((
-                    int(row), number(told[b"WARC-Record-ID"]), int(told[b"WARC-Payload-Length"]), digest, kind,
-                    number(told.get(b"WARC-Refers-To")), payload if kind == "response" else None,
+                    int(row), number(fields[b"WARC-Record-ID"][10:-1].split(b":")[0]), int(fields[b"WARC-Payload-Length"]),
+                    digest, kind, number(fields.get(b"WARC-Refers-To", b"")[10:-1]), payload if kind == "response" else None,
                 ))
         frame = pd.DataFrame(out, columns=["row", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
         return frame.astype({"page_id": "Int64", "refers_to": "Int64"})
@@ -215,7 +260,7 @@ def read_records(spark: SparkSession, folder: str, places: DataFrame) -> DataFra
     schema = (
         "row long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
     )
-    return places.groupBy("archive").cogroup(files.groupBy("archive")).applyInPandas(read, schema)
+    return places.groupBy("archive").cogroup(archives(spark, folder).groupBy("archive")).applyInPandas(read, schema)
 
 
 def round_trip(pages: DataFrame, least: int = 100, size: int = 8 << 20, block: int = 3000) -> DataFrame:
@@ -231,10 +276,11 @@ def round_trip(pages: DataFrame, least: int = 100, size: int = 8 << 20, block: i
     """
     spark = pages.sparkSession
     folder = scratch_dir(spark, "archives")
-    places = write_archives(spark, records(pages, least), folder, size)
-    if places.isEmpty():
+    write_archives(records(pages, least), folder, size)
+    if not any(name.startswith("archive=") for name in list_names(spark, folder)):
         schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
         return spark.createDataFrame([], schema)
+    places = captures(spark, folder)
     blocks, directory, numbers = build_index(places, block)
     found = look_up(blocks, directory, numbers, places.select("key", "row"))
     return read_records(spark, folder, found).drop("row")
