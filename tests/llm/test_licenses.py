@@ -62,6 +62,47 @@ def test_copies_near_copies_and_partial_copies(spark):
     assert found(spark, texts) == want
 
 
+def held_anywhere(table, texts):
+    """(text, template name) where some stretch of 1.25 times the template's shingles, from any word on, holds enough."""
+    out = set()
+    for name, notice in table:
+        width = 5 if len(re.findall("[a-z0-9]+", notice.lower())) >= 5 else 3
+        own = set(shingles(notice, width))
+        m = len(own)
+        for key, text in enumerate(texts):
+            hits = [s if s in own else None for s in shingles(text, width)]
+            at = [i for i, s in enumerate(hits) if s]
+            # The best stretch begins with a shingle of the template.
+            if len(set(hits)) - 1 >= 0.75 * m:
+                if any(len(set(hits[i : i + math.floor(1.25 * m)]) - {None}) >= 0.75 * m for i in at):
+                    out.add((key, name))
+    return out
+
+
+def test_no_start_is_cut_by_the_grid(spark):
+    rng, texts = random.Random(6), []
+    for _, notice in table_of(spark):
+        words = notice.split()
+        if 40 < len(words) < 300:
+            for rate in (0.0, 0.02, 0.04, 0.05):
+                spread = [x for w in words for x in ([w, "more"] if rng.random() < rate else [w])]
+                texts.append(" ".join(rng.choices(WORDS, k=rng.randint(0, 90)) + spread + rng.choices(WORDS, k=9)))
+    want = held_anywhere(table_of(spark), texts)
+    assert len(want) > 20
+    assert want <= set(found(spark, texts))
+
+
+def test_odd_rows(spark):
+    mit = "Permission is hereby granted. Released under the MIT License."
+    rows = [(None, mit, "x"), (None, None, "x"), (4, mit, "x"), (4, mit, "x"), (5, "", "x"), (6, "a " * 200_000 + mit, "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, template string")
+    got = [(r["doc_id"], r["template"]) for r in scan(table, templates(spark)).collect()]
+    # Repeated rows of an id are one, and a null id is a group of its own.
+    assert sorted(got, key=str) == [(4, "MIT"), (6, "MIT"), (None, "MIT")]
+    assert scan(table.where("false"), templates(spark)).collect() == []
+    assert scan(table, templates(spark).where("false")).collect() == []
+
+
 def test_usual_forms(spark):
     forms = {
         "Released under MIT License": "MIT",
