@@ -1,0 +1,83 @@
+"""Catalog tables: names, partitions, what an overwrite replaces."""
+
+from uuid import uuid4
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from helpers import order, orders
+from tidemark.functions import quoted
+from tidemark.schema import BATCH, ORDERS, RAW
+from tidemark.session import sql_settings
+from tidemark.sources import append_table, drop_table, ensure_database, ensure_table, overwrite_table, read_table
+from tidemark.sources.tables import name_parts, partition_numbers, planned_bytes, text_literal
+
+
+@pytest.fixture
+def database(spark, folder):
+    name = f"tables_{uuid4().hex[:8]}"
+    ensure_database(spark, name, f"{folder}/it's a database")
+    return name
+
+
+def raw(spark, *rows):
+    """Rows of the raw table, partition columns last."""
+    columns = [f.name for f in RAW]
+    made = spark.createDataFrame([tuple({**order(key, 1, 1), BATCH: batch}[c] for c in columns) for key, batch in rows], RAW)
+    return made.select(*[c for c in columns if c not in ("event_date", BATCH)], "event_date", BATCH)
+
+
+def test_names_are_names_and_not_syntax(spark):
+    assert quoted("a b", "c`d") == "`a b`.`c``d`"
+    assert name_parts(spark, "`a b`.`c``d`") == ["a b", "c`d"]
+    assert spark.sql(f"SELECT {text_literal(chr(39) + chr(92) + 'x')} AS s").first()["s"] == "'\\x"
+    # Spark's session catalog takes letters, digits and underscores; other catalogs may take more.
+    for odd in ("a`b", "a b", "x; DROP TABLE y"):
+        with pytest.raises(AnalysisException, match="INVALID_SCHEMA_OR_RELATION_NAME|INVALID_ATTRIBUTE_NAME_SYNTAX"):
+            ensure_database(spark, odd)
+
+
+def test_columns_with_blanks_and_backticks(spark, database, folder):
+    table, schema = f"{database}.odd", T.StructType([T.StructField(n, T.StringType()) for n in ("order id", "a`b", "the day")])
+    ensure_table(spark, table, f"{folder}/it's odd", schema, ["the day"])
+    append_table(spark.createDataFrame([("1", "x", "d1"), ("2", "y", "d2")], schema), table)
+    append_table(spark.createDataFrame([("d1", "3", "z")], ["the day", "order id", "a`b"]), table)
+    assert read_table(spark, table).columns == ["order id", "a`b", "the day"]
+    assert sorted(r["order id"] for r in read_table(spark, table).where("`the day` = 'd1'").collect()) == ["1", "3"]
+
+
+def test_a_new_table_finds_the_partitions_of_its_folder(spark, database, folder):
+    table, location = f"{database}.raw", f"{folder}/raw"
+    ensure_table(spark, table, location, RAW, ("event_date", BATCH), replace_partitions=True)
+    assert partition_numbers(spark, table, BATCH) == []
+    raw(spark, ("a", 0), ("b", 7), ("c", 10)).write.insertInto(table, overwrite=True)
+    assert partition_numbers(spark, table, BATCH) == [0, 7, 10]
+    drop_table(spark, table)
+    ensure_table(spark, table, location, RAW, ("event_date", BATCH), replace_partitions=True)
+    assert partition_numbers(spark, table, BATCH) == [0, 7, 10]
+    assert read_table(spark, table).count() == 3
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_what_an_overwrite_replaces_is_the_tables_own(spark, database, folder, mode):
+    """Whatever the session's setting, which stays as it is."""
+    by_partition, whole = f"{database}.by_partition", f"{database}.whole"
+    ensure_table(spark, by_partition, f"{folder}/p", RAW, ("event_date", BATCH), replace_partitions=True)
+    ensure_table(spark, whole, f"{folder}/w", ORDERS)
+    with sql_settings(spark, {"spark.sql.sources.partitionOverwriteMode": mode}):
+        raw(spark, ("a", 0), ("b", 1)).write.insertInto(by_partition, overwrite=True)
+        raw(spark, ("c", 1)).write.insertInto(by_partition, overwrite=True)
+        assert sorted(r["order_id"] for r in read_table(spark, by_partition).collect()) == ["a", "c"]
+        overwrite_table(orders(spark, [order("a", 1), order("b", 1, event_date=None)]), whole)
+        overwrite_table(orders(spark, [order("c", 1)]), whole)
+        assert [r["order_id"] for r in read_table(spark, whole).collect()] == ["c"]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == mode
+
+
+def test_planned_bytes(spark, folder):
+    spark.range(1000).write.parquet(folder)
+    size = planned_bytes(spark.read.parquet(folder))
+    assert 0 < size < 100_000
+    assert planned_bytes(spark.createDataFrame([(1,)], "a int").where(F.col("a") > 0)) is None
