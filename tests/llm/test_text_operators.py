@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.repeats import difference_cover, remove_repeats
@@ -126,6 +127,28 @@ def test_components(spark):
     assert got == alike_by_force(texts, list(range(len(texts))))
 
 
+@pytest.mark.parametrize("ids", ["own", "shared"])
+def test_components_near_the_limit(spark, ids):
+    """Many pairs just above and below the limit, of texts that share passages; ids with texts of different groups."""
+    rng, texts = random.Random(9), []
+    passages = [[f"p{i}w{rng.randint(0, 10**5)}" for _ in range(rng.randint(6, 40))] for i in range(5)]
+    for _ in range(14):
+        words = [f"w{rng.randint(0, 10**5)}" for _ in range(rng.randint(25, 70))]
+        for _ in range(11):
+            near = list(words)
+            for _ in range(rng.choice([1, 2, 2, 3, 3, 4])):
+                at = rng.randrange(len(near))
+                near[at : at + rng.randint(0, 2)] = [f"w{rng.randint(0, 10**5)}" for _ in range(rng.randint(0, 2))]
+            texts.append(" ".join(near + rng.choice(passages) if rng.random() < 0.4 else near))
+    rng.shuffle(texts)
+    names = [i if ids == "own" else i % 97 for i in range(len(texts))]
+    rows = [(name, text, 1, "x", 2) for name, text in zip(names, texts, strict=True)]
+    found = alike(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    want = alike_by_force(texts, names)
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: component for i, (_, component) in want.items()}
+    assert 5 < len({component for _, component in want.values()}) < len(set(names)) - 5
+
+
 def test_components_on_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = docs.select("doc_id", "text").collect()

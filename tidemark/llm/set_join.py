@@ -180,14 +180,35 @@ def alike(
     least = F.min(F.struct("id", "row"))
     same = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(least.alias("least"))
     same = materialise(same.select("digest", F.col("least.id").alias("rep"), F.col("least.row").alias("row")), "set-classes")
-    reps = signed.join(same.select("row"), "row", "left_semi")
-    places = reps.select("id", "n", F.posexplode("first").alias("pos", "tok")).where("tok IS NOT NULL")
+    # An id may have several texts and so several sets, whose places must not be counted as one set's.
+    several = F.count("*").over(Window.partitionBy("rep")) > 1
+    reps = signed.join(same.select("row", several.alias("several")), "row")
+    places = reps.select("id", "n", "several", F.posexplode("first").alias("pos", "tok")).where("tok IS NOT NULL")
     # One shuffle of few columns puts the lists together; most hold one set and go.
-    places = places.select("tok", "id", (F.col("n") * 2**31 + F.col("pos")).alias("place"))
+    place = F.col("n") * 2**31 + F.col("pos")
+    places = places.select("tok", "id", F.when(F.col("several"), -1 - place).otherwise(place).alias("place"))
     own_list = Window.partitionBy("tok")
-    listed = places.select("*", F.min("id").over(own_list).alias("head"), F.max("id").over(own_list).alias("last"))
-    n, pos = F.expr("shiftright(place, 31)").alias("n"), F.expr("place & 2147483647").cast("int").alias("pos")
-    listed = materialise(listed.where("head < last").select("tok", "id", n, pos, "head"), "set-lists")
+    head, last = F.min(F.struct("id", "place")).over(own_list), F.max("id").over(own_list)
+    listed = places.select("*", head.alias("head"), last.alias("last")).where("head.id < last")
+
+    def size_and_place(column: str, before: str) -> list[Column]:
+        place = F.when(F.col(column) < 0, -1 - F.col(column)).otherwise(F.col(column))
+        return [
+            F.shiftright(place, 31).alias(f"{before}n"),
+            place.bitwiseAND(2**31 - 1).cast("int").alias(f"{before}pos"),
+            (F.col(column) < 0).alias(f"{before}several"),
+        ]
+
+    listed = listed.select(
+        "tok", "id", *size_and_place("place", ""), F.col("head.id").alias("head"), *size_and_place("head.place", "head_")
+    )
+    listed = materialise(listed, "set-lists")
+
+    def can_link(shared: Column, n: Column, pos: Column, other_n: Column, other_pos: Column) -> Column:
+        """Whether two sets can be alike that share so many of the first n-grams, the last of them at these places: what
+        else they share comes later in both."""
+        most = shared + F.least(n - pos, other_n - other_pos) - 1
+        return (most * (100 + percent) >= (n + other_n) * percent) & (100 * F.least(n, other_n) >= percent * F.greatest(n, other_n))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,19 +247,24 @@ def alike(
         joined = pairs.join(left, "a").join(right, "b")
         return materialise(joined.where(linked("x", "x_size", "y", "y_size")).select("a", "b"), "set-links")
 
-    # First each set with the head of most of its lists.
-    votes = listed.where("head <> id").groupBy("id", "head").agg(F.count("*").alias("votes"), F.first("n").alias("n"))
+    # First each set with the head of most of its lists, of those that it can be alike to as far as these lists tell.
+    votes = listed.where("head <> id").groupBy("id", "head").agg(
+        F.count("*").alias("votes"), F.max("n").alias("n"), F.max("pos").alias("pos"),
+        F.max("head_n").alias("head_n"), F.max("head_pos").alias("head_pos"),
+        F.max(F.col("several") | F.col("head_several")).alias("several"),
+    )
+    votes = votes.where(F.col("several") | can_link(*map(F.col, ("votes", "n", "pos", "head_n", "head_pos"))))
     best = votes.groupBy("id").agg(F.max_by("head", F.struct("votes", -F.col("head"))).alias("head"))
     links = verify(best.select(F.col("head").alias("a"), F.col("id").alias("b")))
     nodes = same.select(F.col("rep").alias("id")).distinct()
     root = smallest_reachable(spark, nodes, links)
     # Then what lists with several components leave open.
-    held = listed.drop("head").join(root, "id")
+    held = listed.drop("head", "head_n", "head_pos", "head_several").join(root, "id")
     open_lists = held.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     held = held.join(open_lists.select("tok"), "tok")
     odd = signed.join(same.select("row"), "row", "left_semi").select("id", *[F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES)])
     held = materialise(held.join(odd.join(held.select("id").distinct(), "id", "left_semi"), "id"), "set-open")
-    names = ("id", "n", "pos", "root", *[f"odd{i}" for i in range(PARITIES)])
+    names = ("id", "n", "pos", "several", "root", *[f"odd{i}" for i in range(PARITIES)])
     x = held.select("tok", *[F.col(c).alias(f"{c}_1") for c in names])
     y = held.select("tok", *[F.col(c).alias(f"{c}_2") for c in names])
     need = (F.col("n_1") + F.col("n_2")) * percent  # intersection * (100 + percent) must reach it
@@ -250,8 +276,15 @@ def alike(
         .where(100 * F.least("n_1", "n_2") >= percent * F.greatest("n_1", "n_2"))
         .where(reach * (100 + percent) >= need)
         .where(apart * (100 + percent) <= (F.col("n_1") + F.col("n_2")) * (100 - percent))
-        .select(F.col("id_1").alias("a"), F.col("id_2").alias("b"))
-        .distinct()
+        # Two components meet in open lists only, so all that a pair shares of its first n-grams is counted here.
+        .groupBy(F.col("id_1").alias("a"), F.col("id_2").alias("b"))
+        .agg(
+            F.count("*").alias("shared"),
+            F.max(F.col("several_1") | F.col("several_2")).alias("several"),
+            *[F.max(f"{c}_{i}").alias(f"{c}_{i}") for c in ("n", "pos") for i in (1, 2)],
+        )
+        .where(F.col("several") | can_link(*map(F.col, ("shared", "n_1", "pos_1", "n_2", "pos_2"))))
+        .select("a", "b")
     )
     links = links.union(verify(pairs))
     root = smallest_reachable(spark, nodes, links).select(F.col("id").alias("rep"), "root")
