@@ -1,9 +1,11 @@
 """Vector operators against brute force."""
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm.near_vectors import near_vectors
+from tidemark.llm.near_vectors import hashing, meeting, near_vectors
 from tidemark.llm.vector_tree import search
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -58,6 +60,34 @@ def test_links_and_components(spark):
         assert sum(got[i][1] == want[i][1] for i in want) >= 0.98 * len(want)
 
 
+def test_hashing_follows_the_number_of_vectors():
+    assert abs(meeting(math.sqrt(0.2), 2.0) - 0.8216) < 1e-3 and abs(meeting(math.sqrt(2), 2.0) - 0.4863) < 1e-3
+    sizes = (0, 1, 10_000, 50_000, 10**6, 10**9)
+    found = [hashing(n, 0.9, 2.0, 0.991, 64) for n in sizes]
+    assert found[3] == (10, 32) and found[0] == found[1]
+    for n, (width, tables) in zip(sizes, found, strict=True):
+        assert 1 - (1 - meeting(math.sqrt(0.2), 2.0) ** width) ** tables >= 0.991
+        assert n * meeting(math.sqrt(2), 2.0) ** width <= 64
+    # A thousand times the vectors, not seven times the tables.
+    assert found[5][1] < 7 * found[4][1]
+
+
+def test_pairs_at_the_threshold_are_found_at_two_sizes(spark):
+    """Planted pairs just above the threshold among unrelated vectors: the share found, and what it takes."""
+    rng = np.random.default_rng(8)
+    for n in (500, 4000):
+        base = rng.standard_normal((n, 24))
+        base /= np.linalg.norm(base, axis=1)[:, None]
+        other = rng.standard_normal((n, 24))
+        other -= (other * base).sum(1)[:, None] * base
+        other /= np.linalg.norm(other, axis=1)[:, None]
+        near = 0.9005 * base + math.sqrt(1 - 0.9005**2) * other
+        rows = [(i, v.tolist(), 0) for i, v in enumerate(base)] + [(n + i, v.tolist(), 0) for i, v in enumerate(near)]
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+        links = {r["vec_id"]: r["n_links"] for r in near_vectors(table).collect()}
+        assert sum(links[i] > 0 for i in range(n)) >= 0.975 * n
+
+
 def test_links_of_nothing(spark):
     assert near_vectors(frame(spark, []).where(F.lit(False))).collect() == []
 

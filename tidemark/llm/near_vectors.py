@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,9 @@ from pyspark.sql import types as T
 from tidemark.llm.common import materialise, smallest_reachable
 
 
+LEAST = 4  # projections of a table
+
+
 def usable(vector: str):
     """True for vectors that are not null or empty, with finite components only, not all zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -31,6 +35,23 @@ def projections(dim: int, tables: int, width: int, seed: int) -> tuple[np.ndarra
     return rng.standard_normal((dim, tables * width)), rng.random(tables * width)
 
 
+def meeting(distance: float, step: float) -> float:
+    """The probability that two vectors at a distance share a cell of one projection (Datar et al., 2004)."""
+    r = step / distance
+    return 1 - math.erfc(r / math.sqrt(2)) - math.sqrt(2 / math.pi) / r * (1 - math.exp(-r * r / 2))
+
+
+def hashing(n: int, threshold: float, step: float, recall: float, bucket: int) -> tuple[int, int]:
+    """(projections of a table, tables) for ``n`` vectors.
+
+    So many projections that vectors at right angles leave about ``bucket`` in one, whatever ``n`` is, and so many tables that a
+    pair at the threshold meets with probability ``recall``. Tables grow as the power 0.27 of ``n`` at the defaults.
+    """
+    near = meeting(math.sqrt(2 - 2 * threshold), step)
+    width = max(LEAST, math.ceil(math.log(max(1.0, n / bucket)) / -math.log(meeting(math.sqrt(2), step))))
+    return width, math.ceil(math.log(1 - recall) / math.log(1 - near**width))
+
+
 def local_roots(linked: np.ndarray) -> np.ndarray:
     """The smallest index each row reaches over a symmetric boolean matrix."""
     root = np.arange(len(linked))
@@ -48,17 +69,18 @@ def near_vectors(
     id: str = "vec_id",
     vector: str = "embedding",
     threshold: float = 0.9,
-    tables: int = 32,
-    width: int = 10,
+    recall: float = 0.991,
+    bucket: int = 64,
     step: float = 2.0,
     block: int = 1024,
     seed: int = 7,
 ) -> DataFrame:
     """(``id``, ``n_links``, ``component_id``, ``kept``) of every row.
 
-    Normalised vectors are projected on Gaussian directions; ``width`` projections, shifted and cut
-    at multiples of ``step``, name a bucket in each of ``tables`` tables. With the defaults a pair at the
-    threshold shares a bucket with probability 0.99, closer ones with more. Pairs that share a
+    Normalised vectors are projected on Gaussian directions; some projections, shifted and cut
+    at multiples of ``step``, name a bucket in each of some tables. How many follows from the number of distinct vectors
+    (see `hashing`): a pair at the threshold shares a bucket with probability ``recall``, closer ones with more, and
+    a bucket holds about ``bucket`` unrelated vectors at every size. Pairs that share a
     bucket are checked by their cosine in double precision; a pair is counted in the first table
     in which it meets, so no list of pairs is made.
 
@@ -80,6 +102,8 @@ def near_vectors(
     first = member.where("row = least.row")
     reps = first.select(F.col("row").alias("id"), "weight", "v")  # ids from here on are row numbers
 
+    width, tables = hashing(same.count(), threshold, step, recall, bucket)
+
     @F.pandas_udf("array<bigint>")
     def keys(batch: pd.Series) -> pd.Series:
         out: list = [None] * len(batch)
