@@ -110,6 +110,11 @@ def sketch(docs: DataFrame, text: Column, width: int, cells: int) -> np.ndarray:
     return out
 
 
+def rareness(counts: np.ndarray) -> np.ndarray:
+    """The order of counts in a byte each: 0 for a count of one, then steps of a quarter of a doubling."""
+    return np.rint(4 * np.log2(np.maximum(counts, 1).astype(np.float64))).astype(np.uint8)
+
+
 def alike(
     docs: DataFrame,
     text: str | Column = "text",
@@ -139,7 +144,7 @@ def alike(
     text = F.col(text) if isinstance(text, str) else text
     text = F.coalesce(text.cast("string"), F.lit(""))
     cells = max(1 << 18, min(1 << 24, 1 << int(64 * docs.count()).bit_length()))
-    counts = spark.sparkContext.broadcast(np.minimum(sketch(docs, text, width, cells), 2**24 - 1).astype(np.uint32))
+    counts = spark.sparkContext.broadcast(rareness(sketch(docs, text, width, cells)))
 
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, order = Shingles(width), counts.value
@@ -153,7 +158,7 @@ def alike(
                 held = order[(own % np.uint64(cells)).astype(np.int64)]
                 head = np.argsort(held, kind="stable")[: n - -(-n * percent // 100) + 1 if n else 0]
                 # The sketch never counts too few: an n-gram whose cell counts one is in no other text.
-                first.append(pa.array(own[head].view(np.int64), mask=held[head] == 1))
+                first.append(pa.array(own[head].view(np.int64), mask=held[head] == 0))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:-1],
