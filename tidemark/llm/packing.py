@@ -21,8 +21,8 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import map_rows, slices
 from tidemark.llm.token_counts import byte_characters
 
-MEMO = 1 << 19
-AT_ONCE = 4 * 1024 * 1024  # bytes of text whose words are looked up together
+MEMO = 1 << 18  # words, and as many parts of words, whose ids a task keeps
+AT_ONCE = 2 * 1024 * 1024  # bytes of text whose words are looked up together
 # A word of Latin letters, between marks: the tokenizer takes the three apart, as no mark before the letters
 # begins a contraction.
 PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
