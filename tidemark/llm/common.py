@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -21,6 +22,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are done: its cleaner acts when the driver collects garbage,
+    which on a driver with little to do may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_rows(
     df: DataFrame,
     keep: Sequence[str],

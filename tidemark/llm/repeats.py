@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import materialise, release
 
 CHUNK = 1 << 20  # bytes of text in a chunk, but for longer single texts; a task needs some 150 times as many
 PART = 16 << 20  # bytes of text for each bucket
@@ -290,9 +290,11 @@ def remove_repeats(
         replies = asked.repartition(min(parts, 20_000), "part").groupBy("part").applyInPandas(
             sort, "chunk long, part long, reply binary"
         )
-        return materialise(
+        told = materialise(
             replies.groupBy("chunk").agg(F.collect_list(F.struct("part", "reply")).alias("replies")), "replies"
         )
+        release(spark)  # each round shuffles the texts
+        return told
 
     shared = ask([], 1, False)
     told = ask([shared], 3, True)

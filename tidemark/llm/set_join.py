@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tidemark.llm.common import map_rows, materialise, slices, smallest_reachable
+from tidemark.llm.common import map_rows, materialise, release, slices, smallest_reachable
 from tidemark.llm.pieces import Memo
 
 CELLS = 1 << 16  # cells of the count sketch in one row
@@ -82,8 +82,13 @@ def parities(own: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def rareness(counts: np.ndarray) -> np.ndarray:
+    """The order of counts in a byte each: 0 for a count of one, then steps of a quarter of a doubling."""
+    return np.rint(4 * np.log2(np.maximum(counts, 1).astype(np.float64))).astype(np.uint8)
+
+
 def sketch(docs: DataFrame, text: Column, width: int, cells: int) -> np.ndarray:
-    """How many texts hold an n-gram of each cell, over all texts; ``cells`` counts, whatever the input."""
+    """How many texts hold an n-gram of each cell, over all texts, as `rareness`; ``cells`` bytes, whatever the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts = Shingles(width), np.zeros(cells, np.uint32)
@@ -99,22 +104,17 @@ def sketch(docs: DataFrame, text: Column, width: int, cells: int) -> np.ndarray:
         total = np.zeros(min(CELLS, cells), np.uint64)
         for packed in group["counts"]:
             total += np.frombuffer(zlib.decompress(packed), np.uint32)
-        return pd.DataFrame({"block": group["block"].iloc[:1], "counts": [total.tobytes()]})
+        return pd.DataFrame({"block": group["block"].iloc[:1], "counts": [rareness(total).tobytes()]})
 
     schema = "block long, counts binary"
     parts = docs.select(text.alias("t")).mapInArrow(run, schema)
     rows = parts.groupBy("block").applyInPandas(add, schema).collect()  # a fixed number of cells
-    out = np.zeros(cells, np.uint64)
+    out = np.zeros(cells, np.uint8)
     for row in rows:
-        out[row["block"] : row["block"] + CELLS] = np.frombuffer(row["counts"], np.uint64)
+        out[row["block"] : row["block"] + CELLS] = np.frombuffer(row["counts"], np.uint8)
     return out
 
 
-def rareness(counts: np.ndarray) -> np.ndarray:
-    """The order of counts in a byte each: 0 for a count of one, then steps of a quarter of a doubling."""
-    return np.rint(4 * np.log2(np.maximum(counts, 1).astype(np.float64))).astype(np.uint8)
-
-
 def alike(
     docs: DataFrame,
     text: str | Column = "text",
@@ -144,7 +144,7 @@ def alike(
     text = F.col(text) if isinstance(text, str) else text
     text = F.coalesce(text.cast("string"), F.lit(""))
     cells = max(1 << 18, min(1 << 24, 1 << int(64 * docs.count()).bit_length()))
-    counts = spark.sparkContext.broadcast(rareness(sketch(docs, text, width, cells)))
+    counts = spark.sparkContext.broadcast(sketch(docs, text, width, cells))
 
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, order = Shingles(width), counts.value
@@ -208,6 +208,7 @@ def alike(
         "tok", "id", *size_and_place("place", ""), F.col("head.id").alias("head"), *size_and_place("head.place", "head_")
     )
     listed = materialise(listed, "set-lists")
+    release(spark)
 
     def can_link(shared: Column, n: Column, pos: Column, other_n: Column, other_pos: Column) -> Column:
         """Whether two sets can be alike that share so many of the first n-grams, the last of them at these places: what
@@ -250,7 +251,9 @@ def alike(
         left = needed.select(F.col("id").alias("a"), F.col("packed").alias("x"), F.col("size").alias("x_size"))
         right = needed.select(F.col("id").alias("b"), F.col("packed").alias("y"), F.col("size").alias("y_size"))
         joined = pairs.join(left, "a").join(right, "b")
-        return materialise(joined.where(linked("x", "x_size", "y", "y_size")).select("a", "b"), "set-links")
+        links = materialise(joined.where(linked("x", "x_size", "y", "y_size")).select("a", "b"), "set-links")
+        release(spark)
+        return links
 
     # First each set with the head of most of its lists, of those that it can be alike to as far as these lists tell.
     votes = listed.where("head <> id").groupBy("id", "head").agg(
