@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import materialise, release
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.set_join import alike
@@ -26,6 +26,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """One row of each group of near copies: that with the smallest id, a null id last. Of rows that share an
     id, the columns' hash decides, so that repeated rows and null ids leave one row too. Texts without words have no
     copies. Rows are told apart by numbers, which are written before they are used twice."""
+    release(spark)
     numbered = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
     docs = materialise(numbered, "pipeline-rows")
     groups = alike(docs, id="_row").select("_row", "component_id")
@@ -49,6 +50,7 @@ def whole_characters(data: Column) -> Column:
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, less the 200-byte strings that occur more than once. Characters cut in two
     go whole, null texts become empty, and ``n_chars`` is counted anew."""
+    release(spark)
     cut = remove_repeats(docs, keep=("doc_id", "lang", "source", "n_chars"))
     changed = cut.select("*", whole_characters(F.col("remaining")).alias("text"))
     return changed.select(
@@ -58,6 +60,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document, packed into sequences of 2048 tokens."""
+    release(spark)
     pieces = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
