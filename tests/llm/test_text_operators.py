@@ -1,12 +1,17 @@
 """Repeat removal and the set join against brute force."""
 
 import hashlib
+import os
 import random
+import time
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm import repeats, set_join
+from tidemark.llm.common import materialise
 from tidemark.llm.repeats import difference_cover, remove_repeats
 from tidemark.llm.set_join import alike
 
@@ -83,6 +88,37 @@ def test_removal_of_nothing(spark):
     assert [r["n_removed"] for r in remove_repeats(frame(spark, [None])).collect()] == [0]
 
 
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {str(f) for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks) if "shuffle_" in str(f)}
+
+
+def left_after(spark, before):
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """Whether or not the driver collects its garbage, and while the frame is still held."""
+    before = shuffle_files(spark)
+    grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    written = materialise(grouped, "test")
+    assert left_after(spark, before) == set()
+    assert written.count() == 7
+
+
+def test_rounds_leave_no_shuffle_files(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "release", lambda spark: None)
+    docs = frame(spark, texts_with_repeats(1))
+    before = shuffle_files(spark)
+    remove_repeats(docs)  # all rounds, and not yet the result
+    left = left_after(spark, before)
+    assert sum(os.path.getsize(f) for f in left if os.path.exists(f)) < 20_000  # the sum of the chunks' sizes
+
+
 def sets_of(texts):
     out = []
     for text in texts:
@@ -161,3 +197,30 @@ def test_components_of_odd_rows(spark):
     got = sorted(((r["doc_id"], r["component_id"]) for r in alike(docs).collect()), key=str)
     assert got == [(4, 4), (4, 4), (7, 4), (None, None)]
     assert alike(docs.where(F.lit(False))).collect() == []
+
+
+def test_counts_survive_their_planes():
+    counts = np.array([0, 1, 255, 256, 70_000, 2**32 - 1], np.uint32)
+    assert set_join.from_planes(set_join.planes(counts)).tolist() == counts.tolist()
+
+
+def test_signatures_are_not_joined_again(spark, monkeypatch):
+    """Classes take their sets' lists along: lists are put together without a join of two large tables."""
+    plans = {}
+
+    def noted(df, label):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return materialise(df, label)
+
+    monkeypatch.setattr(set_join, "materialise", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")  # few ids have several texts
+    try:
+        rng = random.Random(4)
+        texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(60)) for _ in range(400)]
+        texts += [text + " end" for text in texts[:100]]
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in alike(frame(spark, texts)).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == alike_by_force(texts, list(range(len(texts))))
+    assert "SortMergeJoin" not in plans["set-lists"][0]

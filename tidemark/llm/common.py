@@ -11,15 +11,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, sql_settings
+
+
+#: Spark deletes the shuffle files of a query as it ends, and not when the driver next collects its garbage.
+CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: what follows does not recompute it
-    when an executor is lost."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    when an executor is lost, and its shuffle files go as soon as it is written."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    with sql_settings(spark, CLEANUP):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_REMEMBERED: dict = {}
+
+
+def remembered(key: tuple, make: Callable):
+    """What ``make`` gives, kept in this process for later tasks. Only one thing is: asking for another lets it go."""
+    if key not in _REMEMBERED:
+        forget()
+        _REMEMBERED[key] = make()
+    return _REMEMBERED[key]
+
+
+def forget() -> None:
+    """Let go what an operator before keeps in this process: Spark's Python workers outlive its tasks."""
+    _REMEMBERED.clear()
 
 
 def release(spark: SparkSession) -> None:

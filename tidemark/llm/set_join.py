@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tidemark.llm.common import map_rows, materialise, release, slices, smallest_reachable
+from tidemark.llm.common import forget, map_rows, materialise, release, slices, smallest_reachable
 from tidemark.llm.pieces import Memo
 
 CELLS = 1 << 16  # cells of the count sketch in one row
@@ -87,23 +87,34 @@ def rareness(counts: np.ndarray) -> np.ndarray:
     return np.rint(4 * np.log2(np.maximum(counts, 1).astype(np.float64))).astype(np.uint8)
 
 
+def planes(counts: np.ndarray) -> bytes:
+    """32-bit counts as all their first bytes, then all their second ones, and so on: most are small, and so planes
+    compress to about half of what rows of numbers do."""
+    return np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def sketch(docs: DataFrame, text: Column, width: int, cells: int) -> np.ndarray:
     """How many texts hold an n-gram of each cell, over all texts, as `rareness`; ``cells`` bytes, whatever the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         shingles, counts = Shingles(width), np.zeros(cells, np.uint32)
         for batch in batches:
             for _, texts in slices(batch.column(0), TEXT):
                 own = np.concatenate([*shingles.of_all(texts), np.empty(0, np.uint64)])
                 np.add.at(counts, (own % np.uint64(cells)).astype(np.int64), np.uint32(1))
         for block in range(0, cells, CELLS):
-            packed = zlib.compress(counts[block : block + CELLS].tobytes(), 1)
+            packed = zlib.compress(planes(counts[block : block + CELLS]), 1)
             yield pa.RecordBatch.from_pydict({"block": [block], "counts": [packed]})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(min(CELLS, cells), np.uint64)
         for packed in group["counts"]:
-            total += np.frombuffer(zlib.decompress(packed), np.uint32)
+            total += from_planes(zlib.decompress(packed))
         return pd.DataFrame({"block": group["block"].iloc[:1], "counts": [rareness(total).tobytes()]})
 
     schema = "block long, counts binary"
@@ -147,6 +158,7 @@ def alike(
     counts = spark.sparkContext.broadcast(sketch(docs, text, width, cells))
 
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         shingles, order = Shingles(width), counts.value
         for batch in batches:
             sizes, digests, first, odd = [], [], [], []
@@ -182,12 +194,16 @@ def alike(
     rows = docs.select(F.col(f"`{id}`").alias("id"), text.alias("text"))
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
     signed = materialise(map_rows(numbered, ["id", "row"], [F.col("text")], outputs, signatures), "set-signatures")
-    least = F.min(F.struct("id", "row"))
-    same = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(least.alias("least"))
-    same = materialise(same.select("digest", F.col("least.id").alias("rep"), F.col("least.row").alias("row")), "set-classes")
+    # A class takes its set's lists along, which move once and need no join with the signatures.
+    own = F.min_by(F.struct("id", "n", "first", "odd"), F.struct("id", "row")).alias("own")
+    same = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(own)
+    same = materialise(same.select("digest", F.col("own.id").alias("rep"), "own.n", "own.first", "own.odd"), "set-classes")
     # An id may have several texts and so several sets, whose places must not be counted as one set's.
-    several = F.count("*").over(Window.partitionBy("rep")) > 1
-    reps = signed.join(same.select("row", several.alias("several")), "row")
+    several = same.groupBy("rep").agg(F.count("*").alias("sets")).where("sets > 1")
+    several = materialise(several.select("rep", F.lit(True).alias("several")), "set-several")
+    reps = same.join(several, "rep", "left").select(
+        F.col("rep").alias("id"), "n", F.coalesce("several", F.lit(False)).alias("several"), "first"
+    )
     places = reps.select("id", "n", "several", F.posexplode("first").alias("pos", "tok")).where("tok IS NOT NULL")
     # One shuffle of few columns puts the lists together; most hold one set and go.
     place = F.col("n") * 2**31 + F.col("pos")
@@ -268,9 +284,9 @@ def alike(
     root = smallest_reachable(spark, nodes, links)
     # Then what lists with several components leave open.
     held = listed.drop("head", "head_n", "head_pos", "head_several").join(root, "id")
-    open_lists = held.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    held = held.join(open_lists.select("tok"), "tok")
-    odd = signed.join(same.select("row"), "row", "left_semi").select("id", *[F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES)])
+    held = held.select("*", F.min("root").over(own_list).alias("lo"), F.max("root").over(own_list).alias("hi"))
+    held = materialise(held.where("lo < hi").drop("lo", "hi"), "set-open-lists")
+    odd = same.select(F.col("rep").alias("id"), *[F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES)])
     held = materialise(held.join(odd.join(held.select("id").distinct(), "id", "left_semi"), "id"), "set-open")
     names = ("id", "n", "pos", "several", "root", *[f"odd{i}" for i in range(PARITIES)])
     x = held.select("tok", *[F.col(c).alias(f"{c}_1") for c in names])
