@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import materialise, release
+from tidemark.llm.common import forget, materialise, release
 
 CHUNK = 1 << 20  # bytes of text in a chunk, but for longer single texts; a task needs some 150 times as many
 PART = 16 << 20  # bytes of text for each bucket
@@ -175,6 +175,7 @@ def make_chunks(docs: DataFrame, text: Column, keep: Sequence[str]) -> DataFrame
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         chunk = TaskContext.get().partitionId() << 33
         texts: list[bytes] = []
         keys: list[pa.Array] = []
@@ -293,7 +294,7 @@ def remove_repeats(
         told = materialise(
             replies.groupBy("chunk").agg(F.collect_list(F.struct("part", "reply")).alias("replies")), "replies"
         )
-        release(spark)  # each round shuffles the texts
+        release(spark)
         return told
 
     shared = ask([], 1, False)
