@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import packing, toxicity, warc
+from tidemark.llm import common, packing, toxicity, warc
 from tidemark.llm.byte_bpe import decode, encode
 from tidemark.llm.common import slices
 from tidemark.llm.licenses import NOTICES, notices, scan
@@ -170,6 +171,29 @@ def test_words_equal_the_library_with_any_memory(monkeypatch):
         assert len(own.memo) <= memory
 
 
+def test_rare_words_of_neighbouring_texts_are_merged_once(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO", 10)
+    own, merged = packing.Words(public_tokenizers.path("word_bpe_49k.json")), Counter()
+    letters = own._merged
+    monkeypatch.setattr(own, "_merged", lambda word: merged.update([word]) or letters(word))
+    rare = ["".join(w) for w in itertools.product("abcdefgh", repeat=4)]
+    text = " ".join(rare * 70)  # 1.4 MB
+    for _, texts in slices(pa.array([text, text]), packing.AT_ONCE):
+        own.ids(texts)
+    assert set(merged.values()) == {1} and len(merged) == len(rare)
+
+
+def test_a_worker_remembers_one_thing():
+    common.forget()
+    path = public_tokenizers.path("word_bpe_49k.json")
+    held = packing.words(path)
+    assert packing.words(path) is held
+    other = common.remembered(("other",), list)
+    assert common.remembered(("other",), list) is other
+    assert packing.words(path) is not held
+    common.forget()
+
+
 def test_slices_hold_all_texts_once():
     texts = ["", "a" * 30, "b" * 4, "c" * 6, "d", "", "e" * 11, ""]
     found = [(k, part.to_pylist()) for k, part in slices(pa.array(["x", *texts]).slice(1), 10)]

@@ -6,7 +6,6 @@ import re
 from array import array
 from bisect import insort
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -18,11 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import map_rows, slices
+from tidemark.llm.common import map_rows, remembered, slices
 from tidemark.llm.token_counts import byte_characters
 
 MEMO = 1 << 18  # words, and as many parts of words, whose ids a task keeps
-AT_ONCE = 2 * 1024 * 1024  # bytes of text whose words are looked up together
+AT_ONCE = 4 * 1024 * 1024  # bytes of text whose words are looked up together
 # A word of Latin letters, between marks: the tokenizer takes the three apart, as no mark before the letters
 # begins a contraction.
 PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
@@ -108,7 +107,9 @@ class Words:
         )
 
     def _merged(self, letters: str) -> bytes:
-        found = self.tokenizer.model.tokenize(letters.encode().decode("latin-1").translate(self.shown))
+        # ASCII letters are shown as themselves.
+        shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.shown)
+        found = self.tokenizer.model.tokenize(shown)
         return array("I", [token.id for token in found]).tobytes()
 
     def _encode(self, parts: list[str]) -> None:
@@ -124,14 +125,22 @@ class Words:
     def _packed(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
         memo, known, cut = self.memo, self.parts, {}
-        for word in words:
-            if word not in memo:
-                match = None if any(token in word for token in self.added) else PARTS.fullmatch(word)
-                cut[word] = (match[1], match[2].lower(), match[3]) if match else (word,)
+        unknown = [word for word in words if word not in memo]
+        # Added tokens hold no blanks, so none reaches over words.
+        together = " ".join(unknown)
+        added = [token for token in self.added if token in together]
+        matches = map(PARTS.fullmatch, unknown)
+        for word, match in zip(unknown, matches, strict=True):
+            if not match or (added and any(token in word for token in added)):
+                cut[word] = (word,)
+            elif match[2] == word:
+                cut[word] = (word.lower(),)
+            else:
+                cut[word] = (match[1], match[2].lower(), match[3])
         new = list({part for parts in cut.values() for part in parts if part not in known})
         self._encode(new)
         for word, parts in cut.items():
-            memo[word] = b"".join([known[part] for part in parts])
+            memo[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[part] for part in parts])
         packed = list(map(memo.__getitem__, words))
         # What came first is mostly what comes often; the rest is forgotten again.
         for memory, last in ((memo, cut), (known, new)):
@@ -155,9 +164,8 @@ class Words:
         return ids, ends[first - first[0]]
 
 
-@lru_cache(maxsize=2)
 def words(path: str) -> Words:
-    return Words(path)
+    return remembered(("words", path), lambda: Words(path))
 
 
 def pack_documents(
