@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_rows, materialise, slices
+from tidemark.llm.common import forget, map_rows, materialise, slices
 from tidemark.llm.set_join import Shingles
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 9_000  # labelled rows that training reads at most, of each label
@@ -244,6 +244,7 @@ def string_judge(shared):
 
 
 def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     shingles = Shingles(5)
     for batch in batches:
         sets = [shingles(text).view(np.int64) for text in batch.column("_0").to_pylist()]
@@ -334,6 +335,7 @@ def decisions(docs: DataFrame, machine: Machine | float, keep: list[str], text:
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by the landmarks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own = shared.value
         for batch in batches:
             if isinstance(own, float):
