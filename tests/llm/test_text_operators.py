@@ -14,6 +14,7 @@ from tidemark.llm import repeats, set_join
 from tidemark.llm.common import materialise
 from tidemark.llm.repeats import difference_cover, remove_repeats
 from tidemark.llm.set_join import alike
+from tidemark.session import scratch_dir
 
 SCHEMA = "doc_id long, text string, n long, rank string, part int"
 
@@ -185,6 +186,36 @@ def test_components_near_the_limit(spark, ids):
     assert 5 < len({component for _, component in want.values()}) < len(set(names)) - 5
 
 
+def test_near_copies_need_no_pairs_of_all(spark, monkeypatch):
+    """Copies of one text that are alike to it, and to some of each other, whose smallest id is as poor a head as any."""
+    rng, texts, compared = random.Random(12), [], []
+    words = [f"w{i}" for i in range(300)]
+    for _ in range(240):
+        near = list(words)
+        for at in rng.sample(range(300), rng.randint(3, 6)):
+            near[at] = f"x{rng.randint(0, 10**6)}"
+        texts.append(" ".join(near))
+
+    def noted(df, label):
+        written = materialise(df, label)
+        if label == "set-pairs":
+            compared.append(written.count())
+        return written
+
+    monkeypatch.setattr(set_join, "materialise", noted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in alike(frame(spark, texts)).collect()}
+    assert got == alike_by_force(texts, list(range(len(texts))))
+    assert sum(compared) < 6 * len(texts)
+
+
+def test_components_leave_their_result_alone(spark):
+    folder = os.path.dirname(scratch_dir(spark, "x").removeprefix("file:"))
+    before = set(os.listdir(folder))
+    found = alike(frame(spark, ["a b c d e f g h", "a b c d e f g i", "a b c d e f g h j", "", None]))
+    assert [name[:23] for name in set(os.listdir(folder)) - before] == ["tidemark-set-components"]
+    assert found.count() == 5
+
+
 def test_components_on_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = docs.select("doc_id", "text").collect()

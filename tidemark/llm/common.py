@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import weakref
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -12,12 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import scratch_dir, sql_settings
+from tidemark.sources.files import delete_tree
 
 
 #: Spark deletes the shuffle files of a query as it ends, and not when the driver next collects its garbage.
 CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: what follows does not recompute it
     when an executor is lost, and its shuffle files go as soon as it is written."""
@@ -25,7 +31,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     with sql_settings(spark, CLEANUP):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[written] = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables that `materialise` wrote, when all that reads them is written itself."""
+    for table in written:
+        delete_tree(table.sparkSession, _WRITTEN.pop(table))
 
 
 _REMEMBERED: dict = {}
@@ -40,8 +54,14 @@ def remembered(key: tuple, make: Callable):
 
 
 def forget() -> None:
-    """Let go what an operator before keeps in this process: Spark's Python workers outlive its tasks."""
+    """Let go what an operator before keeps in this process: Spark's Python workers outlive its tasks. The allocators
+    give what is free back to the system, where they can."""
     _REMEMBERED.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def release(spark: SparkSession) -> None:
@@ -105,6 +125,7 @@ def smallest_reachable(spark: SparkSession, nodes: DataFrame, links: DataFrame)
     edges = materialise(edges, "links")
     before = None
     while True:
+        last = edges
         # Large star: every larger neighbour of u is linked to the smallest of u's neighbours and u.
         both = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(
             edges.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
@@ -121,6 +142,7 @@ def smallest_reachable(spark: SparkSession, nodes: DataFrame, links: DataFrame)
             .distinct()
         )
         edges = materialise(edges, "links")
+        discard(last)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
         if state == before:
             break

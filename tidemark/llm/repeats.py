@@ -265,6 +265,7 @@ def remove_repeats(
                 ]
                 if out:
                     yield pa.RecordBatch.from_pydict(dict(zip(("chunk", "part", "keys", "twice"), zip(*out), strict=True)))
+            forget()
 
         def sort(group: pd.DataFrame) -> pd.DataFrame:
             group = group.sort_values("chunk")
@@ -328,6 +329,7 @@ def remove_repeats(
                     ],
                     names=["kept", "n_bytes", "n_removed", "n_spans", "remaining"],
                 )
+        forget()
 
     schema = T.StructType([
         T.StructField("kept", kept_type.elementType),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,12 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tidemark.llm.common import forget, map_rows, materialise, release, slices, smallest_reachable
+from tidemark.llm.common import discard, forget, map_rows, materialise, release, slices, smallest_reachable
 from tidemark.llm.pieces import Memo
 
 CELLS = 1 << 16  # cells of the count sketch in one row
 TEXT = 2 << 20  # bytes of text whose words are looked up together
 PARITIES = 8  # 64-bit words of a set's parities
+TURNS = 6  # at most so many turns join components before what is left is paired,
+FEW = 4  # and none after one in which at most one of so many compared pairs was alike
 ODD = 0x9E3779B97F4A7C15
 
 
@@ -51,7 +54,7 @@ class Shingles:
         """The fingerprints of each text, as for one; the words of all are cut and looked up together."""
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
         codes = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))[coded.indices.to_numpy()]
         # Blanks at either end of a text leave empty words.
         real = np.array([len(word) > 0 for word in words], bool)[coded.indices.to_numpy()]
@@ -110,6 +113,8 @@ def sketch(docs: DataFrame, text: Column, width: int, cells: int) -> np.ndarray:
         for block in range(0, cells, CELLS):
             packed = zlib.compress(planes(counts[block : block + CELLS]), 1)
             yield pa.RecordBatch.from_pydict({"block": [block], "counts": [packed]})
+        del counts
+        forget()
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(min(CELLS, cells), np.uint64)
@@ -184,6 +189,7 @@ def alike(
                 ],
                 names=[*batch.schema.names[:-1], "n", "digest", "first", "odd"],
             )
+        forget()
 
     outputs = [
         T.StructField("n", T.LongType()),
@@ -246,8 +252,8 @@ def alike(
     outputs = [T.StructField("packed", T.BinaryType()), T.StructField("size", T.LongType())]
     packed = map_rows(rows, ["id"], [F.col("text").cast("binary")], outputs, pack)
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link."""
+    def verify(pairs: DataFrame) -> tuple[DataFrame, int]:
+        """The pairs (a, b) that link, and how many were compared."""
         pairs = materialise(pairs, "set-pairs")
         named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
         # Texts travel compressed, which is far less than their sets.
@@ -268,8 +274,10 @@ def alike(
         right = needed.select(F.col("id").alias("b"), F.col("packed").alias("y"), F.col("size").alias("y_size"))
         joined = pairs.join(left, "a").join(right, "b")
         links = materialise(joined.where(linked("x", "x_size", "y", "y_size")).select("a", "b"), "set-links")
+        compared = pairs.count()
+        discard(pairs, needed)
         release(spark)
-        return links
+        return links, compared
 
     # First each set with the head of most of its lists, of those that it can be alike to as far as these lists tell.
     votes = listed.where("head <> id").groupBy("id", "head").agg(
@@ -279,27 +287,60 @@ def alike(
     )
     votes = votes.where(F.col("several") | can_link(*map(F.col, ("votes", "n", "pos", "head_n", "head_pos"))))
     best = votes.groupBy("id").agg(F.max_by("head", F.struct("votes", -F.col("head"))).alias("head"))
-    links = verify(best.select(F.col("head").alias("a"), F.col("id").alias("b")))
+    found = [verify(best.select(F.col("head").alias("a"), F.col("id").alias("b")))[0]]
     nodes = same.select(F.col("rep").alias("id")).distinct()
-    root = smallest_reachable(spark, nodes, links)
+
+    def components() -> DataFrame:
+        return smallest_reachable(spark, nodes, reduce(DataFrame.union, found))
+
+    def still_open(lists: DataFrame, label: str) -> DataFrame:
+        """The lists that hold several components."""
+        named = lists.join(components(), "id")
+        named = named.select("*", F.min("root").over(own_list).alias("lo"), F.max("root").over(own_list).alias("hi"))
+        return materialise(named.where("lo < hi").drop("lo", "hi"), label)
+
     # Then what lists with several components leave open.
-    held = listed.drop("head", "head_n", "head_pos", "head_several").join(root, "id")
-    held = held.select("*", F.min("root").over(own_list).alias("lo"), F.max("root").over(own_list).alias("hi"))
-    held = materialise(held.where("lo < hi").drop("lo", "hi"), "set-open-lists")
+    lists = still_open(listed.drop("head", "head_n", "head_pos", "head_several"), "set-open-lists")
     odd = same.select(F.col("rep").alias("id"), *[F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES)])
-    held = materialise(held.join(odd.join(held.select("id").distinct(), "id", "left_semi"), "id"), "set-open")
+    held = materialise(lists.join(odd.join(lists.select("id").distinct(), "id", "left_semi"), "id"), "set-open")
+    discard(listed, lists)
     names = ("id", "n", "pos", "several", "root", *[f"odd{i}" for i in range(PARITIES)])
+
+    def left_open(one: Callable[[str], Column], two: Callable[[str], Column]) -> Column:
+        """Whether sets of two components that meet in a list can be alike, by their sizes, places and parities."""
+        need = (one("n") + two("n")) * percent  # intersection * (100 + percent) must reach it
+        reach = 1 + F.least(one("n") - one("pos") - 1, two("n") - two("pos") - 1) + F.least(one("pos"), two("pos"))
+        return (
+            (100 * F.least(one("n"), two("n")) >= percent * F.greatest(one("n"), two("n")))
+            & (reach * (100 + percent) >= need)
+            & (apart(one, two) * (100 + percent) <= (one("n") + two("n")) * (100 - percent))
+        )
+
+    def apart(one: Callable[[str], Column], two: Callable[[str], Column]) -> Column:
+        return sum(F.bit_count(one(f"odd{i}").bitwiseXOR(two(f"odd{i}"))) for i in range(PARITIES))
+
+    # Near copies of one text need not be alike to the head, and would all be paired. So each set is compared
+    # with one more of those that it meets, the nearest by parities of one set drawn from each list, as long as many of
+    # them are alike. What is not found in these turns is found by the pairs of all.
+    for turn in range(TURNS):
+        drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "tok", "id").alias("draw"), *names)).over(own_list)
+        met = held.select("*", drawn.alias("drawn"))
+        one, two = F.col, lambda name: F.col(f"drawn.{name}")
+        met = met.where((one("root") != two("root")) & left_open(one, two))
+        near = met.select("id", two("id").alias("other"), (apart(one, two) / (one("n") + two("n"))).alias("apart"))
+        best = near.groupBy("id").agg(F.min_by("other", F.struct("apart", "other")).alias("other"))
+        links, compared = verify(best.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
+        found.append(links)
+        before, held = held, still_open(held.drop("root"), "set-open")
+        discard(before)
+        if FEW * links.count() <= compared:
+            break
     x = held.select("tok", *[F.col(c).alias(f"{c}_1") for c in names])
     y = held.select("tok", *[F.col(c).alias(f"{c}_2") for c in names])
-    need = (F.col("n_1") + F.col("n_2")) * percent  # intersection * (100 + percent) must reach it
-    reach = 1 + F.least(F.col("n_1") - F.col("pos_1") - 1, F.col("n_2") - F.col("pos_2") - 1) + F.least("pos_1", "pos_2")
-    apart = sum(F.bit_count(F.col(f"odd{i}_1").bitwiseXOR(F.col(f"odd{i}_2"))) for i in range(PARITIES))
     pairs = (
         x.join(y, "tok")
         .where(F.col("root_1") < F.col("root_2"))
-        .where(100 * F.least("n_1", "n_2") >= percent * F.greatest("n_1", "n_2"))
-        .where(reach * (100 + percent) >= need)
-        .where(apart * (100 + percent) <= (F.col("n_1") + F.col("n_2")) * (100 - percent))
+        .where(left_open(lambda name: F.col(f"{name}_1"), lambda name: F.col(f"{name}_2")))
         # Two components meet in open lists only, so all that a pair shares of its first n-grams is counted here.
         .groupBy(F.col("id_1").alias("a"), F.col("id_2").alias("b"))
         .agg(
@@ -310,11 +351,16 @@ def alike(
         .where(F.col("several") | can_link(*map(F.col, ("shared", "n_1", "pos_1", "n_2", "pos_2"))))
         .select("a", "b")
     )
-    links = links.union(verify(pairs))
-    root = smallest_reachable(spark, nodes, links).select(F.col("id").alias("rep"), "root")
-    found = same.join(root, "rep").select("digest", "root")
-    return signed.join(found, "digest", "left").select(
+    found.append(verify(pairs)[0])
+    discard(held)
+    root = components().select(F.col("id").alias("rep"), "root")
+    rooted = same.join(root, "rep").select("digest", "root")
+    told = signed.join(rooted, "digest", "left").select(
         F.col("id").alias(id),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("root", "id")).alias("component_id"),
     )
+    told = materialise(told, "set-components")
+    discard(signed, same, several, *found)
+    release(spark)
+    return told
