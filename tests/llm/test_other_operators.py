@@ -171,6 +171,22 @@ def test_words_equal_the_library_with_any_memory(monkeypatch):
         assert len(own.memo) <= memory
 
 
+def test_plain_words_are_not_matched(monkeypatch):
+    path, pattern, matched = public_tokenizers.path("word_bpe_49k.json"), packing.PARTS, []
+
+    class Noted:
+        @staticmethod
+        def fullmatch(word):
+            matched.append(word)
+            return pattern.fullmatch(word)
+
+    monkeypatch.setattr(packing, "PARTS", Noted)
+    text = "Plain WORDS, plain words don't (straße) 7th Plain"
+    ids, _ = packing.Words(path).ids(pa.array([text]))
+    assert ids.tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert sorted(matched) == ["(straße)", "7th", "WORDS,", "don't"]
+
+
 def test_rare_words_of_neighbouring_texts_are_merged_once(monkeypatch):
     monkeypatch.setattr(packing, "MEMO", 10)
     own, merged = packing.Words(public_tokenizers.path("word_bpe_49k.json")), Counter()

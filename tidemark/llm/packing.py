@@ -122,44 +122,54 @@ class Words:
             found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             self.parts.update((part, array("I", one.ids).tobytes()) for part, one in zip(some, found, strict=True))
 
+    def _cut(self, word: str, added: list[str]) -> str | tuple[str, str, str]:
+        """Letters alone in lower case, marks and letters and marks, or else the word."""
+        match = PARTS.fullmatch(word)
+        if not match or (added and any(token in word for token in added)):
+            return word
+        before, letters, after = match.groups()
+        return (before, letters.lower(), after) if before or after else letters.lower()
+
     def _packed(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
-        memo, known, cut = self.memo, self.parts, {}
-        unknown = [word for word in words if word not in memo]
+        memo, known, cut = self.memo, self.parts, self._cut
+        packed = list(map(memo.get, words))
+        unknown = [word for word, ids in zip(words, packed, strict=True) if ids is None]
         # Added tokens hold no blanks, so none reaches over words.
         together = " ".join(unknown)
         added = [token for token in self.added if token in together]
-        matches = map(PARTS.fullmatch, unknown)
-        for word, match in zip(unknown, matches, strict=True):
-            if not match or (added and any(token in word for token in added)):
-                cut[word] = (word,)
-            elif match[2] == word:
-                cut[word] = (word.lower(),)
-            else:
-                cut[word] = (match[1], match[2].lower(), match[3])
-        new = list({part for parts in cut.values() for part in parts if part not in known})
-        self._encode(new)
-        for word, parts in cut.items():
-            memo[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[part] for part in parts])
-        packed = list(map(memo.__getitem__, words))
-        # What came first is mostly what comes often; the rest is forgotten again.
-        for memory, last in ((memo, cut), (known, new)):
-            if len(memory) > MEMO:
-                for key in last:
-                    del memory[key]
-        return packed
+        plain = not added
+        parts = [word.lower() if plain and word.isascii() and word.isalpha() else cut(word, added) for word in unknown]
+        new = {part for part in parts if type(part) is str and part not in known}
+        new.update(part for some in parts if type(some) is tuple for part in some if part not in known)
+        self._encode(list(new))
+        found = [
+            known[some] if type(some) is str else known[some[0]] + known[some[1]] + known[some[2]] for some in parts
+        ]
+        # What came first is mostly what comes often; the rest is not kept.
+        if len(memo) + len(unknown) <= MEMO:
+            memo.update(zip(unknown, found, strict=True))
+        if len(known) > MEMO:
+            for part in new:
+                del known[part]
+        rest = iter(found)
+        return [next(rest) if ids is None else ids for ids in packed]
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one behind another, and the places where each text's begin, and the end."""
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        packed = self._packed(coded.dictionary.to_pylist())
+        packed = self._packed(coded.dictionary.to_numpy(zero_copy_only=False).tolist())  # faster than to_pylist
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         pool, codes = np.frombuffer(b"".join(packed), "<u4"), coded.indices.to_numpy()
-        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+        own = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(own)])
         # Each id's place in the pool: where its word's begin, and how far into the word it is.
         shift = (np.cumsum(sizes) - sizes)[codes] - ends[:-1]
-        ids = pool[np.arange(ends[-1]) + np.repeat(shift, sizes[codes])]
+        kind = np.int32 if ends[-1] < 2**31 else np.int64
+        place = np.repeat(shift.astype(kind), own)
+        place += np.arange(len(place), dtype=kind)
+        ids = pool[place]
         first = split.offsets.to_numpy()
         return ids, ends[first - first[0]]
 
