@@ -148,6 +148,7 @@ def smallest_reachable(spark: SparkSession, nodes: DataFrame, links: DataFrame)
             break
         before = state
     # Now every link goes from a root to a member.
-    return nodes.join(edges.select(F.col("hi").alias("id"), F.col("lo").alias("root")), "id", "left").select(
-        "id", F.coalesce("root", "id").alias("root")
-    )
+    roots = nodes.join(edges.select(F.col("hi").alias("id"), F.col("lo").alias("root")), "id", "left")
+    roots = materialise(roots.select("id", F.coalesce("root", "id").alias("root")), "roots")
+    discard(edges)
+    return roots

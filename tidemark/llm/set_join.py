@@ -295,9 +295,12 @@ def alike(
 
     def still_open(lists: DataFrame, label: str) -> DataFrame:
         """The lists that hold several components."""
-        named = lists.join(components(), "id")
+        root = components()
+        named = lists.join(root, "id")
         named = named.select("*", F.min("root").over(own_list).alias("lo"), F.max("root").over(own_list).alias("hi"))
-        return materialise(named.where("lo < hi").drop("lo", "hi"), label)
+        left = materialise(named.where("lo < hi").drop("lo", "hi"), label)
+        discard(root)
+        return left
 
     # Then what lists with several components leave open.
     lists = still_open(listed.drop("head", "head_n", "head_pos", "head_several"), "set-open-lists")
@@ -353,14 +356,14 @@ def alike(
     )
     found.append(verify(pairs)[0])
     discard(held)
-    root = components().select(F.col("id").alias("rep"), "root")
-    rooted = same.join(root, "rep").select("digest", "root")
+    root = components()
+    rooted = same.join(root.withColumnRenamed("id", "rep"), "rep").select("digest", "root")
     told = signed.join(rooted, "digest", "left").select(
         F.col("id").alias(id),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("root", "id")).alias("component_id"),
     )
     told = materialise(told, "set-components")
-    discard(signed, same, several, *found)
+    discard(signed, same, several, root, *found)
     release(spark)
     return told
