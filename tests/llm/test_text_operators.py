@@ -208,6 +208,42 @@ def test_near_copies_need_no_pairs_of_all(spark, monkeypatch):
     assert sum(compared) < 6 * len(texts)
 
 
+def rows_joined(df):
+    """The most rows that a join of the query makes, when it runs."""
+    execution, most = df._jdf.queryExecution(), 0
+    execution.toRdd().count()
+    nodes = [execution.executedPlan()]
+    for node in nodes:
+        inner = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in node.nodeName() else []
+        children = node.children()
+        nodes += [*inner, *(children.apply(i) for i in range(children.size()))]
+        if "Join" in node.nodeName():
+            most = max(most, node.metrics().apply("numOutputRows").value())
+    return most
+
+
+@pytest.mark.parametrize("alike_too", [0, 12])
+def test_a_shared_passage_gives_few_rows(spark, monkeypatch, alike_too):
+    """Long texts that share most of a passage, and are not alike, meet in many lists: they are not paired in each."""
+    rng, made = random.Random(21), []
+    passage = [f"p{i}" for i in range(1120)]
+    texts = [" ".join(passage + [f"x{rng.randint(0, 10**9)}" for _ in range(280)]) for _ in range(40)]
+    for text in texts[:alike_too]:
+        words = text.split()
+        words[1300:] = [f"y{rng.randint(0, 10**9)}" for _ in range(100)]
+        texts.append(" ".join(words))
+
+    def noted(df, label):
+        if label == "set-pairs":
+            made.append(rows_joined(df))
+        return materialise(df, label)
+
+    monkeypatch.setattr(set_join, "materialise", noted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in alike(frame(spark, texts)).collect()}
+    assert got == alike_by_force(texts, list(range(len(texts))))
+    assert made[-1] < len(texts) ** 2  # each of the pairs met in some 70 lists
+
+
 def test_components_leave_their_result_alone(spark):
     folder = os.path.dirname(scratch_dir(spark, "x").removeprefix("file:"))
     before = set(os.listdir(folder))

@@ -322,6 +322,11 @@ def alike(
     def apart(one: Callable[[str], Column], two: Callable[[str], Column]) -> Column:
         return sum(F.bit_count(one(f"odd{i}").bitwiseXOR(two(f"odd{i}"))) for i in range(PARITIES))
 
+    def first_shared(one: Callable[[str], Column], two: Callable[[str], Column]) -> Column:
+        """Whether the list's n-gram can be the first that two alike sets share: all that they share is at its place or
+        later. Two sets that share a passage meet in each of its n-grams, but few of them are as early as that."""
+        return F.least(one("n") - one("pos"), two("n") - two("pos")) * (100 + percent) >= (one("n") + two("n")) * percent
+
     # Near copies of one text need not be alike to the head, and would all be paired. So each set is compared
     # with one more of those that it meets, the nearest by parities of one set drawn from each list, as long as many of
     # them are alike. What is not found in these turns is found by the pairs of all.
@@ -340,11 +345,13 @@ def alike(
             break
     x = held.select("tok", *[F.col(c).alias(f"{c}_1") for c in names])
     y = held.select("tok", *[F.col(c).alias(f"{c}_2") for c in names])
+    sides = [lambda name, i=i: F.col(f"{name}_{i}") for i in (1, 2)]
     pairs = (
         x.join(y, "tok")
         .where(F.col("root_1") < F.col("root_2"))
-        .where(left_open(lambda name: F.col(f"{name}_1"), lambda name: F.col(f"{name}_2")))
-        # Two components meet in open lists only, so all that a pair shares of its first n-grams is counted here.
+        .where(left_open(*sides) & first_shared(*sides))
+        # Two components meet in open lists only, and what a pair shares is in one order in both: what is not counted here
+        # comes later in both than what is.
         .groupBy(F.col("id_1").alias("a"), F.col("id_2").alias("b"))
         .agg(
             F.count("*").alias("shared"),
