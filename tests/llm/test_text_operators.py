@@ -10,11 +10,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import repeats, set_join
+from tidemark.llm import common, repeats, set_join
 from tidemark.llm.common import materialise
 from tidemark.llm.repeats import difference_cover, remove_repeats
 from tidemark.llm.set_join import alike
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, sql_settings
 
 SCHEMA = "doc_id long, text string, n long, rank string, part int"
 
@@ -291,3 +291,62 @@ def test_signatures_are_not_joined_again(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == alike_by_force(texts, list(range(len(texts))))
     assert "SortMergeJoin" not in plans["set-lists"][0]
+
+
+def test_small_tables_are_few_files(spark, monkeypatch):
+    """However many partitions a shuffle has, a small input is not written in as many files at each step."""
+    files = {}
+
+    def noted(df, label):
+        written = materialise(df, label)
+        files[label] = max(files.get(label, 0), len(written.inputFiles()))
+        return written
+
+    monkeypatch.setattr(set_join, "materialise", noted)
+    settings = {"spark.sql.shuffle.partitions": "100", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(60)) for _ in range(300)]
+    texts += [text + " end" for text in texts[:150]]
+    with sql_settings(spark, settings):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in alike(frame(spark, texts)).collect()}
+    assert got == alike_by_force(texts, list(range(len(texts))))
+    assert 1 < files["set-classes"] <= 32 and max(files.values()) <= 32
+
+
+def reached(links, nodes):
+    least = {node: node for node in nodes}
+    while True:
+        before = dict(least)
+        for a, b in links:
+            if a is not None and b is not None:
+                least[a] = least[b] = min(least[a], least[b])
+        if least == before:
+            return least
+
+
+def test_smallest_reachable(spark, monkeypatch):
+    """Chains, rings, hubs, loops, repeated links and null ends; links that are stars are written once."""
+    labels = []
+
+    def noted(df, label):
+        labels.append(label)
+        return materialise(df, label)
+
+    monkeypatch.setattr(common, "materialise", noted)
+    rng = random.Random(6)
+    chain = [(i, i + 1) for i in range(0, 40)]
+    ring = [(60 + (i + 1) % 9, 60 + i) for i in range(9)]
+    hubs = [(i, 150) for i in range(100, 140)] + [(80, i) for i in range(81, 95)]
+    mixed = [(rng.randrange(200, 320), rng.randrange(200, 320)) for _ in range(90)]
+    odd = [(7, 7), (None, 3), (3, None), (150, 100), (100, 150)]
+    nodes = spark.range(330)
+    for links, tables in (
+        (chain + ring + hubs + mixed + odd, None),
+        ([(80, i) for i in range(81, 95)] + [(99, 97), (97, 98)], 1),
+        ([], 1),
+    ):
+        rng.shuffle(links)
+        labels.clear()
+        found = common.smallest_reachable(nodes, spark.createDataFrame(links, "a long, b long").repartition(3))
+        assert {r["id"]: r["root"] for r in found.collect()} == reached(links, range(330))
+        assert tables in (None, labels.count("links"))

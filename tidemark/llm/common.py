@@ -21,6 +21,9 @@ from tidemark.sources.files import delete_tree
 CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
+#: Rows of a table of links that a task takes, if there are many.
+LINKS = 200_000
+
 _WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
@@ -110,45 +113,64 @@ def slices(texts: pa.Array, at_once: int) -> Iterator[tuple[int, pa.Array]]:
         yield start, texts.slice(start)
 
 
-def smallest_reachable(spark: SparkSession, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(``id``, ``root``) for every ``id`` in ``nodes``: the smallest id that it reaches over ``links``
-    (``a``, ``b``), taken both ways.
+def in_few_tasks(df: DataFrame, rows: int, each: int, least: int) -> DataFrame:
+    """``df`` with its last step in a task for each ``each`` of ``rows``, and in ``least`` at least, if that is fewer than
+    it would have: a small table is few files then, however many partitions a shuffle has."""
+    return df.coalesce(max(least, -(-rows // each)))
+
+
+def stars(links: DataFrame) -> DataFrame:
+    """(``lo``, ``hi``) for every id ``hi`` that reaches a smaller one over ``links`` (``a``, ``b``), taken both ways, and
+    the smallest that it reaches; a table of `materialise`.
 
     Alternates large-star and small-star steps (Kiveris et al., "Connected Components in MapReduce
-    and Beyond", 2014) until the links no longer change. Each step is a grouped minimum, taken on
+    and Beyond", 2014) until every link goes from a root to a member. Each step is a grouped minimum, taken on
     the map side first, and a join; each result is a written table. Hub nodes cost a row per link, and
     no group of neighbours is ever gathered.
     """
     edges = links.where("a <> b").select(
         F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")
     ).distinct()
-    edges = materialise(edges, "links")
-    before = None
+    edges = materialise(in_few_tasks(edges, links.count(), LINKS, 8), "links")
     while True:
+        # Each link goes from a smaller id to a larger one. So links are stars if no id has two smaller ones, or a smaller
+        # and a larger one.
+        ends = edges.select(F.col("hi").alias("id"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+            edges.select(F.col("lo").alias("id"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+        )
+        each = ends.groupBy("id").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+        rows = edges.count()
+        broken = in_few_tasks(each, rows, LINKS, 8).where("below > 1 OR below = 1 AND above = 1")
+        with sql_settings(links.sparkSession, CLEANUP):
+            if not broken.agg(F.count("*")).first()[0]:
+                break
         last = edges
         # Large star: every larger neighbour of u is linked to the smallest of u's neighbours and u.
         both = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(
             edges.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
         )
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        edges = both.where("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi"))
+        large = in_few_tasks(large, rows, LINKS, 8).distinct()
+        edges = materialise(in_few_tasks(large, rows, LINKS, 8), "links")
+        discard(last)
+        last = edges
         # Small star: u and its smaller neighbours are linked to the smallest of them.
         least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
-        joined = edges.join(least, "hi")
-        edges = (
-            joined.select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
-            .union(least.select(F.col("m").alias("lo"), "hi"))
-            .where("lo <> hi")
-            .distinct()
-        )
-        edges = materialise(edges, "links")
+        joined = edges.join(least, "hi").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
+        small = joined.union(least.select(F.col("m").alias("lo"), "hi")).where("lo <> hi")
+        small = in_few_tasks(small, rows, LINKS, 8).distinct()
+        edges = materialise(in_few_tasks(small, rows, LINKS, 8), "links")
         discard(last)
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
-        if state == before:
-            break
-        before = state
-    # Now every link goes from a root to a member.
-    roots = nodes.join(edges.select(F.col("hi").alias("id"), F.col("lo").alias("root")), "id", "left")
-    roots = materialise(roots.select("id", F.coalesce("root", "id").alias("root")), "roots")
-    discard(edges)
+    return edges
+
+
+def smallest_reachable(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(``id``, ``root``) for every ``id`` in ``nodes``: the smallest id that it reaches over ``links``
+    (``a``, ``b``), taken both ways."""
+    found = stars(links)
+    roots = nodes.join(found.select(F.col("hi").alias("id"), F.col("lo").alias("root")), "id", "left")
+    roots = roots.select("id", F.coalesce("root", "id").alias("root"))
+    roots = materialise(in_few_tasks(roots, nodes.count(), LINKS, 8), "roots")
+    discard(found)
     return roots

@@ -178,9 +178,7 @@ def near_vectors(
     grouped = met.repartition(*group).sortWithinPartitions(*group, "id")
     part = materialise(grouped.mapInPandas(check_all, schema), "vector-links")
     counts = part.groupBy("id").agg(F.sum("links").alias("links"))
-    roots = smallest_reachable(
-        spark, reps.select("id"), part.select(F.col("id").alias("a"), F.col("root").alias("b"))
-    )
+    roots = smallest_reachable(reps.select("id"), part.select(F.col("id").alias("a"), F.col("root").alias("b")))
     roots = materialise(roots, "vector-roots")
     top = roots.join(first.select(F.col("row").alias("id"), "least"), "id").groupBy("root").agg(F.min("least").alias("top"))
     per_rep = roots.join(top, "root").join(counts, "id", "left").select(F.col("id").alias("rep"), "top", "links")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,13 +14,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tidemark.llm.common import discard, forget, map_rows, materialise, release, slices, smallest_reachable
+from tidemark.llm.common import (
+    LINKS,
+    discard,
+    forget,
+    in_few_tasks,
+    map_rows,
+    materialise,
+    release,
+    slices,
+    smallest_reachable,
+    stars,
+)
 from tidemark.llm.pieces import Memo
 
 CELLS = 1 << 16  # cells of the count sketch in one row
 TEXT = 2 << 20  # bytes of text whose words are looked up together
 PARITIES = 8  # 64-bit words of a set's parities
 TURNS = 6  # at most so many turns join components before what is left is paired,
+SHINGLES = 500_000  # a step takes a task for so many n-grams, if a shuffle would give it more,
+PAIRS = 2_000  # or for so many pairs
 FEW = 4  # and none after one in which at most one of so many compared pairs was alike
 ODD = 0x9E3779B97F4A7C15
 
@@ -200,13 +212,19 @@ def alike(
     rows = docs.select(F.col(f"`{id}`").alias("id"), text.alias("text"))
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
     signed = materialise(map_rows(numbered, ["id", "row"], [F.col("text")], outputs, signatures), "set-signatures")
+    size = signed.agg(F.sum("n")).first()[0] or 0
+
+    def written(table: DataFrame, label: str) -> DataFrame:
+        """Small inputs are written in fewer tasks than a shuffle has partitions: most tables here are small."""
+        return materialise(in_few_tasks(table, size, SHINGLES, 32), label)
+
     # A class takes its set's lists along, which move once and need no join with the signatures.
     own = F.min_by(F.struct("id", "n", "first", "odd"), F.struct("id", "row")).alias("own")
     same = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(own)
-    same = materialise(same.select("digest", F.col("own.id").alias("rep"), "own.n", "own.first", "own.odd"), "set-classes")
+    same = written(same.select("digest", F.col("own.id").alias("rep"), "own.n", "own.first", "own.odd"), "set-classes")
     # An id may have several texts and so several sets, whose places must not be counted as one set's.
     several = same.groupBy("rep").agg(F.count("*").alias("sets")).where("sets > 1")
-    several = materialise(several.select("rep", F.lit(True).alias("several")), "set-several")
+    several = written(several.select("rep", F.lit(True).alias("several")), "set-several")
     reps = same.join(several, "rep", "left").select(
         F.col("rep").alias("id"), "n", F.coalesce("several", F.lit(False)).alias("several"), "first"
     )
@@ -229,7 +247,7 @@ def alike(
     listed = listed.select(
         "tok", "id", *size_and_place("place", ""), F.col("head.id").alias("head"), *size_and_place("head.place", "head_")
     )
-    listed = materialise(listed, "set-lists")
+    listed = written(listed, "set-lists")
     release(spark)
 
     def can_link(shared: Column, n: Column, pos: Column, other_n: Column, other_pos: Column) -> Column:
@@ -253,11 +271,11 @@ def alike(
     packed = map_rows(rows, ["id"], [F.col("text").cast("binary")], outputs, pack)
 
     def verify(pairs: DataFrame) -> tuple[DataFrame, int]:
-        """The pairs (a, b) that link, and how many were compared."""
-        pairs = materialise(pairs, "set-pairs")
+        """Those of the written ``pairs`` (a, b, ..) that link, and how many were compared."""
+        compared = pairs.count()
         named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
         # Texts travel compressed, which is far less than their sets.
-        needed = materialise(packed.join(named, "id", "left_semi"), "set-texts")
+        needed = written(packed.join(named, "id", "left_semi"), "set-texts")
 
         @F.pandas_udf("boolean")
         def linked(x: pd.Series, x_size: pd.Series, y: pd.Series, y_size: pd.Series) -> pd.Series:
@@ -273,8 +291,8 @@ def alike(
         left = needed.select(F.col("id").alias("a"), F.col("packed").alias("x"), F.col("size").alias("x_size"))
         right = needed.select(F.col("id").alias("b"), F.col("packed").alias("y"), F.col("size").alias("y_size"))
         joined = pairs.join(left, "a").join(right, "b")
-        links = materialise(joined.where(linked("x", "x_size", "y", "y_size")).select("a", "b"), "set-links")
-        compared = pairs.count()
+        links = joined.where(linked("x", "x_size", "y", "y_size")).select(*pairs.columns)
+        links = materialise(in_few_tasks(links, compared, PAIRS, 32), "set-links")
         discard(pairs, needed)
         release(spark)
         return links, compared
@@ -287,25 +305,29 @@ def alike(
     )
     votes = votes.where(F.col("several") | can_link(*map(F.col, ("votes", "n", "pos", "head_n", "head_pos"))))
     best = votes.groupBy("id").agg(F.max_by("head", F.struct("votes", -F.col("head"))).alias("head"))
-    found = [verify(best.select(F.col("head").alias("a"), F.col("id").alias("b")))[0]]
-    nodes = same.select(F.col("rep").alias("id")).distinct()
-
-    def components() -> DataFrame:
-        return smallest_reachable(spark, nodes, reduce(DataFrame.union, found))
+    links, _ = verify(written(best.select(F.col("head").alias("a"), F.col("id").alias("b")), "set-pairs"))
+    root = smallest_reachable(same.select(F.col("rep").alias("id")).distinct(), links)
+    discard(links)
+
+    def joined_by(links: DataFrame, root: DataFrame) -> DataFrame:
+        """The components after ``links`` (``root_a``, ``root_b``) have joined some of them."""
+        moved = stars(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+        to = moved.select(F.col("hi").alias("root"), F.col("lo").alias("to"))
+        after = root.join(to, "root", "left").select("id", F.coalesce("to", "root").alias("root"))
+        after = materialise(in_few_tasks(after, root.count(), LINKS, 8), "set-roots")
+        discard(moved, links, root)
+        return after
 
     def still_open(lists: DataFrame, label: str) -> DataFrame:
         """The lists that hold several components."""
-        root = components()
         named = lists.join(root, "id")
         named = named.select("*", F.min("root").over(own_list).alias("lo"), F.max("root").over(own_list).alias("hi"))
-        left = materialise(named.where("lo < hi").drop("lo", "hi"), label)
-        discard(root)
-        return left
+        return written(named.where("lo < hi").drop("lo", "hi"), label)
 
     # Then what lists with several components leave open.
     lists = still_open(listed.drop("head", "head_n", "head_pos", "head_several"), "set-open-lists")
     odd = same.select(F.col("rep").alias("id"), *[F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES)])
-    held = materialise(lists.join(odd.join(lists.select("id").distinct(), "id", "left_semi"), "id"), "set-open")
+    held = written(lists.join(odd.join(lists.select("id").distinct(), "id", "left_semi"), "id"), "set-open")
     discard(listed, lists)
     names = ("id", "n", "pos", "several", "root", *[f"odd{i}" for i in range(PARITIES)])
 
@@ -335,13 +357,20 @@ def alike(
         met = held.select("*", drawn.alias("drawn"))
         one, two = F.col, lambda name: F.col(f"drawn.{name}")
         met = met.where((one("root") != two("root")) & left_open(one, two))
-        near = met.select("id", two("id").alias("other"), (apart(one, two) / (one("n") + two("n"))).alias("apart"))
-        best = near.groupBy("id").agg(F.min_by("other", F.struct("apart", "other")).alias("other"))
-        links, compared = verify(best.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
-        found.append(links)
+        near = met.select(
+            "id", "root", two("id").alias("other"), two("root").alias("other_root"),
+            (apart(one, two) / (one("n") + two("n"))).alias("apart"),
+        )
+        best = near.groupBy("id", "root").agg(F.min(F.struct("apart", "other", "other_root")).alias("best"))
+        ends = [F.struct(F.col(c).alias("id"), F.col(r).alias("root")) for c, r in (("id", "root"), ("best.other", "best.other_root"))]
+        best = best.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+        best = best.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.root").alias("root_a"), F.col("b.root").alias("root_b"))
+        links, compared = verify(written(best, "set-pairs"))
+        few = FEW * links.count() <= compared
+        root = joined_by(links, root)
         before, held = held, still_open(held.drop("root"), "set-open")
         discard(before)
-        if FEW * links.count() <= compared:
+        if few:
             break
     x = held.select("tok", *[F.col(c).alias(f"{c}_1") for c in names])
     y = held.select("tok", *[F.col(c).alias(f"{c}_2") for c in names])
@@ -356,21 +385,21 @@ def alike(
         .agg(
             F.count("*").alias("shared"),
             F.max(F.col("several_1") | F.col("several_2")).alias("several"),
-            *[F.max(f"{c}_{i}").alias(f"{c}_{i}") for c in ("n", "pos") for i in (1, 2)],
+            *[F.max(f"{c}_{i}").alias(f"{c}_{i}") for c in ("n", "pos", "root") for i in (1, 2)],
         )
         .where(F.col("several") | can_link(*map(F.col, ("shared", "n_1", "pos_1", "n_2", "pos_2"))))
-        .select("a", "b")
+        .select("a", "b", F.col("root_1").alias("root_a"), F.col("root_2").alias("root_b"))
     )
-    found.append(verify(pairs)[0])
+    links, _ = verify(materialise(pairs, "set-pairs"))
+    root = joined_by(links, root)
     discard(held)
-    root = components()
     rooted = same.join(root.withColumnRenamed("id", "rep"), "rep").select("digest", "root")
     told = signed.join(rooted, "digest", "left").select(
         F.col("id").alias(id),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("root", "id")).alias("component_id"),
     )
-    told = materialise(told, "set-components")
-    discard(signed, same, several, root, *found)
+    told = written(told, "set-components")
+    discard(signed, same, several, root)
     release(spark)
     return told
